@@ -36,13 +36,14 @@ def aggregate_ohlcv(
 ) -> DataFrame:
     """Ticks to bars with a nested `window`. Give `lateness` on a stream.
 
-    Map-side partial aggregation shrinks every input split to its distinct (window, code)
+    Ticks without a code or a time belong to no bar (see `quality`) and are left out. Map-side
+    partial aggregation shrinks every input split to its distinct (window, code)
     pairs before the one shuffle, so a hot symbol costs no more than another.
     """
     if lateness is not None:
         ticks = ticks.withWatermark("event_time", lateness)
     order = _order(tie_break)
-    return ticks.groupBy(F.window("event_time", width), "code").agg(
+    return ticks.filter(F.col("code").isNotNull()).groupBy(F.window("event_time", width), "code").agg(
         F.min_by("trade_price", order).alias("open"),
         F.max("trade_price").alias("high"),
         F.min("trade_price").alias("low"),

@@ -14,7 +14,7 @@ from ..operators.keyed_table import version_of
 from ..schemas import BAR_COLUMNS
 from .store import BAR_KEY, Store
 
-LOOKBACK = timedelta(days=1)
+LOOKBACK_DAYS = 1
 
 
 def store_bars(
@@ -47,18 +47,18 @@ def with_recent_close(
     batch: int,
     since: date,
     until: date,
-    lookback: timedelta = LOOKBACK,
+    start: date,
 ) -> DataFrame:
     """The bars of version (epoch, batch) with the close of their latest stored predecessor.
 
-    Reads the batch's days and `lookback` before them, for the batch's codes only. Versions
-    written later are ignored, so that a replay sees what the first try saw.
+    Reads the days start..until, for the batch's codes only; the batch lies in since..until.
+    Versions written later are ignored, so that a replay sees what the first try saw.
     """
     table = store.ohlcv
     mine = version_of(epoch, batch)
     bars = table.version(spark, epoch, batch, since, until).select(*BAR_COLUMNS)
     codes = bars.select("code").distinct()
-    rows = table.versions(spark, since - lookback, until).filter(F.col("version") <= mine)
+    rows = table.versions(spark, start, until).filter(F.col("version") <= mine)
     view = table.merge(rows.join(codes, "code", "left_semi"), ["close"])
     near = previous_close(view).filter(F.col("version") == mine).select(*BAR_KEY, "prev_close")
     return bars.join(near, list(BAR_KEY), "left")
@@ -125,7 +125,7 @@ def apply_bars(
     bars: DataFrame,
     epoch: int,
     batch: int,
-    lookback: timedelta = LOOKBACK,
+    lookback_days: int = LOOKBACK_DAYS,
     created_at: Column | None = None,
     detected_at: Column | None = None,
     files_per_day: int = 1,
@@ -140,11 +140,12 @@ def apply_bars(
     if found is None:
         return
     since, until = found[0].date(), found[1].date()
-    priced = with_recent_close(spark, store, epoch, batch, since, until, lookback).persist()
+    start = since - timedelta(days=lookback_days)
+    priced = with_recent_close(spark, store, epoch, batch, since, until, start).persist()
     thresholds = store.anomaly_threshold.current(spark)
     bars = priced
     if not priced.filter(F.col("prev_close").isNull()).isEmpty():
-        bars = with_older_close(spark, store, priced, epoch, batch, since - lookback)
+        bars = with_older_close(spark, store, priced, epoch, batch, start)
     flagged = judge(bars, thresholds).filter("is_anomaly").persist()
     try:
         record_anomalies(spark, store, flagged, epoch, batch, since, until, detected_at)

@@ -1,13 +1,12 @@
 """Structured Streaming jobs over parsed ticks.
 
-Triggers: the default starts a micro-batch as soon as the last one ends; `once=True` drains what
-is there and stops, and can be repeated on the same checkpoint.
+Triggers: the default starts a micro-batch as soon as the last one ends, `every="1 minute"` at
+that pace (each batch is one version in the store, so a pace bounds their number), `once=True`
+drains what is there and stops, and can be repeated on the same checkpoint.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -15,13 +14,19 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..operators import aggregate_ohlcv, flatten_bars, valid_ticks
 from ..operators.bars import LATENESS, WIDTH
 from ..operators.quality import quarantined_ticks
-from ..plans.detection import LOOKBACK, apply_bars
+from ..plans.detection import LOOKBACK_DAYS, apply_bars
 from ..plans.store import Store
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, once: bool) -> StreamingQuery:
+def _start(
+    writer: DataStreamWriter, checkpoint: str, once: bool, every: str | None = None
+) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif every is not None:
+        writer = writer.trigger(processingTime=every)
+    return writer.start()
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:
@@ -39,9 +44,10 @@ def start_bars(
     width: str = WIDTH,
     lateness: str = LATENESS,
     tie_break: str | None = None,
-    lookback: timedelta = LOOKBACK,
+    lookback_days: int = LOOKBACK_DAYS,
     files_per_day: int = 1,
     once: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Update mode: every micro-batch upserts the bars it touched, judges and logs them.
 
@@ -52,10 +58,11 @@ def start_bars(
     def on_batch(batch: DataFrame, number: int) -> None:
         # Reads run in the caller's session, which plans adaptively; the batch's own does not.
         apply_bars(
-            spark, store, batch, epoch, number, lookback, files_per_day=files_per_day
+            spark, store, batch, epoch, number, lookback_days, files_per_day=files_per_day
         )
 
-    return _start(bars.writeStream.outputMode("update").foreachBatch(on_batch), checkpoint, once)
+    writer = bars.writeStream.outputMode("update").foreachBatch(on_batch)
+    return _start(writer, checkpoint, once, every)
 
 
 def final_bars(
