@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +37,11 @@ def store_bars(
         seen, F.min("window_start").alias("first"), F.max("window_start").alias("last")
     )
     store.ohlcv.append(watched, epoch, batch, files_per_day)
-    found = seen.get
-    return (found["first"], found["last"]) if found.get("first") is not None else None
+    try:
+        found = seen.get
+    except Py4JJavaError:  # Catalyst knew the frame to be empty and dropped the observation
+        return None
+    return (found["first"], found["last"]) if found["first"] is not None else None
 
 
 def with_recent_close(

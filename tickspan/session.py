@@ -52,9 +52,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tickspan-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickspan-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

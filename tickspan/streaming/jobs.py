@@ -91,7 +91,8 @@ def start_quarantine(
 def print_messages(messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Show raw values on the console."""
     text = messages.select(F.col("value").cast("string").alias("value"))
-    return _start(text.writeStream.format("console"), checkpoint, once)
+    writer = text.writeStream.format("console").option("truncate", "false")
+    return _start(writer, checkpoint, once)
 
 
 def dropped_late(query: StreamingQuery) -> int:
