@@ -53,6 +53,20 @@ def cut(spark: SparkSession, folder: str, at: Sequence[str]) -> list[DataFrame]:
     ]
 
 
+def run_bars(
+    spark: SparkSession, feed: DataFrame, store: Store, checkpoint: str, width: str = WIDTH
+) -> StreamingQuery:
+    cores = spark.sparkContext.defaultParallelism
+    return start_bars(
+        spark, feed, store, checkpoint, width=width, once=True, state_partitions=cores
+    )
+
+
+def run_final_bars(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    cores = bars.sparkSession.sparkContext.defaultParallelism
+    return start_final_bars(bars, path, checkpoint, once=True, state_partitions=cores)
+
+
 def new_store(spark: SparkSession) -> tuple[Store, str]:
     return Store(new_folder(spark, "store")), new_folder(spark, "checkpoint")
 
@@ -61,7 +75,7 @@ def stream_ohlcv_update_final(spark, folder):
     """The table is streamed as it is; every bar is upserted."""
     store, checkpoint = new_store(spark)
     feed = ticks_from_events(stream_events(spark, folder))
-    drain(start_bars(spark, feed, store, checkpoint, width=WIDTH, once=True))
+    drain(run_bars(spark, feed, store, checkpoint))
     return rounded(store.ohlcv.current(spark).drop("created_at"), "volume")
 
 
@@ -71,7 +85,7 @@ def stream_restart(spark, folder):
     in_slices(
         spark,
         cut(spark, folder, MID_BAR),
-        lambda feed: start_bars(spark, feed, store, checkpoint, width=WIDTH, once=True),
+        lambda feed: run_bars(spark, feed, store, checkpoint),
     )
     rows = store.ohlcv.versions(spark)
     last = rows.agg(F.max("batch").alias("batch")).first()["batch"]
@@ -84,7 +98,7 @@ def stream_ohlcv_append(spark, folder):
     """Final bars only: those whose end the watermark has passed."""
     out, checkpoint = new_store(spark)
     feed = ticks_from_events(stream_events(spark, folder))
-    drain(start_final_bars(final_bars(feed, WIDTH), out.root, checkpoint, once=True))
+    drain(run_final_bars(final_bars(feed, WIDTH), out.root, checkpoint))
     return rounded(spark.read.parquet(out.root), "volume")
 
 
@@ -96,7 +110,7 @@ def stream_late_data(spark, folder):
     in_slices(
         spark,
         [first.filter(~late), rest, first.filter(late)],
-        lambda feed: start_bars(spark, feed, store, checkpoint, width=WIDTH, once=True),
+        lambda feed: run_bars(spark, feed, store, checkpoint),
     )
     return rounded(store.ohlcv.current(spark).drop("created_at"), "volume")
 
@@ -114,7 +128,7 @@ def stream_anomaly_log(spark, folder):
     in_slices(
         spark,
         cut(spark, folder, BAR_EDGE),
-        lambda feed: start_bars(spark, feed, store, checkpoint, width=WIDTH, once=True),
+        lambda feed: run_bars(spark, feed, store, checkpoint),
     )
     log = store.anomaly_log.current(spark).drop("detected_at")
     return rounded(log, "volume", "change_rate")
@@ -126,7 +140,7 @@ def stream_alerts(spark, folder):
     in_slices(
         spark,
         cut(spark, folder, BAR_EDGE),
-        lambda feed: start_bars(spark, feed, store, checkpoint, width=WIDTH, once=True),
+        lambda feed: run_bars(spark, feed, store, checkpoint),
     )
     return store.alerts.current(spark).select("code", "window_start", "message")
 
@@ -146,7 +160,7 @@ def stream_prev_close(spark, folder):
     in_slices(
         spark,
         cut(spark, folder, BAR_EDGE),
-        lambda feed: start_bars(spark, feed, store, checkpoint, width=WIDTH, once=True),
+        lambda feed: run_bars(spark, feed, store, checkpoint),
     )
     log = store.anomaly_log.current(spark)
     return rounded(
@@ -160,7 +174,7 @@ def stream_prev_close_state(spark, folder):
 
     def start(feed):
         priced = previous_close_by_state(final_bars(feed, WIDTH))
-        return start_final_bars(priced, out.root, checkpoint, once=True)
+        return run_final_bars(priced, out.root, checkpoint)
 
     in_slices(spark, cut(spark, folder, MID_BAR), start)
     found = spark.read.parquet(out.root)
@@ -177,7 +191,7 @@ def stream_json_bars(spark, folder):
     to_messages(ticks(spark, folder)).write.parquet(path)
     raw = spark.readStream.schema("key binary, value binary").parquet(path)
     store, checkpoint = new_store(spark)
-    drain(start_bars(spark, parse_ticks(raw), store, checkpoint, once=True))
+    drain(run_bars(spark, parse_ticks(raw), store, checkpoint, "1 minute"))
     return rounded(store.ohlcv.current(spark).drop("created_at"), "volume")
 
 

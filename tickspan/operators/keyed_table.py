@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +26,13 @@ def _version() -> Column:
     return F.shiftleft(F.col("epoch"), 40) + F.col("batch")
 
 
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder matches, on whatever file system the path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A table with unique keys.
@@ -89,12 +95,7 @@ class KeyedTable:
             days = [str(since + timedelta(n)) for n in range((until - since).days + 1)]
             reader = reader.option("basePath", self.path)
             path = f"{self.path}/dt={{{','.join(days)}}}"
-        try:
-            rows = reader.parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = spark.createDataFrame([], schema)
+        rows = reader.parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
         if since is not None:
             rows = rows.filter(F.col("dt") >= F.lit(since))
         if until is not None:

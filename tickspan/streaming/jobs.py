@@ -19,14 +19,27 @@ from ..plans.store import Store
 
 
 def _start(
-    writer: DataStreamWriter, checkpoint: str, once: bool, every: str | None = None
+    spark: SparkSession,
+    writer: DataStreamWriter,
+    checkpoint: str,
+    once: bool = False,
+    every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
+    """Start a query. A new checkpoint fixes its number of state partitions for good, so it can
+    be chosen apart from the session's shuffle partitions, which batch plans adapt at run time.
+    """
     writer = writer.option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
     elif every is not None:
         writer = writer.trigger(processingTime=every)
-    return writer.start()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+    try:
+        return writer.start()  # the query works on a copy of the session's settings
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:
@@ -48,6 +61,7 @@ def start_bars(
     files_per_day: int = 1,
     once: bool = False,
     every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Update mode: every micro-batch upserts the bars it touched, judges and logs them.
 
@@ -62,7 +76,7 @@ def start_bars(
         )
 
     writer = bars.writeStream.outputMode("update").foreachBatch(on_batch)
-    return _start(writer, checkpoint, once, every)
+    return _start(spark, writer, checkpoint, once, every, state_partitions)
 
 
 def final_bars(
@@ -73,11 +87,16 @@ def final_bars(
 
 
 def start_final_bars(
-    bars: DataFrame, path: str, checkpoint: str, once: bool = False
+    bars: DataFrame,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append final bars to Parquet files (exactly once, by the file sink's own log)."""
     writer = bars.writeStream.outputMode("append").format("parquet").option("path", path)
-    return _start(writer, checkpoint, once)
+    return _start(bars.sparkSession, writer, checkpoint, once, every, state_partitions)
 
 
 def start_quarantine(
@@ -85,14 +104,14 @@ def start_quarantine(
 ) -> StreamingQuery:
     """Keep the ticks that no bar can take, with the reason."""
     writer = quarantined_ticks(ticks).writeStream.outputMode("append").format("parquet")
-    return _start(writer.option("path", path), checkpoint, once)
+    return _start(ticks.sparkSession, writer.option("path", path), checkpoint, once)
 
 
 def print_messages(messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Show raw values on the console."""
     text = messages.select(F.col("value").cast("string").alias("value"))
     writer = text.writeStream.format("console").option("truncate", "false")
-    return _start(writer, checkpoint, once)
+    return _start(messages.sparkSession, writer, checkpoint, once)
 
 
 def dropped_late(query: StreamingQuery) -> int:
