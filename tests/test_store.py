@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickspan.operators import KeyedTable
 from tickspan.plans.detection import apply_bars, store_bars
-from tickspan.plans.reports import in_range, series
+from tickspan.plans.reports import stored_series
 from tickspan.plans.store import Store
 from tickspan.plans.thresholds import update_thresholds
 from tickspan.schemas import THRESHOLD
@@ -125,6 +125,16 @@ def test_previous_close_comes_from_an_older_day(spark, store):
     ]
 
 
+@pytest.mark.parametrize("gap", [0, 1, 2, 20, 30, 31, 32, 300])
+def test_previous_close_at_every_distance(spark, store, gap):
+    """Inside the first look-back, in the second, at their edges and beyond."""
+    set_thresholds(spark, store, {"A": 0.0})
+    put(spark, store, 0, [bar("A", 0, 90.0), bar("A", 1439, 100.0)])
+    put(spark, store, 1, [bar("A", 1440 + 1440 * gap, 110.0)])
+    log = store.anomaly_log.current(spark).orderBy("window_start").collect()
+    assert [r.prev_close for r in log] == [90.0, 100.0]
+
+
 def test_an_updated_older_close_is_the_one_found(spark, store):
     set_thresholds(spark, store, {"A": 0.0})
     put(spark, store, 0, [bar("A", 0, 100.0)])
@@ -215,10 +225,12 @@ def test_threshold_job_uses_the_current_versions(spark, store):
 def test_reports_read_stored_days_only(spark, store):
     rows = [bar("A", 1440 * d, float(d)) for d in range(10)]
     store_bars(store, bars_frame(spark, rows), 1, 0)
-    stored = store.ohlcv.versions(spark)
-    assert in_range(stored, "2024-01-03 00:00:00", "2024-01-04 00:00:00").count() == 2
-    found = series(stored, "close", "2024-01-03 00:00:00", "2024-01-04 00:00:00").collect()
-    assert [(r.time.day, r.value, r.metric) for r in found] == [(3, 2.0, "A"), (4, 3.0, "A")]
+    found = stored_series(spark, store, "close", datetime(2024, 1, 3), datetime(2024, 1, 4))
+    assert [(r.time.day, r.value, r.metric) for r in found.collect()] == [
+        (3, 2.0, "A"),
+        (4, 3.0, "A"),
+    ]
+    assert len(found.inputFiles()) == 2
 
 
 class Session:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from py4j.protocol import Py4JJavaError
@@ -15,7 +17,9 @@ from ..operators.keyed_table import version_of
 from ..schemas import BAR_COLUMNS
 from .store import BAR_KEY, Store
 
-LOOKBACK_DAYS = 1
+# How far back a predecessor is sought before all history is: one day serves every code that
+# trades daily, the second step the rare ones, so only new codes reach the oldest days.
+LOOKBACK_DAYS = (1, 30)
 
 
 def store_bars(
@@ -69,21 +73,28 @@ def with_recent_close(
 
 
 def with_older_close(
-    spark: SparkSession, store: Store, bars: DataFrame, epoch: int, batch: int, before: date
+    spark: SparkSession,
+    store: Store,
+    bars: DataFrame,
+    epoch: int,
+    batch: int,
+    since: date | None,
+    until: date,
 ) -> DataFrame:
-    """Fill a missing prev_close from the days before `before`.
+    """Fill a missing prev_close from the stored days since..until.
 
     At most one bar per code lacks it, the first one in the range read so far; only the codes of
     those bars look through the older days, each for its newest close.
     """
+    table = store.ohlcv
     seekers = bars.filter(F.col("prev_close").isNull()).select("code").distinct()
+    rows = table.versions(spark, since, until).filter(
+        F.col("version") <= version_of(epoch, batch)
+    )
     newest = (
-        store.ohlcv.versions(spark, None, before - timedelta(days=1))
-        .filter(F.col("version") <= version_of(epoch, batch))
-        .select("code", "window_start", "version", "close")
-        .join(seekers, "code", "left_semi")
+        table.merge(rows.join(seekers, "code", "left_semi"), ["close"])
         .groupBy("code")
-        .agg(F.max_by("close", F.struct("window_start", "version")).alias("_older"))
+        .agg(F.max_by("close", "window_start").alias("_older"))
     )
     return (
         bars.join(newest, "code", "left")
@@ -92,6 +103,37 @@ def with_older_close(
     )
 
 
+@contextmanager
+def with_previous_close(
+    spark: SparkSession,
+    store: Store,
+    epoch: int,
+    batch: int,
+    since: date,
+    until: date,
+    lookback_days: Sequence[int] = LOOKBACK_DAYS,
+) -> Iterator[DataFrame]:
+    """The bars of version (epoch, batch), which lie in since..until, with their prev_close.
+
+    Each step reads further back, and only while some bar still lacks its predecessor.
+    """
+    start = since - timedelta(days=lookback_days[0])
+    bars = with_recent_close(spark, store, epoch, batch, since, until, start).persist()
+    steps = [bars]
+    try:
+        for days in [*lookback_days[1:], None]:
+            if bars.filter(F.col("prev_close").isNull()).isEmpty():
+                break
+            before = start - timedelta(days=1)
+            start = since - timedelta(days=days) if days is not None else None
+            bars = with_older_close(spark, store, bars, epoch, batch, start, before).persist()
+            steps.append(bars)
+        yield bars
+    finally:
+        for step in steps:
+            step.unpersist()
+
+
 def record_anomalies(
     spark: SparkSession,
     store: Store,
@@ -120,7 +162,8 @@ def record_anomalies(
         alert_message(F.col("code"), F.col("close"), rate).alias("message"),
     )
     log.append(flagged, epoch, batch)
-    store.alerts.append(alerts, epoch, batch)
+    if not flagged.isEmpty():
+        store.alerts.append(alerts, epoch, batch)
 
 
 def apply_bars(
@@ -129,7 +172,7 @@ def apply_bars(
     bars: DataFrame,
     epoch: int,
     batch: int,
-    lookback_days: int = LOOKBACK_DAYS,
+    lookback_days: Sequence[int] = LOOKBACK_DAYS,
     created_at: Column | None = None,
     detected_at: Column | None = None,
     files_per_day: int = 1,
@@ -144,15 +187,11 @@ def apply_bars(
     if found is None:
         return
     since, until = found[0].date(), found[1].date()
-    start = since - timedelta(days=lookback_days)
-    priced = with_recent_close(spark, store, epoch, batch, since, until, start).persist()
     thresholds = store.anomaly_threshold.current(spark)
-    bars = priced
-    if not priced.filter(F.col("prev_close").isNull()).isEmpty():
-        bars = with_older_close(spark, store, priced, epoch, batch, start)
-    flagged = judge(bars, thresholds).filter("is_anomaly").persist()
-    try:
-        record_anomalies(spark, store, flagged, epoch, batch, since, until, detected_at)
-    finally:
-        flagged.unpersist()
-        priced.unpersist()
+    days = (since, until)
+    with with_previous_close(spark, store, epoch, batch, *days, lookback_days) as priced:
+        flagged = judge(priced, thresholds).filter("is_anomaly").persist()
+        try:
+            record_anomalies(spark, store, flagged, epoch, batch, *days, detected_at)
+        finally:
+            flagged.unpersist()

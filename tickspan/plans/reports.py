@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import round2, severity
+from .store import Store
 
 TOP_ANOMALIES = 50
 DEFAULT_RANGE = timedelta(hours=1)
 
 
 def in_range(bars: DataFrame, since: str, until: str) -> DataFrame:
-    """Both ends included. Over a stored table the day predicate prunes partitions as well."""
+    """Both ends included."""
     start, end = (F.lit(t).cast("timestamp") for t in (since, until))
-    if "dt" in bars.columns:
-        bars = bars.filter(F.col("dt").between(F.to_date(start), F.to_date(end)))
     return bars.filter(F.col("window_start").between(start, end))
 
 
@@ -38,6 +37,14 @@ def series(bars: DataFrame, column: str, since: str, until: str) -> DataFrame:
     )
 
 
+def stored_series(
+    spark: SparkSession, store: Store, column: str, since: datetime, until: datetime
+) -> DataFrame:
+    """The same over the stored bars; lists and reads the days of the range alone."""
+    bars = store.ohlcv.current(spark, since.date(), until.date())
+    return series(bars, column, str(since), str(until))
+
+
 def newest_anomalies(log: DataFrame, n: int = TOP_ANOMALIES) -> DataFrame:
     """The n anomalies detected last; bars of one batch share detected_at, so ties are ordered."""
     return (

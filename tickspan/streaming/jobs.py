@@ -7,6 +7,8 @@ drains what is there and stops, and can be repeated on the same checkpoint.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -57,7 +59,7 @@ def start_bars(
     width: str = WIDTH,
     lateness: str = LATENESS,
     tie_break: str | None = None,
-    lookback_days: int = LOOKBACK_DAYS,
+    lookback_days: Sequence[int] = LOOKBACK_DAYS,
     files_per_day: int = 1,
     once: bool = False,
     every: str | None = None,
