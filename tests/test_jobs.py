@@ -32,6 +32,12 @@ def test_raw_feed_to_thresholds(spark, tmp_path):
     assert store.anomaly_log.current(spark).count() == 10  # default threshold, moves of ten percent
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
+    main(
+        ["quarantine", "--from", f"parquet:{tmp_path}/ticks", "--to", f"{tmp_path}/bad", "--once"]
+        + ["--checkpoint", f"{tmp_path}/cp3"]
+    )
+    assert spark.read.parquet(f"{tmp_path}/bad").count() == 0
+
     as_of = START.replace(day=2)
     main(["thresholds", "--store", f"{tmp_path}/store", "--as-of", str(as_of)])
     found = store.anomaly_threshold.current(spark).collect()

@@ -213,7 +213,7 @@ def asof_two_table(spark, folder):
     """Every tick with the close of the last hourly bar that started before it."""
     left = ticks(spark, folder).select("event_id", "code", "event_time", "trade_price")
     right = hourly(spark, folder).select("code", "window_start", "close")
-    return asof_join(left, right, ["code"], "event_time", "window_start", ["close"], bucket="day")
+    return asof_join(left, right, ["code"], "event_time", "window_start", ["close"])
 
 
 def asof_completed_bar(spark, folder):

@@ -2,6 +2,7 @@
 
     spark-submit run.py ingest --from text:/landing --to parquet:/ticks --checkpoint /cp/ingest
     spark-submit run.py bars --from parquet:/ticks --store /store --checkpoint /cp/bars
+    spark-submit run.py quarantine --from parquet:/ticks --to /bad --checkpoint /cp/bad
     spark-submit run.py thresholds --store /store --as-of "2024-01-31 00:00:00"
 
 A source or sink is `format:path`, or `kafka:servers/topic` with the Kafka connector on the
@@ -27,7 +28,7 @@ from .sources import (
     stream_messages,
     write_messages,
 )
-from .streaming import drain, start_bars
+from .streaming import drain, start_bars, start_quarantine
 
 
 def source(spark: SparkSession, place: str, starting: str = "latest") -> DataFrame:
@@ -56,16 +57,18 @@ def ingest(raw: DataFrame, place: str, checkpoint: str, once: bool, symbols: lis
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tickspan")
     commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("ingest", "bars"):
+    for name in ("ingest", "bars", "quarantine"):
         command = commands.add_parser(name)
         command.add_argument("--from", dest="source", required=True)
         command.add_argument("--starting", default="latest")
         command.add_argument("--checkpoint", required=True)
         command.add_argument("--once", action="store_true")
-        if name == "ingest":
+        if name != "bars":
             command.add_argument("--to", required=True)
+        if name == "ingest":
             command.add_argument("--symbols", nargs="*", default=[])
-        else:
+        if name == "bars":
+            command.add_argument("--precision", choices=["millis", "second"], default="millis")
             command.add_argument("--store", required=True)
             command.add_argument("--epoch", type=int, default=1)
             command.add_argument("--width", default="1 minute")
@@ -89,9 +92,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "ingest":
         ingest(raw, args.to, args.checkpoint, args.once, args.symbols)
         return
+    if args.command == "quarantine":
+        drain(start_quarantine(parse_ticks(raw), args.to, args.checkpoint, args.once))
+        return
     query = start_bars(
         spark,
-        parse_ticks(raw),
+        parse_ticks(raw, args.precision),
         Store(args.store),
         args.checkpoint,
         epoch=args.epoch,
