@@ -1,5 +1,6 @@
 """Keyed tables: upserts, replays, partition pruning, compaction; the jobs over them."""
 
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -64,7 +65,8 @@ def test_higher_epoch_wins_over_any_batch_number(spark, store):
 def test_store_bars_reports_the_time_range(spark, store):
     rows = [bar("A", 3, 1.0), bar("A", 3000, 1.0), bar("B", 70, 1.0)]
     found = store_bars(store, bars_frame(spark, rows), 1, 0)
-    assert found == (at(180), at(180000))
+    assert [t.replace(tzinfo=None) for t in found] == [at(180), at(180000)]
+    assert all(t.utcoffset() == timedelta(0) for t in found)
     assert store_bars(store, bars_frame(spark, []), 1, 1) is None
 
 
@@ -125,14 +127,17 @@ def test_previous_close_comes_from_an_older_day(spark, store):
     ]
 
 
-@pytest.mark.parametrize("gap", [0, 1, 2, 20, 30, 31, 32, 300])
-def test_previous_close_at_every_distance(spark, store, gap):
-    """Inside the first look-back, in the second, at their edges and beyond."""
-    set_thresholds(spark, store, {"A": 0.0})
-    put(spark, store, 0, [bar("A", 0, 90.0), bar("A", 1439, 100.0)])
-    put(spark, store, 1, [bar("A", 1440 + 1440 * gap, 110.0)])
-    log = store.anomaly_log.current(spark).orderBy("window_start").collect()
-    assert [r.prev_close for r in log] == [90.0, 100.0]
+@pytest.mark.parametrize(
+    "minutes", [1, 59, 60, 61, 1439, 1440, 1441, 30 * 1440 - 1, 30 * 1440, 30 * 1440 + 1, 500000]
+)
+def test_previous_close_at_every_distance(spark, store, minutes):
+    """Inside each look-back, at their edges and beyond; a nearer code must not hide it."""
+    set_thresholds(spark, store, {"A": 0.0, "B": 0.0})
+    put(spark, store, 0, [bar("A", 0, 90.0), bar("A", 3, 100.0)])
+    put(spark, store, 1, [bar("B", 2 + minutes, 7.0)])
+    put(spark, store, 2, [bar("A", 3 + minutes, 110.0), bar("B", 3 + minutes, 8.0)])
+    log = store.anomaly_log.current(spark).orderBy("code", "window_start").collect()
+    assert [(r.code, r.prev_close) for r in log] == [("A", 90.0), ("A", 100.0), ("B", 7.0)]
 
 
 def test_an_updated_older_close_is_the_one_found(spark, store):
@@ -191,6 +196,29 @@ def test_replay_of_the_first_detection_alerts_again_only_in_place(spark, store):
     assert store.alerts.versions(spark).count() == 1
 
 
+def test_days_are_utc_whatever_the_time_zone_of_the_driver(spark, store, monkeypatch):
+    """Bars on both sides of midnight UTC, seen from a zone nine hours ahead and one behind."""
+    set_thresholds(spark, store, {"A": 0.0})
+    try:
+        for batch, zone in enumerate(("Asia/Seoul", "America/New_York")):
+            monkeypatch.setenv("TZ", zone)
+            time.tzset()
+            for step, (start, close) in enumerate([("01 23:50:00", 10.0), ("02 00:10:00", 11.0)]):
+                month = f"2024-0{batch + 1}"
+                bars = spark.sql(
+                    f"""SELECT 'A' AS code, TIMESTAMP '{month}-{start}' AS window_start,
+                    TIMESTAMP '{month}-{start}' + INTERVAL 1 MINUTE AS window_end,
+                    {close}D AS open, {close}D AS high, {close}D AS low, {close}D AS close,
+                    1D AS volume, 1L AS trade_count"""
+                )
+                apply_bars(spark, store, bars, 1, 2 * batch + step)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    log = store.anomaly_log.current(spark).orderBy("window_start").collect()
+    assert [(r.close, r.prev_close) for r in log] == [(11.0, 10.0), (10.0, 11.0), (11.0, 10.0)]
+
+
 def test_first_bar_is_never_flagged(spark, store):
     set_thresholds(spark, store, {"A": 0.0})
     put(spark, store, 0, [bar("A", 0, 100.0)])

@@ -86,5 +86,8 @@ def judge(bars: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def detect(bars: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """The anomalous ones among final bars."""
+    """The anomalous ones among final bars.
+
+    Give bars that are a stored table (see `as_table`): they are read more than once here.
+    """
     return judge(previous_close(bars), thresholds).filter("is_anomaly").drop("is_anomaly")

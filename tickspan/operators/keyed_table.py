@@ -62,7 +62,8 @@ class KeyedTable:
         )
         folders = ["epoch", "batch"]
         if self.day_of is not None:
-            out = out.withColumn("dt", F.to_date(self.day_of))
+            day = F.floor(F.unix_seconds(self.day_of) / 86400).cast("int")  # UTC in any session
+            out = out.withColumn("dt", F.date_from_unix_date(day))
             folders = ["dt", *folders]
         spread = [F.col("dt")] if self.day_of is not None else []
         if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":

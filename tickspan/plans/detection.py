@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,9 +17,12 @@ from ..operators.keyed_table import version_of
 from ..schemas import BAR_COLUMNS
 from .store import BAR_KEY, Store
 
-# How far back a predecessor is sought before all history is: one day serves every code that
-# trades daily, the second step the rare ones, so only new codes reach the oldest days.
-LOOKBACK_DAYS = (1, 30)
+# How far back a predecessor is sought, step by step, before all history is. The first step
+# serves every code that trades steadily and bounds what each micro-batch reads; the later ones
+# read for the codes still without an answer, so only new codes reach the oldest days.
+LOOKBACKS = (timedelta(hours=1), timedelta(days=1), timedelta(days=30))
+
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def store_bars(
@@ -30,69 +33,55 @@ def store_bars(
     created_at: Column | None = None,
     files_per_day: int = 1,
 ) -> tuple[datetime, datetime] | None:
-    """Write bars as version (epoch, batch); return their time range, None when there are none.
+    """Write bars as version (epoch, batch); return their time range in UTC, None without bars.
 
-    The range is observed while writing, so the bars are computed exactly once.
+    The range is observed while writing, so the bars are computed exactly once. It travels as
+    microseconds: a timestamp would come back in the time zone of the Python process.
     """
     seen = Observation()
     stamp = created_at if created_at is not None else F.current_timestamp()
     stamped = bars.select(*BAR_COLUMNS, stamp.alias("created_at"))
-    watched = stamped.observe(
-        seen, F.min("window_start").alias("first"), F.max("window_start").alias("last")
-    )
+    micros = F.unix_micros("window_start")
+    watched = stamped.observe(seen, F.min(micros).alias("first"), F.max(micros).alias("last"))
     store.ohlcv.append(watched, epoch, batch, files_per_day)
     try:
         found = seen.get
     except Py4JJavaError:  # Catalyst knew the frame to be empty and dropped the observation
         return None
-    return (found["first"], found["last"]) if found["first"] is not None else None
+    if found["first"] is None:
+        return None
+    return tuple(EPOCH + timedelta(microseconds=found[k]) for k in ("first", "last"))
 
 
 def with_recent_close(
-    spark: SparkSession,
-    store: Store,
-    epoch: int,
-    batch: int,
-    since: date,
-    until: date,
-    start: date,
+    rows: DataFrame, store: Store, epoch: int, batch: int
 ) -> DataFrame:
-    """The bars of version (epoch, batch) with the close of their latest stored predecessor.
+    """The bars of version (epoch, batch) with the close of their latest predecessor in `rows`.
 
-    Reads the days start..until, for the batch's codes only; the batch lies in since..until.
+    `rows` are stored versions that include the batch; only the batch's codes are looked at.
     Versions written later are ignored, so that a replay sees what the first try saw.
     """
-    table = store.ohlcv
     mine = version_of(epoch, batch)
-    bars = table.version(spark, epoch, batch, since, until).select(*BAR_COLUMNS)
+    bars = rows.filter(F.col("version") == mine).select(*BAR_COLUMNS)
+    known = rows.filter(F.col("version") <= mine)
     codes = bars.select("code").distinct()
-    rows = table.versions(spark, start, until).filter(F.col("version") <= mine)
-    view = table.merge(rows.join(codes, "code", "left_semi"), ["close"])
+    view = store.ohlcv.merge(known.join(codes, "code", "left_semi"), ["close"])
     near = previous_close(view).filter(F.col("version") == mine).select(*BAR_KEY, "prev_close")
     return bars.join(near, list(BAR_KEY), "left")
 
 
 def with_older_close(
-    spark: SparkSession,
-    store: Store,
-    bars: DataFrame,
-    epoch: int,
-    batch: int,
-    since: date | None,
-    until: date,
+    bars: DataFrame, rows: DataFrame, store: Store, epoch: int, batch: int
 ) -> DataFrame:
-    """Fill a missing prev_close from the stored days since..until.
+    """Fill a missing prev_close from `rows`, stored versions older than what was read so far.
 
     At most one bar per code lacks it, the first one in the range read so far; only the codes of
-    those bars look through the older days, each for its newest close.
+    those bars look through the older rows, each for its newest close.
     """
-    table = store.ohlcv
     seekers = bars.filter(F.col("prev_close").isNull()).select("code").distinct()
-    rows = table.versions(spark, since, until).filter(
-        F.col("version") <= version_of(epoch, batch)
-    )
+    known = rows.filter(F.col("version") <= version_of(epoch, batch))
     newest = (
-        table.merge(rows.join(seekers, "code", "left_semi"), ["close"])
+        store.ohlcv.merge(known.join(seekers, "code", "left_semi"), ["close"])
         .groupBy("code")
         .agg(F.max_by("close", "window_start").alias("_older"))
     )
@@ -109,24 +98,30 @@ def with_previous_close(
     store: Store,
     epoch: int,
     batch: int,
-    since: date,
-    until: date,
-    lookback_days: Sequence[int] = LOOKBACK_DAYS,
+    first: datetime,
+    last: datetime,
+    lookbacks: Sequence[timedelta] = LOOKBACKS,
 ) -> Iterator[DataFrame]:
-    """The bars of version (epoch, batch), which lie in since..until, with their prev_close.
+    """The bars of version (epoch, batch), which start in first..last, with their prev_close.
 
     Each step reads further back, and only while some bar still lacks its predecessor.
     """
-    start = since - timedelta(days=lookback_days[0])
-    bars = with_recent_close(spark, store, epoch, batch, since, until, start).persist()
+    table = store.ohlcv
+    time = F.col("window_start")
+    start = first - lookbacks[0]
+    rows = table.versions(spark, start.date(), last.date()).filter(time.between(start, last))
+    bars = with_recent_close(rows, store, epoch, batch).persist()
     steps = [bars]
     try:
-        for days in [*lookback_days[1:], None]:
+        for back in [*lookbacks[1:], None]:
             if bars.filter(F.col("prev_close").isNull()).isEmpty():
                 break
-            before = start - timedelta(days=1)
-            start = since - timedelta(days=days) if days is not None else None
-            bars = with_older_close(spark, store, bars, epoch, batch, start, before).persist()
+            end, start = start, first - back if back is not None else None
+            rows = table.versions(spark, start.date() if start else None, end.date())
+            rows = rows.filter(time < end)
+            if start is not None:
+                rows = rows.filter(time >= start)
+            bars = with_older_close(bars, rows, store, epoch, batch).persist()
             steps.append(bars)
         yield bars
     finally:
@@ -172,7 +167,7 @@ def apply_bars(
     bars: DataFrame,
     epoch: int,
     batch: int,
-    lookback_days: Sequence[int] = LOOKBACK_DAYS,
+    lookbacks: Sequence[timedelta] = LOOKBACKS,
     created_at: Column | None = None,
     detected_at: Column | None = None,
     files_per_day: int = 1,
@@ -186,12 +181,11 @@ def apply_bars(
     found = store_bars(store, bars, epoch, batch, created_at, files_per_day)
     if found is None:
         return
-    since, until = found[0].date(), found[1].date()
     thresholds = store.anomaly_threshold.current(spark)
-    days = (since, until)
-    with with_previous_close(spark, store, epoch, batch, *days, lookback_days) as priced:
+    with with_previous_close(spark, store, epoch, batch, *found, lookbacks) as priced:
         flagged = judge(priced, thresholds).filter("is_anomaly").persist()
         try:
+            days = (t.date() for t in found)
             record_anomalies(spark, store, flagged, epoch, batch, *days, detected_at)
         finally:
             flagged.unpersist()

@@ -13,12 +13,14 @@ HORIZON_DAYS = 7
 
 
 def update_thresholds(spark: SparkSession, store: Store, as_of: datetime | None = None) -> None:
-    """Upsert thresholds from the bars of the week before as_of (UTC, default now).
+    """Upsert thresholds from the bars of the week before as_of (UTC unless it has a zone, default now).
 
     Reads only that week's day partitions. Codes without statistics keep their row, and a run
     with no bars at all changes nothing. Repeating a run of the same as_of replaces it.
     """
-    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+    as_of = as_of or datetime.now(timezone.utc)
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
     first_day = (as_of - timedelta(days=HORIZON_DAYS)).date()
     table = store.ohlcv
     rows = table.versions(spark, first_day, as_of.date())

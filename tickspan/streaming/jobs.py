@@ -8,6 +8,7 @@ drains what is there and stops, and can be repeated on the same checkpoint.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..operators import aggregate_ohlcv, flatten_bars, valid_ticks
 from ..operators.bars import LATENESS, WIDTH
 from ..operators.quality import quarantined_ticks
-from ..plans.detection import LOOKBACK_DAYS, apply_bars
+from ..plans.detection import LOOKBACKS, apply_bars
 from ..plans.store import Store
 
 
@@ -59,7 +60,7 @@ def start_bars(
     width: str = WIDTH,
     lateness: str = LATENESS,
     tie_break: str | None = None,
-    lookback_days: Sequence[int] = LOOKBACK_DAYS,
+    lookbacks: Sequence[timedelta] = LOOKBACKS,
     files_per_day: int = 1,
     once: bool = False,
     every: str | None = None,
@@ -74,7 +75,7 @@ def start_bars(
     def on_batch(batch: DataFrame, number: int) -> None:
         # Reads run in the caller's session, which plans adaptively; the batch's own does not.
         apply_bars(
-            spark, store, batch, epoch, number, lookback_days, files_per_day=files_per_day
+            spark, store, batch, epoch, number, lookbacks, files_per_day=files_per_day
         )
 
     writer = bars.writeStream.outputMode("update").foreachBatch(on_batch)
