@@ -127,17 +127,19 @@ def test_previous_close_comes_from_an_older_day(spark, store):
     ]
 
 
-@pytest.mark.parametrize(
-    "minutes", [1, 59, 60, 61, 1439, 1440, 1441, 30 * 1440 - 1, 30 * 1440, 30 * 1440 + 1, 500000]
-)
-def test_previous_close_at_every_distance(spark, store, minutes):
-    """Inside each look-back, at their edges and beyond; a nearer code must not hide it."""
-    set_thresholds(spark, store, {"A": 0.0, "B": 0.0})
-    put(spark, store, 0, [bar("A", 0, 90.0), bar("A", 3, 100.0)])
-    put(spark, store, 1, [bar("B", 2 + minutes, 7.0)])
-    put(spark, store, 2, [bar("A", 3 + minutes, 110.0), bar("B", 3 + minutes, 8.0)])
-    log = store.anomaly_log.current(spark).orderBy("code", "window_start").collect()
-    assert [(r.code, r.prev_close) for r in log] == [("A", 90.0), ("A", 100.0), ("B", 7.0)]
+def test_previous_close_at_every_distance(spark, store):
+    """Inside each look-back, at their edges and beyond; a near code must not hide a far one."""
+    month = 30 * 1440
+    gaps = [1, 59, 60, 61, 1439, 1440, 1441, month - 1, month, month + 1, 500000]
+    codes = {f"after {gap}": gap for gap in gaps}
+    set_thresholds(spark, store, dict.fromkeys(codes, 0.0))
+    now = 600000
+    old = [bar(code, now - gap, float(gap)) for code, gap in codes.items()]
+    older = [bar(code, now - gap - 1, 5.0) for code, gap in codes.items()]
+    store_bars(store, bars_frame(spark, old + older), 1, 0)
+    put(spark, store, 1, [bar(code, now, 1.5) for code in [*codes, "new"]])
+    log = store.anomaly_log.current(spark).collect()
+    assert {r.code: r.prev_close for r in log} == {c: float(g) for c, g in codes.items()}
 
 
 def test_an_updated_older_close_is_the_one_found(spark, store):
