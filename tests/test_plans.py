@@ -1,15 +1,17 @@
 """The plans have the shape that scales: partial hash aggregation, pruning, no Python, no cross."""
 
 import re
+from datetime import timedelta
 
 import pytest
 from helpers import bar, bars_frame
+from pyspark.sql import functions as F
 
 from tickspan.catalog import BATCH
-from tickspan.operators import bars_of, previous_close
-from tickspan.plans.detection import store_bars
+from tickspan.operators import bars_of, previous_close, valid_ticks
+from tickspan.plans.detection import store_bars, with_recent_close
 from tickspan.plans.store import Store
-from tickspan.sources import load, only_symbols, ticks_from_events
+from tickspan.sources import load, only_symbols, parse_ticks, ticks_from_events
 
 STORED = {
     "threshold_upsert",
@@ -70,6 +72,26 @@ def test_time_and_symbol_filters_reach_the_scan(spark, data):
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in text
 
 
+def test_a_message_is_parsed_once(spark):
+    raw = spark.range(1).selectExpr("cast(concat('{', id, '}') as binary) AS value")
+    assert plan(bars_of(valid_ticks(parse_ticks(raw)))).count("from_json") == 1
+
+
+def test_a_batch_reads_only_its_recent_days_and_columns(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    rows = [bar("A", 1440 * d, float(d)) for d in range(5)]
+    store_bars(store, bars_frame(spark, rows), 1, 0)
+    found = store_bars(store, bars_frame(spark, [bar("A", 1440 * 4 + 1, 9.0)]), 1, 1)
+    start = found[0] - timedelta(hours=1)
+    stored = store.ohlcv.versions(spark, start.date(), found[1].date())
+    recent = with_recent_close(stored.filter(F.col("window_start") >= start), store, 1, 1)
+    assert [r.prev_close for r in recent.collect()] == [4.0]
+    text = plan(recent)
+    assert "GreaterThanOrEqual(window_start" in text
+    assert "ReadSchema: struct<code:string,window_start:timestamp,close:double>" in text
+    assert len(stored.inputFiles()) == 3  # of six: one on the day of `start`, two on the last
+
+
 def test_the_current_view_is_a_hash_aggregation(spark, tmp_path):
     store = Store(str(tmp_path / "store"))
     store_bars(store, bars_frame(spark, [bar("A", 0, 1.0)]), 1, 0)

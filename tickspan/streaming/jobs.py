@@ -74,9 +74,7 @@ def start_bars(
 
     def on_batch(batch: DataFrame, number: int) -> None:
         # Reads run in the caller's session, which plans adaptively; the batch's own does not.
-        apply_bars(
-            spark, store, batch, epoch, number, lookbacks, files_per_day=files_per_day
-        )
+        apply_bars(spark, store, batch, epoch, number, lookbacks, files_per_day=files_per_day)
 
     writer = bars.writeStream.outputMode("update").foreachBatch(on_batch)
     return _start(spark, writer, checkpoint, once, every, state_partitions)
