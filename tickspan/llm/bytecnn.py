@@ -226,7 +226,7 @@ def predict(text: Column, net: Network) -> Column:
             n = len(bounds) - 1
             begins, text, fresh = windows_of(data, bounds)
             total = np.zeros((n, len(net.languages)))
-            for a in range(0, len(begins), STEP_WINDOWS):
+            for a in range(0, len(begins) if net.languages else 0, STEP_WINDOWS):
                 own = text[a : a + STEP_WINDOWS]
                 part = cut(data, begins[a : a + STEP_WINDOWS], bounds[1:][own])
                 logs = tables.log_probabilities(part) * fresh[a : a + STEP_WINDOWS, None]

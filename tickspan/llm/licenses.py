@@ -47,7 +47,7 @@ NOTICES = {
     "dedicated to the public domain under cc0": "cc0",
 }
 #: One error for so many characters of a notice.
-CHARACTERS_PER_ERROR = 12
+CHARACTERS_PER_ERROR = 10
 
 # ASCII other than letters and digits cuts words; A-Z become a-z; all else stands in words.
 NORMAL = bytes(

@@ -2,7 +2,7 @@
 
 Terms are the words, and the beginnings of longer words, that tell the labels apart (chi-squared
 over the labelled examples, most telling first). Examples and texts are unit vectors of log term frequency times inverse document
-frequency over these terms. The examples lie in an inverted index: postings in the order of the
+frequency over these terms, and one more dimension of a fixed weight for the rest of the text. The examples lie in an inverted index: postings in the order of the
 examples' numbers, cut into blocks at the same numbers for all terms, with the largest weight of
 each term in each block. A query's weights times these maxima bound the cosine of all examples of
 a block, so blocks are visited from the highest bound down until the bound is below the k-th best
@@ -32,9 +32,13 @@ from .frames import texts_of
 EXAMPLES_PER_LABEL = 2000
 TERMS = 128
 #: Bytes of the beginnings of words that are terms as well; names of such terms end in a star.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 7)
+#: Weight of the one dimension that stands for all else in a text, so that the angle between texts
+#: also tells how much of the terms they hold; its name is no word.
+REST = 6.0
+REST_NAME = b""
 #: Chi-squared, with one degree of freedom, below which a word tells nothing.
-TELLING = 60.0
+TELLING = 15.0
 NEIGHBOURS = 15
 BLOCK = 64
 #: Weight of the overall share among the neighbours' votes.
@@ -86,7 +90,7 @@ class Index:
     overall: float = 0.0
 
     def __post_init__(self) -> None:
-        self.whole = {t: i for t, i in self.terms.items() if not t.endswith(b"*")}
+        self.whole = {t: i for t, i in self.terms.items() if t and not t.endswith(b"*")}
         own = [
             (size, {t[:-1]: i for t, i in self.terms.items() if t[size:] == b"*"})
             for size in BEGINNINGS
@@ -94,7 +98,7 @@ class Index:
         self.beginnings = [(size, terms) for size, terms in own if terms]
 
     def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Places and weights of the terms in a text; a unit vector, or empty."""
+        """Places and weights of the terms in a text; a unit vector, or empty without any."""
         own, found = Counter(words), Counter()
         for word in self.whole.keys() & own.keys():
             found[self.whole[word]] += own[word]
@@ -106,6 +110,7 @@ class Index:
             return np.zeros(0, np.int64), np.zeros(0)
         at = np.array(sorted(found), np.int64)
         weight = (1 + np.log([found[t] for t in at.tolist()])) * self.idf[at]
+        at, weight = np.append(at, self.terms[REST_NAME]), np.append(weight, REST)
         return at, weight / np.sqrt((weight * weight).sum())
 
     def nearest(
@@ -194,7 +199,7 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
     order = np.argsort(ids, kind="stable")
     ids, toxic, share = ids[order], toxic[order].astype(np.int64), share[order].astype(float)
     words = [words_of(texts[i]) for i in order.tolist()]
-    terms = telling_terms([term_counts(w) for w in words], toxic, share)
+    terms = [*telling_terms([term_counts(w) for w in words], toxic, share), (REST_NAME, 1.0)]
     idf = np.array([np.log(1 + 1 / max(rate, 1e-9)) for _, rate in terms])
     blocks = -(-len(ids) // BLOCK)
     index = Index(
@@ -327,7 +332,7 @@ def score(text: Column, index: Index) -> Column:
                 [
                     pa.array(scores),
                     pa.array(evidence, kind),
-                    pa.array([[names[t] for t in at.tolist()] for at, _ in vectors], pa.list_(pa.string())),
+                    pa.array([[names[t] for t in at[:-1].tolist()] for at, _ in vectors], pa.list_(pa.string())),
                 ],
                 ["score", "neighbours", "terms"],
             )
