@@ -26,6 +26,7 @@ def test_raw_feed_to_thresholds(spark, tmp_path):
     main(
         ["bars", "--from", f"parquet:{tmp_path}/ticks", "--store", f"{tmp_path}/store", "--once"]
         + ["--checkpoint", f"{tmp_path}/cp2", "--state-partitions", "2"]
+        + ["--rejects", f"{tmp_path}/rejects"]
     )
     store = Store(f"{tmp_path}/store")
     assert store.ohlcv.current(spark).count() == 12
@@ -38,6 +39,11 @@ def test_raw_feed_to_thresholds(spark, tmp_path):
     )
     assert spark.read.parquet(f"{tmp_path}/bad").count() == 0
 
+    assert spark.read.parquet(f"{tmp_path}/rejects").count() == 0
+    before = sorted(store.ohlcv.current(spark).collect())
+    main(["close-days", "--store", f"{tmp_path}/store", "--until", "2024-01-01"])
+    assert sorted(store.ohlcv.current(spark).collect()) == before
+
     as_of = START.replace(day=2)
     main(["thresholds", "--store", f"{tmp_path}/store", "--as-of", str(as_of)])
     found = store.anomaly_threshold.current(spark).collect()

@@ -19,6 +19,10 @@ STORED = {
     "ohlcv_upsert_latest",
     "anomaly_log_upsert",
     "alert_new_only",
+    "stored_close_series",
+    "stored_top50",
+    "stored_threshold_table",
+    "ohlcv_after_compaction",
 }
 
 
@@ -72,6 +76,21 @@ def test_time_and_symbol_filters_reach_the_scan(spark, data):
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in text
 
 
+@pytest.mark.parametrize(
+    "name", ["dashboard_close_series", "dashboard_volume_series", "time_range_last_hour"]
+)
+def test_a_report_range_reaches_the_scan(spark, data, name):
+    text = plan(BATCH[name](spark, data))
+    assert "GreaterThanOrEqual(ts,2024-01-" in text
+    assert "LessThan(ts,2024-01-20T" in text
+
+
+def test_thresholds_read_their_horizon_only(spark, data):
+    text = plan(BATCH["anomaly_threshold_7d"](spark, data))
+    assert "GreaterThanOrEqual(ts,2024-01-24T00:00)" in text
+    assert "LessThan(ts,2024-01-31T01:00)" in text
+
+
 def test_a_message_is_parsed_once(spark):
     raw = spark.range(1).selectExpr("cast(concat('{', id, '}') as binary) AS value")
     assert plan(bars_of(valid_ticks(parse_ticks(raw)))).count("from_json") == 1

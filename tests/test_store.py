@@ -1,7 +1,7 @@
 """Keyed tables: upserts, replays, partition pruning, compaction; the jobs over them."""
 
 import time
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from helpers import START, at, bar, bars_frame
@@ -94,24 +94,55 @@ def test_a_range_read_lists_only_its_days(spark, store):
     assert len(found.inputFiles()) == 3
     wide = store.ohlcv.versions(spark, date(2020, 1, 1), date(2024, 1, 5))
     assert wide.count() == 5
+    assert len(wide.inputFiles()) == 5
     assert store.ohlcv.versions(spark, None, date(2024, 1, 2)).count() == 2
 
 
-def test_compaction_keeps_the_view_and_its_place(spark, store, tmp_path):
-    store_bars(store, bars_frame(spark, [bar("A", 0, 1.0), bar("B", 2000, 5.0)]), 1, 0)
-    store_bars(store, bars_frame(spark, [bar("A", 0, 2.0)]), 1, 1)
-    before = store.ohlcv.current(spark).collect()
-    slim = store.ohlcv.compact(spark, str(tmp_path / "slim"))
-    assert sorted(slim.current(spark).collect()) == sorted(before)
-    assert slim.versions(spark).count() == 2
-    renewed = Store(str(tmp_path / "new"))
-    table = KeyedTable(
-        slim.path, slim.schema, slim.keys, slim.replace, slim.keep, slim.day_of
-    )
-    assert renewed.ohlcv.schema == table.schema
-    later = bars_frame(spark, [bar("A", 0, 9.0)]).withColumn("created_at", stamp(at(0)))
-    table.append(later, table.last_epoch(spark) + 1, 0)
-    assert rows_of(table.current(spark), "code", "close") == [("A", 9.0), ("B", 5.0)]
+def test_closed_days_keep_the_view_beside_a_writer(spark, store):
+    """Days are merged between batches; late bars and replays of the newest batch still count."""
+    table, want = store.ohlcv, {}
+    for batch in range(6):
+        rows = [bar("A", 1440 * d, 10.0 * batch + d) for d in range(batch, batch + 3)]
+        rows.append(bar("B", 0, float(batch)))  # late, once the first day is closed
+        store_bars(store, bars_frame(spark, rows), 1, batch, stamp(at(batch)))
+        want |= {(r[0], r[1]): r[6] for r in rows}
+        if batch in (2, 3, 5):
+            table.close_days(spark, date(2024, 1, batch))
+        found = rows_of(table.current(spark), "code", "window_start", "close")
+        assert found == sorted((*k, v) for k, v in want.items())
+    again = bars_frame(spark, [bar("A", 1440 * 5, 77.0)])
+    store_bars(store, again, 1, 5, stamp(at(5)))
+    (row,) = table.current(spark).filter("close = 77").collect()
+    assert row.created_at == at(3)
+    first = table.current(spark, date(2024, 1, 1), date(2024, 1, 1)).collect()
+    assert {r.code: (r.close, r.created_at) for r in first} == {"A": (0.0, at(0)), "B": (5.0, at(0))}
+
+
+def test_a_closed_day_is_read_from_its_merged_files(spark, store):
+    table, day = store.ohlcv, date(2024, 1, 1)
+    for batch in range(8):
+        store_bars(store, bars_frame(spark, [bar("A", batch, 1.0), bar("A", 3000, 2.0)]), 1, batch)
+    before = table.current(spark).collect()
+    table.close_days(spark, day)
+    rows = table.versions(spark, day, day)
+    used = {r.f for r in rows.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len([f for f in used if "/ohlcv-merged/" in f]) == 1
+    assert len([f for f in used if "/ohlcv/" in f]) == 1  # the newest batch, never merged
+    assert sorted(table.current(spark).collect()) == sorted(before)
+    table.close_days(spark, day)  # nothing new: the same again
+    assert sorted(table.current(spark).collect()) == sorted(before)
+
+
+def test_a_micro_batch_is_written_by_many_tasks(spark, store):
+    """One day and many codes: without adaptive execution every task writes its own file."""
+    rows = [bar(f"code{i}", 0, 1.0) for i in range(400)]
+    frame = bars_frame(spark, rows).repartition(8, "code")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        store_bars(store, frame, 1, 0, remember=False)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(store.ohlcv.versions(spark).inputFiles()) == 8
 
 
 def test_previous_close_comes_from_an_older_day(spark, store):
@@ -142,6 +173,54 @@ def test_previous_close_at_every_distance(spark, store):
     assert {r.code: r.prev_close for r in log} == {c: float(g) for c, g in codes.items()}
 
 
+def test_bars_later_than_the_kept_ones_find_their_predecessor(spark, store):
+    """Late bars, older than all that is at hand: between stored ones, before them, and many."""
+    codes = ("A", "B", "C")
+    set_thresholds(spark, store, dict.fromkeys(codes, 0.0))
+    old = [bar(c, 1440 * 40 * d + 10 * m, 100.0 * d + m) for c in codes for d in (0, 1) for m in range(12)]
+    put(spark, store, 0, old)
+    far = [bar("new", 5, 1.0), bar("A", 1440 * 40, 7.5), bar("A", 45, 6.5), bar("B", 1440 * 40 + 5, 3.5),
+           bar("C", -5, 2.5), bar("C", 1440 * 39, 1.5), bar("C", 1440 * 39 + 1, 2.25)]
+    put(spark, store, 1, far)
+    found = {(r.code, r.window_start): r.prev_close for r in store.anomaly_log.current(spark).collect()}
+
+    def prev(code, minute):
+        return found.get((code, at(60 * minute)))
+
+    assert prev("A", 1440 * 40) == 11.0 and prev("A", 45) == 4.0
+    assert prev("B", 1440 * 40 + 5) == 100.0
+    assert prev("C", -5) is None and prev("new", 5) is None
+    assert prev("C", 1440 * 39) == 11.0 and prev("C", 1440 * 39 + 1) == 1.5
+
+
+def test_a_batch_reads_a_constant_number_of_files(spark, store, monkeypatch):
+    """Steady batches, a new code among them, never open the bars of other batches."""
+    set_thresholds(spark, store, {"A": 0.0})
+    opened, versions = [], KeyedTable.versions
+    bars_path = store.ohlcv.path
+
+    def watched(table, *args, **kw):
+        if table.path in (bars_path, store.anomaly_log.path):
+            opened.append(table.path)
+        return versions(table, *args, **kw)
+
+    put(spark, store, 0, [bar("A", 0, 1.0)])
+    monkeypatch.setattr(KeyedTable, "versions", watched)
+    files = set()
+    for batch in range(1, 51):
+        new = [bar(f"new{batch}", batch, 1.0)] if batch % 10 == 0 else []
+        put(spark, store, batch, [bar("A", batch - 1, 1.5 * batch), bar("A", batch, 2.0 * batch), *new])
+        if batch % 10 == 0:
+            rows = store.recent.newest(spark)[1]
+            assert rows.count() <= 8 + batch // 10
+            files.add(len(store.ohlcv.version(spark, 1, batch, date(2024, 1, 1), date(2024, 1, 1)).inputFiles()))
+    assert opened == [] and len(files) == 1
+    monkeypatch.undo()
+    log = store.anomaly_log.current(spark).collect()
+    assert len(log) == 50 and all(r.code == "A" for r in log)
+    assert {r.window_start: r.prev_close for r in log}[at(3000)] == 1.5 * 50
+
+
 def test_an_updated_older_close_is_the_one_found(spark, store):
     set_thresholds(spark, store, {"A": 0.0})
     put(spark, store, 0, [bar("A", 0, 100.0)])
@@ -192,6 +271,36 @@ def test_replaying_a_batch_changes_nothing(spark, store):
     assert state() == before
 
 
+def test_a_replay_is_judged_as_the_first_try_was(spark, store):
+    """Thresholds that changed since do not touch what the first try logged."""
+    set_thresholds(spark, store, {"A": 5.0, "B": 5.0})
+    put(spark, store, 0, [bar(c, 0, 100.0) for c in "AB"])
+    rows = [bar("A", 1, 110.0), bar("B", 1440, 120.0)]
+    put(spark, store, 1, rows)
+
+    def state():
+        return [sorted(t.versions(spark).collect()) for t in (store.anomaly_log, store.alerts)]
+
+    before = state()
+    assert [len(x) for x in before] == [2, 2]
+    for moment, values in ((1, {"A": 5.0, "B": 50.0}), (2, {"A": 50.0, "B": 50.0}), (3, {"A": 0.0})):
+        limits = [(c, t, None, None, START) for c, t in values.items()]
+        store.anomaly_threshold.append(spark.createDataFrame(limits, THRESHOLD), 0, moment)
+        put(spark, store, 1, rows)
+        assert state() == before
+
+
+def test_an_older_batch_may_be_repeated(spark, store):
+    set_thresholds(spark, store, {"A": 0.0})
+    for batch in range(4):
+        put(spark, store, batch, [bar("A", batch, 10.0 + batch)])
+    before = sorted(store.anomaly_log.current(spark).collect())
+    put(spark, store, 1, [bar("A", 1, 11.0)])
+    assert sorted(store.anomaly_log.current(spark).collect()) == before
+    put(spark, store, 4, [bar("A", 4, 20.0)])
+    assert [r.prev_close for r in store.anomaly_log.current(spark).filter("close = 20").collect()] == [13.0]
+
+
 def test_replay_of_the_first_detection_alerts_again_only_in_place(spark, store):
     latch(spark, store, 0)
     put(spark, store, 0, [bar("A", 0, 100.0), bar("A", 1, 110.0, open=101.0)])
@@ -263,6 +372,17 @@ def test_reports_read_stored_days_only(spark, store):
     assert len(found.inputFiles()) == 2
 
 
+def test_a_range_in_another_zone_finds_the_same_bars(spark, store):
+    rows = [bar("A", 60 * h, float(h)) for h in range(48)]
+    store_bars(store, bars_frame(spark, rows), 1, 0)
+    zone = timezone(timedelta(hours=9))
+    since = datetime(2024, 1, 2, 7, 30, tzinfo=zone)
+    until = datetime(2024, 1, 2, 10, 0, tzinfo=zone)
+    there = stored_series(spark, store, "close", since, until)
+    here = stored_series(spark, store, "close", datetime(2024, 1, 1, 22, 30), datetime(2024, 1, 2, 1))
+    assert [r.value for r in there.collect()] == [r.value for r in here.collect()] == [23.0, 24.0, 25.0]
+
+
 class Session:
     """The parts of a session that `shared_folder` asks for."""
 

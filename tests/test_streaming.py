@@ -11,15 +11,19 @@ from tickspan.plans.store import Store
 from tickspan.schemas import THRESHOLD
 from tickspan.sources import parse_ticks, read_messages, stream_messages, write_messages
 from tickspan.streaming import (
+    claim_epoch,
     drain,
     dropped_late,
     final_bars,
-    previous_close_by_state,
+    flush_tick,
+    priced_bars,
     print_messages,
     start_bars,
     start_final_bars,
+    start_priced_bars,
     start_quarantine,
 )
+from tickspan.streaming.previous import price_batch
 
 FIVE_FILES = [
     [tick("A", 100.0, 10), tick("A", 105.0, 30)],
@@ -82,11 +86,10 @@ def test_update_mode_emits_every_touched_bar(spark, place):
     ]
 
 
-def test_append_mode_emits_closed_bars_with_the_previous_close_from_state(spark, place):
+def test_append_mode_emits_closed_bars_with_the_carried_previous_close(spark, place):
     write_files(place.files, FIVE_FILES)
-    priced = previous_close_by_state(final_bars(feed(spark, place)))
-    drain(start_final_bars(priced, place.out, place.checkpoint, once=True))
-    found = spark.read.parquet(place.out).orderBy("window_start").collect()
+    drain(start_priced_bars(final_bars(feed(spark, place)), place.out, place.checkpoint, once=True))
+    found = priced_bars(spark, place.out).orderBy("window_start").collect()
     assert [(r.open, r.close, r.trade_count, r.prev_close) for r in found] == [
         (100.0, 98.0, 5, None),
         (101.0, 101.0, 1, 98.0),
@@ -94,6 +97,51 @@ def test_append_mode_emits_closed_bars_with_the_previous_close_from_state(spark,
     ]
 
 
+def test_a_backfill_of_a_hot_code_is_priced_by_days(spark, place):
+    """One batch closes 20,000 bars of one code; no task sorts them all."""
+    minutes = 20_000
+    bars = spark.range(minutes).select(
+        F.lit("A").alias("code"),
+        F.timestamp_seconds(F.col("id") * 60 + 1704067200).alias("window_start"),
+        F.timestamp_seconds(F.col("id") * 60 + 1704067260).alias("window_end"),
+        *(F.col("id").cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")),
+        F.lit(1).cast("long").alias("trade_count"),
+    )
+    half = F.col("close") < minutes // 2
+    price_batch(spark, place.out, bars.filter(half), 0)
+    for _ in range(2):  # a replay changes nothing
+        price_batch(spark, place.out, bars.filter(~half), 1)
+    found = priced_bars(spark, place.out)
+    assert found.count() == minutes
+    assert found.filter("prev_close IS NULL").count() == 1
+    assert found.filter("prev_close <> close - 1").count() == 0
+
+
+def test_a_late_tick_flushes_the_open_bars(spark, place):
+    write_files(place.files, FIVE_FILES[:2])
+    schema = feed(spark, place).schema
+    ticks = parse_ticks(read_messages(spark, "text", place.files))
+    for part in (ticks, flush_tick(spark, schema, at(3600))):
+        part.select(*schema.fieldNames()).write.mode("append").parquet(place.out)
+        rows = spark.readStream.schema(schema).parquet(place.out)
+        drain(start_final_bars(final_bars(rows), place.out + "-bars", place.checkpoint, once=True))
+    found = spark.read.parquet(place.out + "-bars").orderBy("window_start").collect()
+    assert [(r.code, r.close, r.trade_count) for r in found] == [("A", 98.0, 3), ("A", 101.0, 1)]
+
+
+def test_streams_and_batches_make_the_same_bars_of_faulty_ticks(spark, place):
+    """Ticks without a volume or price, and with a long code, are in the bars of both."""
+    lines = [tick("A", 100.0, 1), tick("A", 200.0, 2, volume=None), tick("A", None, 3, volume=5.0),
+             tick("a-code-of-over-twenty-characters", 7.0, 4), tick(None, 1.0, 5)]
+    write_files(place.files, [lines])
+    run(spark, place)
+    ticks = parse_ticks(read_messages(spark, "text", place.files))
+    stored = place.store.ohlcv.current(spark).drop("created_at")
+    assert sorted(stored.collect()) == sorted(bars_of(ticks).collect())
+    (row,) = stored.filter("code = 'A'").collect()
+    assert (row.high, row.volume, row.trade_count) == (200.0, 6.0, 2)
+
+
 def test_late_rows_null_codes_and_null_times(spark, place):
     write_files(
         place.files,
@@ -120,6 +168,15 @@ def test_quarantine_keeps_what_bars_cannot_take(spark, place):
     assert [r.defect for r in found.collect()] == ["code missing"] * 2
 
 
+def test_rejects_are_the_ticks_in_no_bar(spark, place):
+    lines = ["not json", tick("A", 1.0, 3), tick("A", None, 3), tick("Z", 5.0, None)]
+    write_files(place.files, [lines])
+    query = start_quarantine(feed(spark, place), place.out, place.checkpoint, once=True, strict=False)
+    drain(query)
+    found = spark.read.parquet(place.out).collect()
+    assert sorted(r.defect for r in found) == ["code missing", "time missing"]
+
+
 def test_empty_input_writes_nothing(spark, place):
     write_files(place.files, [["not json"]])
     run(spark, place)
@@ -159,15 +216,22 @@ def test_stopped_and_restarted_equals_batch(spark, place):
     assert place.store.alerts.versions(spark).count() == len(want)
 
 
-def test_a_new_epoch_on_a_fresh_checkpoint_wins(spark, place, tmp_path):
-    write_files(place.files, [[tick("A", 1.0, 1)]])
+def test_a_fresh_checkpoint_never_overwrites(spark, place, tmp_path):
+    """It gets an epoch of its own, and may not take one that was written."""
+    write_files(place.files, [[tick("A", 1.0, 1), tick("A", 1.0, 61)]])
     run(spark, place)
-    write_files(place.files, [[tick("A", 2.0, 1)]])
-    epoch = place.store.ohlcv.last_epoch(spark) + 1
-    place.checkpoint = str(tmp_path / "second")
-    run(spark, place, epoch=epoch)
-    (row,) = place.store.ohlcv.current(spark).collect()
-    assert (epoch, row.close) == (2, 2.0)
+    write_files(place.files, [[tick("B", 2.0, 1), tick("A", 3.0, 1)]])
+    first, place.checkpoint = place.checkpoint, str(tmp_path / "second")
+    with pytest.raises(ValueError):
+        run(spark, place, epoch=1)
+    run(spark, place)
+    found = place.store.ohlcv.current(spark).orderBy("code", "window_start").collect()
+    assert [(r.code, r.close) for r in found] == [("A", 3.0), ("A", 1.0), ("B", 2.0)]
+    assert place.store.ohlcv.last_epoch(spark) == 2
+    assert claim_epoch(spark, place.store, first) == 1
+    assert claim_epoch(spark, place.store, place.checkpoint, 2) == 2
+    with pytest.raises(ValueError):
+        claim_epoch(spark, place.store, first, 2)
 
 
 def test_console_and_file_publishing(spark, place, tmp_path):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,16 +24,19 @@ from ..operators.anomaly import judge
 from ..operators.asof import with_percent_change
 from ..plans.detection import apply_bars, store_bars
 from ..plans.reports import (
+    DEFAULT_RANGE,
     anomalies_by_bar,
     last_range,
     newest_anomalies,
     preview,
     series,
+    stored_anomalies,
+    stored_series,
     threshold_list,
     with_severity,
 )
 from ..plans.store import Store
-from ..plans.thresholds import update_thresholds
+from ..plans.thresholds import HORIZON_DAYS, update_thresholds
 from ..schemas import TICK
 from ..session import as_table, configure, new_folder
 from ..sources import (
@@ -48,7 +51,6 @@ from ..sources import (
 
 AS_OF = "2024-01-31 00:00:00"
 EARLIER = "2024-01-15 00:00:00"
-HORIZON_START = "2024-01-24 00:00:00"
 RANGE = ("2024-01-10 06:00:00", "2024-01-20 18:00:00")
 NOW = datetime(2024, 1, 20, 12, 0)
 WATCHED = ("click", "purchase", "view")
@@ -63,6 +65,14 @@ def hourly(spark: SparkSession, folder: str, **options) -> DataFrame:
     return bars_of(ticks(spark, folder, **options), "1 hour")
 
 
+def whole_bars(since: str, until: str, width: timedelta) -> dict[str, str]:
+    """The ticks of all bars that start in since..until, both ends included: start and end."""
+    start, end = (datetime.fromisoformat(t) for t in (since, until))
+    first = start - (start - datetime.min) % width
+    last = end - (end - datetime.min) % width + width
+    return {"since": str(first), "until": str(last)}
+
+
 def stored_hourly(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly bars as a written table, for plans with several branches over them."""
     return as_table(hourly(spark, folder), "bars")
@@ -244,19 +254,22 @@ def bar_change_rate_1m(spark, folder):
 # ---- thresholds ------------------------------------------------------------------------------
 
 
-def thresholds_at(spark: SparkSession, folder: str, as_of: str, since: str) -> DataFrame:
-    """The horizon starts on a bar boundary, so the ticks can be cut at it before the bars."""
-    return recompute_thresholds(hourly(spark, folder, since=since), as_of)
+def thresholds_at(spark: SparkSession, folder: str, as_of: str) -> DataFrame:
+    """Only the ticks of the bars in the horizon before as_of are read."""
+    moment = datetime.fromisoformat(as_of)
+    since = moment - timedelta(days=HORIZON_DAYS)
+    cut = whole_bars(str(since), str(moment), timedelta(hours=1))
+    return recompute_thresholds(hourly(spark, folder, **cut), as_of, f"{HORIZON_DAYS} days")
 
 
 def anomaly_threshold_7d(spark, folder):
-    found = thresholds_at(spark, folder, AS_OF, HORIZON_START)
+    found = thresholds_at(spark, folder, AS_OF)
     return rounded(found, "threshold", "avg_change", "std_change")
 
 
 def threshold_lookup_default(spark, folder):
     """Thresholds known for the watched codes only; the others get the default."""
-    known = only_symbols(thresholds_at(spark, folder, AS_OF, HORIZON_START), WATCHED)
+    known = only_symbols(thresholds_at(spark, folder, AS_OF), WATCHED)
     bars = hourly(spark, folder).select("code", "window_start", "close")
     return rounded(with_threshold(bars, known), "threshold")
 
@@ -264,7 +277,7 @@ def threshold_lookup_default(spark, folder):
 def threshold_store(spark: SparkSession, folder: str, *moments: str) -> DataFrame:
     """Run the daily job at each moment over stored bars; the table afterwards."""
     store = Store(new_folder(spark, "store"))
-    store_bars(store, hourly(spark, folder), 1, 0)
+    store_bars(store, hourly(spark, folder), 1, 0, remember=False)
     for moment in moments:
         update_thresholds(spark, store, datetime.fromisoformat(moment))
     found = store.anomaly_threshold.current(spark)
@@ -328,7 +341,7 @@ def ohlcv_upsert_latest(spark, folder):
     all_ticks = ticks(spark, folder)
     half = bars_of(all_ticks.filter(F.minute("event_time") < 30), "1 hour")
     for batch, bars in enumerate((half, bars_of(all_ticks, "1 hour"))):
-        store_bars(store, bars, 1, batch, F.lit(SEEN_AT[batch]).cast("timestamp"))
+        store_bars(store, bars, 1, batch, F.lit(SEEN_AT[batch]).cast("timestamp"), remember=False)
     return rounded(store.ohlcv.current(spark), "volume")
 
 
@@ -353,16 +366,20 @@ def alert_message_query(spark, folder):
 # ---- reports ---------------------------------------------------------------------------------
 
 
+HOURS = whole_bars(*RANGE, timedelta(hours=1))
+
+
 def dashboard_close_series(spark, folder):
-    return series(hourly(spark, folder), "close", *RANGE)
+    return series(hourly(spark, folder, **HOURS), "close", *RANGE)
 
 
 def dashboard_volume_series(spark, folder):
-    return rounded(series(hourly(spark, folder), "volume", *RANGE), "value")
+    return rounded(series(hourly(spark, folder, **HOURS), "volume", *RANGE), "value")
 
 
 def time_range_last_hour(spark, folder):
-    bars = bars_of(ticks(spark, folder))
+    span = whole_bars(str(NOW - DEFAULT_RANGE), str(NOW), timedelta(minutes=1))
+    bars = bars_of(ticks(spark, folder, **span))
     return last_range(bars, NOW).select("code", "window_start", "close")
 
 
@@ -381,10 +398,48 @@ def dashboard_severity(spark, folder):
 
 
 def dashboard_threshold_table(spark, folder):
-    found = threshold_list(thresholds_at(spark, folder, AS_OF, HORIZON_START))
+    found = threshold_list(thresholds_at(spark, folder, AS_OF))
+    return as_doubles(found, "threshold", "avg_change", "std_change")
+
+
+def stored_close_series(spark, folder):
+    """The panel's range out of stored bars that were written twice."""
+    store = Store(new_folder(spark, "store"))
+    all_ticks = ticks(spark, folder)
+    half = bars_of(all_ticks.filter(F.minute("event_time") < 30), "1 hour")
+    for batch, bars in enumerate((half, bars_of(all_ticks, "1 hour"))):
+        store_bars(store, bars, 1, batch, remember=False)
+    since, until = (datetime.fromisoformat(t) for t in RANGE)
+    return stored_series(spark, store, "close", since, until)
+
+
+def stored_top50(spark, folder):
+    """The newest fifty out of a log that was written over two days."""
+    found = stored_anomalies(spark, two_versions(spark, folder))
+    return as_doubles(found, "change_rate")
+
+
+def stored_threshold_table(spark, folder):
+    store = Store(new_folder(spark, "store"))
+    store_bars(store, hourly(spark, folder), 1, 0, remember=False)
+    update_thresholds(spark, store, datetime.fromisoformat(AS_OF))
+    found = threshold_list(store.anomaly_threshold.current(spark))
     return as_doubles(found, "threshold", "avg_change", "std_change")
 
 
+def ohlcv_after_compaction(spark, folder):
+    """Two versions of all bars; days are merged before, between and after, up to different days."""
+    store = Store(new_folder(spark, "store"))
+    all_ticks = ticks(spark, folder)
+    half = bars_of(all_ticks.filter(F.minute("event_time") < 30), "1 hour")
+    days = ("2024-01-12", "2024-01-20")
+    for batch, bars in enumerate((half, bars_of(all_ticks, "1 hour"))):
+        stamp = F.lit(SEEN_AT[batch]).cast("timestamp")
+        store_bars(store, bars, 1, batch, stamp, remember=False)
+        store.ohlcv.close_days(spark, date.fromisoformat(days[batch]))
+    return rounded(store.ohlcv.current(spark), "volume")
+
+
 def limit_preview(spark, folder):
     return rounded(preview(hourly(spark, folder)), "volume")
 
@@ -430,5 +485,9 @@ BATCH = {
     "dashboard_anomaly_by_bar": dashboard_anomaly_by_bar,
     "dashboard_severity": dashboard_severity,
     "dashboard_threshold_table": dashboard_threshold_table,
+    "stored_close_series": stored_close_series,
+    "stored_top50": stored_top50,
+    "stored_threshold_table": stored_threshold_table,
+    "ohlcv_after_compaction": ohlcv_after_compaction,
     "limit_preview": limit_preview,
 }

@@ -136,6 +136,17 @@ ON_TIME = (
     bars(source="on_time"),
 )
 
+NULL_FIELDS = (
+    TRADES,
+    """
+faulty AS (
+  SELECT CASE WHEN event_id % 13 = 0 THEN code || '-with-a-very-long-name' ELSE code END AS code,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE trade_price END AS trade_price,
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE trade_volume END AS trade_volume, event_time
+  FROM trades)""",
+    bars(source="faulty"),
+)
+
 RANGE = "BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-20 18:00:00'"
 BY_KEY = " AND ".join(f"{{0}}.{c} = {{1}}.{c}" for c in ("code", "window_start"))
 TOP50 = f"""
@@ -277,4 +288,27 @@ FROM priced WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 SECOND FRO
     "stream_json_bars": with_(TRADES, bars("minute")) + f"SELECT {BAR_COLUMNS} FROM bars",
     "stream_quarantine": with_(TRADES, FAULTY)
     + "SELECT event_id, code, outcome AS defect FROM faulty WHERE outcome <> 'ok'",
+    "stored_close_series": with_(*HOURLY)
+    + f"""SELECT window_start AS time, close AS value, code AS metric FROM bars
+WHERE window_start {RANGE} ORDER BY 1, 3""",
+    "stored_top50": with_(*VERSIONS)
+    + f"""SELECT CASE WHEN f0.code IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00'
+            ELSE TIMESTAMP '2024-02-02 00:00:00' END AS detected_at,
+       COALESCE(f0.code, f1.code) AS code,
+       COALESCE(f0.window_start, f1.window_start) AS window_start,
+       CASE WHEN f1.code IS NOT NULL THEN f1.close ELSE f0.close END AS close,
+       CASE WHEN f0.code IS NOT NULL THEN f0.prev_close ELSE f1.prev_close END AS prev_close,
+       CASE WHEN f1.code IS NOT NULL THEN {r2("f1.rate")} ELSE {r2("f0.rate")} END AS change_rate
+FROM f0 FULL OUTER JOIN f1 ON {BY_KEY.format("f0", "f1")}
+ORDER BY 1 DESC, 3 DESC, 2 LIMIT 50""",
+    "stored_threshold_table": with_(*HOURLY, thresholds())
+    + f"""SELECT code, {r2("threshold")} AS threshold, {r2("avg_change")} AS avg_change,
+       {r2("std_change")} AS std_change, calculated_at FROM thr ORDER BY code""",
+    "stream_null_fields": with_(*NULL_FIELDS) + f"SELECT {BAR_COLUMNS} FROM bars",
+    "stream_flushed_append": with_(*HOURLY) + f"SELECT {BAR_COLUMNS} FROM bars",
+    "stream_trigger_interval": with_(*HOURLY) + f"SELECT {BAR_COLUMNS} FROM bars",
+    "stream_replay_log": with_(*DETECTED)
+    + f"SELECT {ANOMALY_COLUMNS}, 1::BIGINT AS alerts FROM flagged",
+    "console_sink": with_(TRADES) + "SELECT count(*) AS n_messages FROM trades",
 }
+SQL["ohlcv_after_compaction"] = SQL["ohlcv_upsert_latest"]

@@ -7,6 +7,7 @@ draining the stream after each, on one checkpoint, as a job that is stopped and
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,17 @@ from ..plans.detection import apply_bars
 from ..plans.store import Store
 from ..session import as_table, configure, new_folder
 from ..sources import parse_ticks, ticks_from_events, to_messages
-from ..streaming import drain, final_bars, previous_close_by_state, start_bars, start_final_bars
-from ..streaming.jobs import start_quarantine
+from ..streaming import (
+    drain,
+    final_bars,
+    flush_tick,
+    priced_bars,
+    print_messages,
+    start_bars,
+    start_final_bars,
+    start_priced_bars,
+    start_quarantine,
+)
 from .batch import AS_OF, faulty_messages, hourly, load, rounded, ticks
 
 WIDTH = "1 hour"
@@ -169,15 +179,17 @@ def stream_prev_close(spark, folder):
 
 
 def stream_prev_close_state(spark, folder):
-    """Final bars with the previous close held in state."""
+    """Final bars with their previous close, one close per code carried between batches."""
     out, checkpoint = new_store(spark)
 
+    cores = spark.sparkContext.defaultParallelism
+
     def start(feed):
-        priced = previous_close_by_state(final_bars(feed, WIDTH))
-        return run_final_bars(priced, out.root, checkpoint)
+        bars = final_bars(feed, WIDTH)
+        return start_priced_bars(bars, out.root, checkpoint, once=True, state_partitions=cores)
 
     in_slices(spark, cut(spark, folder, MID_BAR), start)
-    found = spark.read.parquet(out.root)
+    found = priced_bars(spark, out.root)
     rate = change_rate(F.col("close"), F.col("prev_close"))
     return rounded(
         found.select("code", "window_start", "close", "prev_close", rate.alias("change_rate")),
@@ -204,6 +216,85 @@ def stream_quarantine(spark, folder):
     return spark.read.parquet(out.root).select("event_id", "code", "defect")
 
 
+def faulty_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticks of which some have no volume, some no price, and some a code of over 20 characters."""
+    number = F.col("event_id")
+    long_code = F.concat("code", F.lit("-with-a-very-long-name"))
+    return ticks(spark, folder).withColumns(
+        {
+            "code": F.when(number % 13 == 0, long_code).otherwise(F.col("code")),
+            "trade_price": F.when(number % 11 != 0, F.col("trade_price")),
+            "trade_volume": F.when(number % 7 != 0, F.col("trade_volume")),
+        }
+    )
+
+
+def stream_null_fields(spark, folder):
+    """Ticks with missing fields are in the bars of a stream as they are in those of a batch."""
+    store, checkpoint = new_store(spark)
+    feed = lambda rows: run_bars(spark, rows, store, checkpoint)
+    in_slices(spark, [faulty_ticks(spark, folder)], feed)
+    return rounded(store.ohlcv.current(spark).drop("created_at"), "volume")
+
+
+def stream_flushed_append(spark, folder):
+    """Final bars of a bounded run: a late tick closes the last ones."""
+    out, checkpoint = new_store(spark)
+    feed = ticks(spark, folder)
+    newest = feed.agg(F.max("event_time")).first()[0]
+    late = flush_tick(spark, feed.schema, newest + timedelta(days=1))
+
+    def start(rows):
+        return run_final_bars(final_bars(rows, WIDTH), out.root, checkpoint)
+
+    in_slices(spark, [feed, late], start)
+    return rounded(spark.read.parquet(out.root), "volume")
+
+
+def stream_trigger_interval(spark, folder):
+    """The same bars from a query that starts a micro-batch every two seconds, until it has all."""
+    store, checkpoint = new_store(spark)
+    feed = ticks_from_events(stream_events(spark, folder))
+    cores = spark.sparkContext.defaultParallelism
+    query = start_bars(
+        spark, feed, store, checkpoint, width=WIDTH, every="2 seconds", state_partitions=cores
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return rounded(store.ohlcv.current(spark).drop("created_at"), "volume")
+
+
+def console_sink(spark, folder):
+    """Raw messages shown on the console; how many the query took."""
+    path = new_folder(spark, "messages")
+    to_messages(ticks(spark, folder)).write.parquet(path)
+    raw = spark.readStream.schema("key binary, value binary").parquet(path)
+    query = drain(print_messages(raw, new_folder(spark, "checkpoint"), once=True))
+    taken = sum(p.numInputRows for p in query.recentProgress)
+    return spark.createDataFrame([(taken,)], "n_messages long")
+
+
+def stream_replay_log(spark, folder):
+    """The last batch is applied again after the thresholds changed: log and outbox stay."""
+    found = recompute_thresholds(hourly(spark, folder), AS_OF)
+    store, checkpoint = with_thresholds(spark, found)
+    feed = lambda rows: run_bars(spark, rows, store, checkpoint)
+    in_slices(spark, cut(spark, folder, BAR_EDGE), feed)
+    for threshold, moment in ((0.0, 1), (1e9, 2)):
+        changed = found.withColumn("threshold", F.lit(threshold))
+        store.anomaly_threshold.append(changed, 0, moment)
+        rows = store.ohlcv.versions(spark)
+        last = rows.agg(F.max("batch").alias("batch")).first()["batch"]
+        again = as_table(store.ohlcv.version(spark, 1, last), "again")
+        apply_bars(spark, store, again, 1, last)
+    keys = ["code", "window_start"]
+    alerts = store.alerts.versions(spark).groupBy(*keys).agg(F.count(F.lit(1)).alias("alerts"))
+    log = store.anomaly_log.current(spark).drop("detected_at")
+    return rounded(log.join(alerts, keys, "full"), "volume", "change_rate")
+
+
 STREAMS = {
     "stream_ohlcv_update_final": stream_ohlcv_update_final,
     "stream_ohlcv_append": stream_ohlcv_append,
@@ -215,4 +306,9 @@ STREAMS = {
     "stream_prev_close_state": stream_prev_close_state,
     "stream_json_bars": stream_json_bars,
     "stream_quarantine": stream_quarantine,
+    "stream_null_fields": stream_null_fields,
+    "stream_flushed_append": stream_flushed_append,
+    "stream_trigger_interval": stream_trigger_interval,
+    "stream_replay_log": stream_replay_log,
+    "console_sink": console_sink,
 }

@@ -3,6 +3,7 @@
     spark-submit run.py ingest --from text:/landing --to parquet:/ticks --checkpoint /cp/ingest
     spark-submit run.py bars --from parquet:/ticks --store /store --checkpoint /cp/bars
     spark-submit run.py quarantine --from parquet:/ticks --to /bad --checkpoint /cp/bad
+    spark-submit run.py close-days --store /store --until 2024-01-30
     spark-submit run.py thresholds --store /store --as-of "2024-01-31 00:00:00"
 
 A source or sink is `format:path`, or `kafka:servers/topic` with the Kafka connector on the
@@ -12,7 +13,7 @@ class path.
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,12 +71,16 @@ def arguments() -> argparse.ArgumentParser:
         if name == "bars":
             command.add_argument("--precision", choices=["millis", "second"], default="millis")
             command.add_argument("--store", required=True)
-            command.add_argument("--epoch", type=int, default=1)
+            command.add_argument("--epoch", type=int)
             command.add_argument("--width", default="1 minute")
             command.add_argument("--lateness", default="10 seconds")
             command.add_argument("--every")
             command.add_argument("--state-partitions", type=int)
-            command.add_argument("--files-per-day", type=int, default=1)
+            command.add_argument("--files-per-day", type=int)
+            command.add_argument("--rejects", help="folder for ticks that no bar holds")
+    command = commands.add_parser("close-days")
+    command.add_argument("--store", required=True)
+    command.add_argument("--until", type=date.fromisoformat, required=True)
     command = commands.add_parser("thresholds")
     command.add_argument("--store", required=True)
     command.add_argument("--as-of", type=datetime.fromisoformat)
@@ -88,6 +93,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "thresholds":
         update_thresholds(spark, Store(args.store), args.as_of)
         return
+    if args.command == "close-days":
+        store = Store(args.store)
+        for table in (store.ohlcv, store.anomaly_log, store.alerts):
+            table.close_days(spark, args.until)
+        return
     raw = source(spark, args.source, args.starting)
     if args.command == "ingest":
         ingest(raw, args.to, args.checkpoint, args.once, args.symbols)
@@ -95,9 +105,14 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "quarantine":
         drain(start_quarantine(parse_ticks(raw), args.to, args.checkpoint, args.once))
         return
+    ticks = parse_ticks(raw, args.precision)
+    rejects = None
+    if args.rejects:
+        place = f"{args.checkpoint}-rejects"
+        rejects = start_quarantine(ticks, args.rejects, place, args.once, strict=False)
     query = start_bars(
         spark,
-        parse_ticks(raw, args.precision),
+        ticks,
         Store(args.store),
         args.checkpoint,
         epoch=args.epoch,
@@ -109,3 +124,5 @@ def main(argv: list[str] | None = None) -> None:
         state_partitions=args.state_partitions,
     )
     drain(query)
+    if rejects is not None:
+        drain(rejects)

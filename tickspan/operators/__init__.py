@@ -2,12 +2,15 @@ from .anomaly import change_statistics, detect, recompute_thresholds, with_thres
 from .asof import asof_join, previous_close
 from .bars import aggregate_ohlcv, bars_of, flatten_bars, latest_bars
 from .keyed_table import KeyedTable
-from .quality import duplicate_keys, tick_defect, valid_ticks
+from .quality import barless_ticks, duplicate_keys, tick_defect, valid_ticks
+from .slots import Slots
 
 __all__ = [
     "KeyedTable",
+    "Slots",
     "aggregate_ohlcv",
     "asof_join",
+    "barless_ticks",
     "bars_of",
     "change_statistics",
     "detect",

@@ -16,15 +16,16 @@ def _order(tie_break: str | None) -> Column:
     """The ordering that picks open and close.
 
     All aggregation buffers stay fixed-width, so that Spark plans a hash aggregate: a struct
-    (time, tie-break) would force a sort of every tick. With a tie-break (a non-negative long)
-    time and tie-break are packed into one decimal instead.
+    (time, tie-break) would force a sort of every tick. With a tie-break (any long) time and
+    tie-break are packed into one decimal instead.
     Rows without a price get a null ordering, which min_by and max_by skip.
     """
     order = F.col("event_time")
     if tie_break is not None:
         micros = F.unix_micros("event_time").cast("decimal(18,0)")
         shift = F.lit("10000000000000000000").cast("decimal(20,0)")
-        order = micros * shift + F.col(tie_break).cast("decimal(19,0)")
+        least = F.lit("9223372036854775808").cast("decimal(19,0)")
+        order = micros * shift + (F.col(tie_break).cast("decimal(19,0)") + least)
     return F.when(F.col("trade_price").isNotNull(), order)
 
 
@@ -36,7 +37,8 @@ def aggregate_ohlcv(
 ) -> DataFrame:
     """Ticks to bars with a nested `window`. Give `lateness` on a stream.
 
-    Ticks without a code or a time belong to no bar (see `quality`) and are left out. Map-side
+    Ticks without a code or a time belong to no bar (`quality.barless_ticks` has them) and are left
+    out; ticks without a price or volume add what they have. Map-side
     partial aggregation shrinks every input split to its distinct (window, code)
     pairs before the one shuffle, so a hot symbol costs no more than another.
     """

@@ -1,36 +1,47 @@
 """Upserts on Parquet: append a version, read the current view.
 
-Every write goes to its own (epoch, batch) partition and replaces exactly that on a replay, so a
-repeated micro-batch changes nothing. The current view is one hash aggregation over the keys.
+Every write goes to its own (epoch, batch) partition, so a repeated micro-batch of the same rows
+changes nothing. The current view is one hash aggregation over the keys. Closed days can be merged
+beside a running writer, so readers of old days open one set of files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Above this many days a reader lists the whole table and lets Spark prune its partitions.
-MAX_LISTED_DAYS = 400
+from .slots import Slots
+
+BATCH_BITS = 40
 
 
 def version_of(epoch: int, batch: int) -> int:
-    return (epoch << 40) + batch
+    return (epoch << BATCH_BITS) + batch
 
 
 def _version() -> Column:
-    return F.shiftleft(F.col("epoch"), 40) + F.col("batch")
+    return F.shiftleft(F.col("epoch"), BATCH_BITS) + F.col("batch")
 
 
-def _exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether any file or folder matches, on whatever file system the path names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+def read_parquet(
+    spark: SparkSession, schema: T.StructType, pattern: str, base: str | None = None
+) -> DataFrame:
+    """The files that match, no rows where there is none; `base` is the partitions' root."""
+    reader = spark.read.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    try:
+        return reader.parquet(pattern)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 @dataclass(frozen=True)
@@ -39,7 +50,8 @@ class KeyedTable:
 
     replace: columns where the newest version wins; keep: columns where the first one stays.
     day_of: a timestamp key; its day is the leading partition, so reads of a time range list and
-    scan only their days. A new checkpoint needs a higher epoch than the table holds.
+    scan only their days. A new checkpoint needs a higher epoch than the table holds (see
+    `streaming.epochs`).
     """
 
     path: str
@@ -49,11 +61,20 @@ class KeyedTable:
     keep: Sequence[str] = ()
     day_of: str | None = None
 
-    def append(self, df: DataFrame, epoch: int, batch: int, files_per_day: int = 1) -> None:
+    def append(
+        self,
+        df: DataFrame,
+        epoch: int,
+        batch: int,
+        files_per_day: int | None = None,
+        watch: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> None:
         """Write df as version (epoch, batch), replacing an earlier try of the same version.
 
         With adaptive execution the rows are rebalanced, so that big days split and small ones
-        share tasks. A micro-batch runs without it and spreads each day over `files_per_day`.
+        share tasks. A micro-batch runs without it: every task writes what it holds, without a
+        shuffle, unless `files_per_day` asks for another spread. `watch` may observe the rows as
+        they are written.
         """
         out = df.select(
             *self.schema.fieldNames(),
@@ -66,11 +87,12 @@ class KeyedTable:
             out = out.withColumn("dt", F.date_from_unix_date(day))
             folders = ["dt", *folders]
         spread = [F.col("dt")] if self.day_of is not None else []
-        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        if files_per_day is not None:
+            out = out.repartition(*spread, F.pmod(F.hash(*self.keys), F.lit(files_per_day)))
+        elif df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             out = out.hint("rebalance", *spread)
-        else:
-            slot = F.pmod(F.hash(*self.keys), F.lit(files_per_day))
-            out = out.repartition(*spread, slot)
+        if watch is not None:
+            out = watch(out)
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -78,30 +100,63 @@ class KeyedTable:
             .parquet(self.path)
         )
 
+    def _fields(self, *names: str) -> T.StructType:
+        """The table's columns and the partition columns named."""
+        day = [T.StructField("dt", T.DateType())] if self.day_of is not None else []
+        return T.StructType([*self.schema.fields, *day, *(T.StructField(n, T.LongType()) for n in names)])
+
+    def _days(self, since: date | None, until: date | None) -> str:
+        """The folders of the days asked for, as a pattern."""
+        if self.day_of is None:
+            return ""
+        if since is None or until is None:
+            return "/dt=*"
+        days = [str(since + timedelta(n)) for n in range((until - since).days + 1)]
+        return f"/dt={{{','.join(days)}}}"
+
+    def _open(self, spark: SparkSession, since: date | None, until: date | None) -> DataFrame:
+        """All versions as they were written."""
+        pattern = self.path if since is None or until is None else self.path + self._days(since, until)
+        rows = read_parquet(spark, self._fields("epoch", "batch"), pattern, self.path)
+        return rows.withColumn("version", _version())
+
+    @property
+    def _cuts(self) -> Slots:
+        """Up to which day and version days have been merged, and how often."""
+        schema = T.StructType(
+            [T.StructField("last_day", T.DateType()), T.StructField("merged", T.LongType())]
+        )
+        return Slots(f"{self.path}-cuts", schema)
+
     def versions(
         self, spark: SparkSession, since: date | None = None, until: date | None = None
     ) -> DataFrame:
-        """All stored versions of the days since..until, with a `version` column."""
-        schema = T.StructType(
-            [
-                *self.schema.fields,
-                *([T.StructField("dt", T.DateType())] if self.day_of is not None else []),
-                T.StructField("epoch", T.LongType()),
-                T.StructField("batch", T.LongType()),
-            ]
-        )
-        reader = spark.read.schema(schema)
-        path = self.path
-        if since is not None and until is not None and (until - since).days < MAX_LISTED_DAYS:
-            days = [str(since + timedelta(n)) for n in range((until - since).days + 1)]
-            reader = reader.option("basePath", self.path)
-            path = f"{self.path}/dt={{{','.join(days)}}}"
-        rows = reader.parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+        """The stored versions of the days since..until, with a `version` column.
+
+        Of days that were merged, each key's row carries its newest version, and only later
+        versions are read besides. They merge to the same view as all versions would.
+        """
+        rows = self._open(spark, since, until)
+        if self.day_of is not None:
+            cut, state = self._cuts.newest(spark)
+            if cut is not None:
+                mark = state.first()
+                later = (F.col("dt") > F.lit(mark["last_day"])) | (F.col("version") > mark["merged"])
+                merged = read_parquet(
+                    spark,
+                    T.StructType([*self._fields().fields, T.StructField("version", T.LongType())]),
+                    f"{self.path}-merged/cut=*{self._days(since, until)}",
+                    f"{self.path}-merged",
+                )
+                merged = merged.withColumn(
+                    "epoch", F.shiftright("version", BATCH_BITS)
+                ).withColumn("batch", F.col("version").bitwiseAND(F.lit((1 << BATCH_BITS) - 1)))
+                rows = rows.filter(later).unionByName(merged.select(rows.columns))
         if since is not None:
             rows = rows.filter(F.col("dt") >= F.lit(since))
         if until is not None:
             rows = rows.filter(F.col("dt") <= F.lit(until))
-        return rows.withColumn("version", _version())
+        return rows
 
     def version(
         self,
@@ -111,9 +166,48 @@ class KeyedTable:
         since: date | None = None,
         until: date | None = None,
     ) -> DataFrame:
-        """The rows that version (epoch, batch) wrote."""
-        mine = (F.col("epoch") == epoch) & (F.col("batch") == batch)
-        return self.versions(spark, since, until).filter(mine).select(*self.schema.fieldNames())
+        """The rows that version (epoch, batch) wrote; lists and reads its folders alone."""
+        pattern = f"{self.path}{self._days(since, until)}/epoch={epoch}/batch={batch}"
+        rows = read_parquet(spark, self._fields("epoch", "batch"), pattern, self.path)
+        return rows.select(*self.schema.fieldNames())
+
+    def close_days(self, spark: SparkSession, until: date) -> None:
+        """Merge the versions of each day up to `until` into one set of files.
+
+        A writer may go on meanwhile, and write to these days later, too: all versions but the
+        newest, which may still be under way or be repeated, are merged, and later ones are read
+        besides until the next call merges them. Days without a version since the last call are
+        not read again. Old files stay for readers that have listed them.
+        """
+        newest = self._open(spark, None, None).agg(F.max("version")).first()[0]
+        if newest is None:
+            return
+        cut, state = self._cuts.newest(spark)
+        merged = newest - 1
+        rows = self.versions(spark, None, until).filter(F.col("version") <= merged)
+        fresh = self._open(spark, None, None).filter(
+            (F.col("dt") <= F.lit(until)) & (F.col("version") <= merged)
+        )
+        if cut is not None:
+            mark = state.first()
+            fresh = fresh.filter(
+                (F.col("dt") > F.lit(mark["last_day"])) | (F.col("version") > mark["merged"])
+            )
+            until = max(until, mark["last_day"])
+        number = (cut or 0) + 1
+        days = fresh.select("dt").distinct()
+        day = F.floor(F.unix_seconds(self.day_of) / 86400).cast("int")
+        view = self.merge(rows.join(days, "dt", "left_semi")).withColumn(
+            "dt", F.date_from_unix_date(day)
+        )
+        (
+            view.hint("rebalance", F.col("dt"))
+            .write.mode("overwrite")
+            .partitionBy("dt")
+            .parquet(f"{self.path}-merged/cut={number}")
+        )
+        mark = spark.createDataFrame([(until, merged)], self._cuts.schema)
+        self._cuts.write(spark, mark, number)
 
     def merge(self, versions: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """One row per key out of any selection of versions, with its newest `version`."""
@@ -139,13 +233,3 @@ class KeyedTable:
         """The highest epoch written so far, 0 for an empty table."""
         row = self.versions(spark).agg(F.max("epoch").alias("e")).first()
         return row["e"] or 0
-
-    def compact(self, spark: SparkSession, path: str) -> KeyedTable:
-        """Write the current view as the only version of a new table at `path`.
-
-        The old table is left as it is: point readers and the writer at the new one. Its version
-        is older than any a later epoch writes.
-        """
-        slim = KeyedTable(path, self.schema, self.keys, self.replace, self.keep, self.day_of)
-        slim.append(self.current(spark), self.last_epoch(spark), 0)
-        return slim

@@ -10,8 +10,20 @@ from pyspark.sql import functions as F
 from ..schemas import MAX_CODE_LENGTH
 
 
+def bar_defect() -> Column:
+    """Why a parsed tick belongs to no bar, or null when it does. Bars leave out nothing else."""
+    return F.when(F.col("code").isNull(), "code missing").when(
+        F.col("event_time").isNull(), "time missing"
+    )
+
+
+def barless_ticks(ticks: DataFrame) -> DataFrame:
+    """The ticks that no bar holds, in batch and on streams, with the reason."""
+    return ticks.withColumn("defect", bar_defect()).filter(F.col("defect").isNotNull())
+
+
 def tick_defect() -> Column:
-    """Why a parsed tick cannot enter a bar, or null when it can."""
+    """What the tick table's constraints object to, or null. A tick with a defect may be in a bar."""
     return (
         F.when(F.col("code").isNull(), "code missing")
         .when(F.length("code") > MAX_CODE_LENGTH, "code too long")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import round2, severity
-from .store import Store
+from .store import BAR_KEY, Store
 
 TOP_ANOMALIES = 50
 DEFAULT_RANGE = timedelta(hours=1)
@@ -37,12 +37,37 @@ def series(bars: DataFrame, column: str, since: str, until: str) -> DataFrame:
     )
 
 
+def utc(moment: datetime) -> datetime:
+    """The same moment in UTC, without a zone; a moment without one is UTC already."""
+    if moment.tzinfo is None:
+        return moment
+    return moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def stored_series(
     spark: SparkSession, store: Store, column: str, since: datetime, until: datetime
 ) -> DataFrame:
-    """The same over the stored bars; lists and reads the days of the range alone."""
-    bars = store.ohlcv.current(spark, since.date(), until.date())
-    return series(bars, column, str(since), str(until))
+    """The same over the stored bars; lists and reads the days of the range alone.
+
+    The range reaches the scan: rows are cut before their versions are merged.
+    """
+    since, until = utc(since), utc(until)
+    rows = in_range(store.ohlcv.versions(spark, since.date(), until.date()), str(since), str(until))
+    return series(store.ohlcv.merge(rows, [column]), column, str(since), str(until))
+
+
+def stored_anomalies(spark: SparkSession, store: Store, n: int = TOP_ANOMALIES) -> DataFrame:
+    """The n anomalies detected last, out of the stored log.
+
+    A logged bar keeps the time of its first detection, so the n newest first detections name the
+    bars; only their rows are merged.
+    """
+    table = store.anomaly_log
+    rows = table.versions(spark)
+    first = rows.groupBy(*BAR_KEY).agg(F.min_by("detected_at", "version").alias("detected_at"))
+    wanted = first.orderBy(F.desc("detected_at"), F.desc("window_start"), "code").limit(n)
+    chosen = rows.join(wanted.select(*BAR_KEY), list(BAR_KEY), "left_semi")
+    return newest_anomalies(table.merge(chosen), n)
 
 
 def newest_anomalies(log: DataFrame, n: int = TOP_ANOMALIES) -> DataFrame:

@@ -1,11 +1,11 @@
-"""The four stored tables under one root folder."""
+"""The stored tables under one root folder."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from ..operators import KeyedTable
-from ..schemas import ALERT, ANOMALY, STORED_BAR, THRESHOLD
+from ..operators import KeyedTable, Slots
+from ..schemas import ALERT, ANOMALY, RECENT, STORED_BAR, THRESHOLD
 
 BAR_KEY = ("code", "window_start")
 
@@ -53,3 +53,17 @@ class Store:
             ("close", "change_rate", "direction", "message"),
             "window_start",
         )
+
+    @property
+    def recent(self) -> Slots:
+        """The newest bars of every code: all that a steady stream needs to judge the next ones."""
+        return Slots(f"{self.root}/recent", RECENT)
+
+    def tries(self, epoch: int, batch: int) -> str:
+        """Where a batch notes what its first try was judged with."""
+        return f"{self.root}/tries/epoch={epoch}/batch={batch}"
+
+    @property
+    def epochs(self) -> str:
+        """The epochs that checkpoints have claimed."""
+        return f"{self.root}/epochs"

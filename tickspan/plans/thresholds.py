@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import SparkSession
 
 from ..operators import recompute_thresholds
+from .reports import utc
 from .store import Store
 
 HORIZON_DAYS = 7
@@ -19,8 +20,7 @@ def update_thresholds(spark: SparkSession, store: Store, as_of: datetime | None
     with no bars at all changes nothing. Repeating a run of the same as_of replaces it.
     """
     as_of = as_of or datetime.now(timezone.utc)
-    if as_of.tzinfo is not None:
-        as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
+    as_of = utc(as_of)
     first_day = (as_of - timedelta(days=HORIZON_DAYS)).date()
     table = store.ohlcv
     rows = table.versions(spark, first_day, as_of.date())

@@ -56,5 +56,23 @@ ALERT = T.StructType(
     ]
 )
 
+# The newest bars of each code, and when its first bar of all started.
+RECENT = T.StructType(
+    [
+        T.StructField("code", T.StringType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("close", T.DoubleType()),
+        T.StructField("logged", T.BooleanType()),
+        T.StructField("first_start", T.TimestampType()),
+    ]
+)
+# What the first try of a batch was judged with.
+TRY = T.StructType(
+    [
+        T.StructField("thresholds", T.LongType()),
+        T.StructField("stamp", T.TimestampType()),
+    ]
+)
+
 BAR_COLUMNS = BAR.fieldNames()
 MAX_CODE_LENGTH = 20

@@ -1,21 +1,26 @@
+from .epochs import claim_epoch
 from .jobs import (
     drain,
     dropped_late,
     final_bars,
+    flush_tick,
     print_messages,
     start_bars,
     start_final_bars,
     start_quarantine,
 )
-from .previous import previous_close_by_state
+from .previous import priced_bars, start_priced_bars
 
 __all__ = [
+    "claim_epoch",
     "drain",
     "dropped_late",
     "final_bars",
-    "previous_close_by_state",
+    "flush_tick",
+    "priced_bars",
     "print_messages",
     "start_bars",
     "start_final_bars",
+    "start_priced_bars",
     "start_quarantine",
 ]

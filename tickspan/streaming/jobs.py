@@ -7,21 +7,27 @@ drains what is there and stops, and can be repeated on the same checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import timedelta
+import threading
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators import aggregate_ohlcv, flatten_bars, valid_ticks
+from ..operators import aggregate_ohlcv, barless_ticks, flatten_bars
 from ..operators.bars import LATENESS, WIDTH
 from ..operators.quality import quarantined_ticks
-from ..plans.detection import LOOKBACKS, apply_bars
+from ..plans.detection import apply_bars
 from ..plans.store import Store
+from .epochs import claim_epoch
 
+_STARTING = threading.Lock()
+#: The code of the tick that closes all bars.
+FLUSH = ""
 
-def _start(
+
+def start_query(
     spark: SparkSession,
     writer: DataStreamWriter,
     checkpoint: str,
@@ -37,12 +43,13 @@ def _start(
         writer = writer.trigger(availableNow=True)
     elif every is not None:
         writer = writer.trigger(processingTime=every)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
-    try:
-        return writer.start()  # the query works on a copy of the session's settings
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with _STARTING:  # the setting is the session's: no two queries may start with each other's
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+        try:
+            return writer.start()  # the query works on a copy of the session's settings
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:
@@ -56,35 +63,49 @@ def start_bars(
     ticks: DataFrame,
     store: Store,
     checkpoint: str,
-    epoch: int = 1,
+    epoch: int | None = None,
     width: str = WIDTH,
     lateness: str = LATENESS,
     tie_break: str | None = None,
-    lookbacks: Sequence[timedelta] = LOOKBACKS,
-    files_per_day: int = 1,
+    files_per_day: int | None = None,
     once: bool = False,
     every: str | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Update mode: every micro-batch upserts the bars it touched, judges and logs them.
 
-    A new checkpoint on an existing store needs a new epoch: `store.ohlcv.last_epoch(spark) + 1`.
+    The bars are those of a batch run over the same ticks. `start_quarantine` keeps the ticks that
+    are in none. The epoch is the checkpoint's own; a new checkpoint gets a new one.
     """
-    bars = flatten_bars(aggregate_ohlcv(valid_ticks(ticks), width, lateness, tie_break))
+    epoch = claim_epoch(spark, store, checkpoint, epoch)
+    bars = flatten_bars(aggregate_ohlcv(ticks, width, lateness, tie_break))
 
     def on_batch(batch: DataFrame, number: int) -> None:
         # Reads run in the caller's session, which plans adaptively; the batch's own does not.
-        apply_bars(spark, store, batch, epoch, number, lookbacks, files_per_day=files_per_day)
+        apply_bars(spark, store, batch, epoch, number, files_per_day=files_per_day)
 
     writer = bars.writeStream.outputMode("update").foreachBatch(on_batch)
-    return _start(spark, writer, checkpoint, once, every, state_partitions)
+    return start_query(spark, writer, checkpoint, once, every, state_partitions)
 
 
 def final_bars(
     ticks: DataFrame, width: str = WIDTH, lateness: str = LATENESS, tie_break: str | None = None
 ) -> DataFrame:
     """Bars for append mode: each comes out once, when the watermark has passed its end."""
-    return flatten_bars(aggregate_ohlcv(valid_ticks(ticks), width, lateness, tie_break))
+    return flatten_bars(aggregate_ohlcv(ticks, width, lateness, tie_break))
+
+
+def flush_tick(spark: SparkSession, schema: T.StructType, moment: datetime) -> DataFrame:
+    """One tick of the code FLUSH, so late that the watermark closes all bars before `moment`.
+
+    Append it to a bounded feed, then run the query once more: append mode then emits the bars
+    that are still open. The tick's own bar has no price and stays open; a later flush emits it.
+    (A tick without a code would be filtered out before it moves the watermark.) `schema` is the
+    feed's; `event_time` gives the tick's time.
+    """
+    given = {"code": F.lit(FLUSH), "event_time": F.lit(moment)}
+    values = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*values)
 
 
 def start_final_bars(
@@ -97,22 +118,26 @@ def start_final_bars(
 ) -> StreamingQuery:
     """Append final bars to Parquet files (exactly once, by the file sink's own log)."""
     writer = bars.writeStream.outputMode("append").format("parquet").option("path", path)
-    return _start(bars.sparkSession, writer, checkpoint, once, every, state_partitions)
+    return start_query(bars.sparkSession, writer, checkpoint, once, every, state_partitions)
 
 
 def start_quarantine(
-    ticks: DataFrame, path: str, checkpoint: str, once: bool = False
+    ticks: DataFrame, path: str, checkpoint: str, once: bool = False, strict: bool = True
 ) -> StreamingQuery:
-    """Keep the ticks that no bar can take, with the reason."""
-    writer = quarantined_ticks(ticks).writeStream.outputMode("append").format("parquet")
-    return _start(ticks.sparkSession, writer.option("path", path), checkpoint, once)
+    """Keep the ticks that break the tick table's constraints, with the reason.
+
+    With strict=False only those that no bar holds are kept.
+    """
+    found = quarantined_ticks(ticks) if strict else barless_ticks(ticks)
+    writer = found.writeStream.outputMode("append").format("parquet")
+    return start_query(ticks.sparkSession, writer.option("path", path), checkpoint, once)
 
 
 def print_messages(messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Show raw values on the console."""
     text = messages.select(F.col("value").cast("string").alias("value"))
     writer = text.writeStream.format("console").option("truncate", "false")
-    return _start(messages.sparkSession, writer, checkpoint, once)
+    return start_query(messages.sparkSession, writer, checkpoint, once)
 
 
 def dropped_late(query: StreamingQuery) -> int:

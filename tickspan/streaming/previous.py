@@ -1,50 +1,71 @@
-"""Previous close of final bars, kept as one value of state per code."""
+"""Final bars with their previous close, one close per code carried from batch to batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from ..operators import Slots, previous_close
+from ..operators.keyed_table import read_parquet
+from ..schemas import BAR, BAR_COLUMNS
+from .jobs import start_query
 
-from ..schemas import BAR_COLUMNS
+CARRIED = T.StructType([f for f in BAR.fields if f.name in ("code", "window_start", "close")])
 
-OUTPUT = (
-    "code string, window_start timestamp, window_end timestamp, open double, high double, "
-    "low double, close double, volume double, trade_count bigint, prev_close double"
-)
 
+def price_batch(spark: SparkSession, root: str, closed: DataFrame, number: int) -> None:
+    """Write the closed bars of one micro-batch with prev_close to root/priced/batch=number.
 
-class LastClose(StatefulProcessor):
-    """Final bars of one code: at most one row per bar width and micro-batch span."""
+    The batch is written first, so its plan runs once. Inside the batch a code's history is looked
+    through by days (see `previous_close`), so a backfill that closes years of one code at once is
+    spread over tasks; from earlier batches one close per code is read. A replay reads what the
+    first try read and replaces what it wrote.
+    """
+    place = f"{root}/closed/batch={number}"
+    closed.select(*BAR_COLUMNS).write.mode("overwrite").parquet(place)
+    bars = spark.read.schema(BAR).parquet(place)
+    carried = Slots(f"{root}/carried", CARRIED)
+    _, before = carried.newest(spark, before=number)
+    names = CARRIED.fieldNames()
+    view = bars.select(*names)
+    if before is not None:
+        view = view.unionByName(before.select(*names))
+    priced = bars.join(previous_close(view).drop("close"), ["code", "window_start"])
+    priced.write.mode("overwrite").parquet(f"{root}/priced/batch={number}")
+    newest = view.groupBy("code").agg(
+        F.max("window_start").alias("window_start"),
+        F.max_by("close", "window_start").alias("close"),
+    )
+    if not view.isEmpty():
+        carried.write(spark, newest, number)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_close", "close double")
 
-    def handleInputRows(
-        self, key, rows: Iterator[pd.DataFrame], timerValues
-    ) -> Iterator[pd.DataFrame]:
-        bars = pd.concat(rows).sort_values("window_start")
-        before = self.last.get()[0] if self.last.exists() else None
-        bars["prev_close"] = bars["close"].shift(1).astype("float64")
-        bars.iloc[0, bars.columns.get_loc("prev_close")] = before
-        self.last.update((float(bars["close"].iloc[-1]),))
-        yield bars[[*BAR_COLUMNS, "prev_close"]]
+def start_priced_bars(
+    final_bars: DataFrame,
+    root: str,
+    checkpoint: str,
+    once: bool = False,
+    every: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Final bars (append mode) with prev_close; read them with `priced_bars`.
+
+    Micro-batches emit final bars in watermark order, so the carried close is always the newest
+    before the batch.
+    """
+    spark = final_bars.sparkSession
 
-    def close(self) -> None:
-        pass
+    def on_batch(batch: DataFrame, number: int) -> None:
+        price_batch(spark, root, batch, number)
 
+    writer = final_bars.writeStream.outputMode("append").foreachBatch(on_batch)
+    return start_query(spark, writer, checkpoint, once, every, state_partitions)
 
-def previous_close_by_state(final_bars: DataFrame) -> DataFrame:
-    """Add prev_close to a stream of final bars (append mode; needs the RocksDB state store).
 
-    Micro-batches emit final bars in watermark order, so the state always holds the newest close
-    before the batch.
-    """
-    return final_bars.groupBy("code").transformWithStateInPandas(
-        statefulProcessor=LastClose(),
-        outputStructType=OUTPUT,
-        outputMode="Append",
-        timeMode="None",
-    )
+def priced_bars(spark: SparkSession, root: str) -> DataFrame:
+    """All final bars written so far, with prev_close."""
+    schema = T.StructType([*BAR.fields, T.StructField("prev_close", T.DoubleType())])
+    place = f"{root}/priced"
+    return read_parquet(spark, schema, place, place).select(*schema.fieldNames())
