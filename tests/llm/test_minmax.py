@@ -59,8 +59,10 @@ def test_against_all_pairs(spark, data, size):
     assert sum(not kept for _, _, kept in got.values()) > 50
 
 
-def test_hub_that_is_not_linked_to_all(spark):
-    """A bucket whose smallest member links few: the rest are compared with each other."""
+@pytest.mark.parametrize("block", [1 << 17, 400])
+def test_hub_that_is_not_linked_to_all(spark, monkeypatch, block):
+    """A bucket whose hub links few: the rest are compared with each other, in blocks."""
+    monkeypatch.setattr(minmax, "BLOCK", block)
     rng = np.random.default_rng(1)
     words = [f"w{i}" for i in range(100)]
     rows = []
@@ -92,6 +94,19 @@ def test_signature_estimates_similarity():
     assert np.abs(estimates).max() < 0.06
 
 
+def test_shared_counts_against_sets():
+    rng = np.random.default_rng(3)
+    left, right = (
+        [np.unique(rng.integers(0, 60, rng.integers(0, 40))) for _ in range(n)] for n in (7, 9)
+    )
+    got = minmax.shared_counts(
+        np.concatenate(left), np.array([len(x) for x in left]),
+        np.concatenate(right), np.array([len(x) for x in right]),
+    )
+    want = [[len(set(a) & set(b)) for b in right] for a in left]
+    assert [g.tolist() for g in got] == want
+
+
 def test_awkward_rows(spark):
     docs = awkward.documents(spark)
     out = minmax.near_duplicates(docs)

@@ -12,20 +12,18 @@ probability of 0.99997.
 
 How it stays linear in groups of copies:
 - Documents with equal sets are one node (partial aggregation by a 128-bit fingerprint).
-- In a bucket every node is confirmed against the bucket's smallest node alone.
-- Only buckets that then still hold several components are looked at pair by pair, in blocks of
-  nodes, inside the tasks: pairs of one component, of unlike sizes, or whose sketches (one byte
-  per signature value) rule out the similarity by more than five standard deviations are left
-  out; all others are confirmed. So no partner is capped.
+- In a bucket every node is confirmed against one hub alone: the node that shares buckets with
+  the most others, which in a group of copies is the one that most of them stem from.
+- Only where a bucket then still holds several components, the nodes outside the hub's component
+  are compared with that component and with each other, whatever their number: in blocks of nodes
+  with their full sets, inside the tasks, so no pair is a row unless it is a link.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +34,10 @@ from .words import NOT_BLANK, mixed, run_hash, shingle_hashes, spans, word_hashe
 
 PERMUTATIONS = 40
 BAND_ROWS = 4
-#: Nodes of one block of a bucket that is looked at pair by pair.
-BLOCK = 128
+#: Shingles of one block of nodes that are compared pair by pair.
+BLOCK = 1 << 17
 
-SIGNATURE = "struct<n:long, low:long, high:long, bands:array<long>, sketch:binary>"
+SIGNATURE = "struct<n:long, low:long, high:long, bands:array<long>>"
 
 
 def distinct_shingles(data, bounds, size: int) -> Iterator[np.ndarray]:
@@ -89,7 +87,7 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 
 
 def signatures(size: int, permutations: int = PERMUTATIONS, rows: int = BAND_ROWS):
-    """Column function: text to its set's size, fingerprint, band keys and sketch."""
+    """Column function: text to its set's size, fingerprint and band keys."""
 
     @F.arrow_udf(SIGNATURE)
     def signature(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -113,23 +111,19 @@ def _described(sets: list[np.ndarray], permutations: int, rows: int) -> pa.Struc
         low[i] = mixed(sets[i]).sum(dtype=np.uint64).astype(np.int64)
         high[i] = np.bitwise_xor.reduce(sets[i] * np.uint64(0xD6E8FEB86659FD93)).astype(np.int64)
     bands = np.zeros(len(sets), np.int64)
-    keys, sketches = np.zeros((0, 1), np.uint64), [b""] * len(sets)
+    keys = np.zeros((0, 1), np.uint64)
     if len(full):
         found = min_max(np.concatenate([sets[i] for i in full]), counts[full], permutations)
         keys = band_keys(found, rows)
         bands[full] = keys.shape[1]
-        small = (mixed(found.astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
-        for i, row in zip(full.tolist(), small):
-            sketches[i] = row.tobytes()
     return pa.StructArray.from_arrays(
         [
             pa.array(counts),
             pa.array(low),
             pa.array(high),
             lists(keys.ravel().view(np.int64), bands, pa.int64()),
-            pa.array(sketches, pa.binary()),
         ],
-        ["n", "low", "high", "bands", "sketch"],
+        ["n", "low", "high", "bands"],
     )
 
 
@@ -211,31 +205,94 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             return current
 
 
-def _cross_pairs(permutation_values: int, similarity_pct: int):
-    """Map function: pairs of blocks of nodes to the pairs of nodes worth confirming."""
-    need = similarity_pct / 100
-    need -= 5 * math.sqrt(need * (1 - need) / permutation_values)
+def shared_counts(
+    left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray, right_sizes: np.ndarray
+) -> Iterator[np.ndarray]:
+    """For each left set, how many values it shares with each right set; sets lie in a row."""
+    owner = np.repeat(np.arange(len(right_sizes)), right_sizes)
+    order = np.argsort(right, kind="stable")
+    ranked, owner = right[order], owner[order]
+    at = 0
+    for size in left_sizes.tolist():
+        values = left[at : at + size]
+        at += size
+        low = np.searchsorted(ranked, values, "left")
+        counts = np.searchsorted(ranked, values, "right") - low
+        place = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        yield np.bincount(owner[place], minlength=len(right_sizes))
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _block_links(similarity_pct: int):
+    """Map function: pairs of blocks of nodes to the links between them."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                a, b = np.asarray(row.nodes), np.asarray(row.other_nodes)
-                n, m = np.asarray(row.sizes), np.asarray(row.other_sizes)
-                ca, cb = np.asarray(row.components), np.asarray(row.other_components)
-                sa = np.frombuffer(b"".join(row.sketches), np.uint8).reshape(len(a), -1)
-                sb = np.frombuffer(b"".join(row.other_sketches), np.uint8).reshape(len(b), -1)
-                least = np.minimum(n[:, None], m[None, :])
-                most = np.maximum(n[:, None], m[None, :])
-                worth = (ca[:, None] != cb[None, :]) & (100 * least >= similarity_pct * most)
-                worth &= a[:, None] < b[None, :] if row.same else a[:, None] != b[None, :]
-                i, j = np.nonzero(worth)
-                for k in range(0, len(i), 65536):
-                    x, y = i[k : k + 65536], j[k : k + 65536]
-                    near = (sa[x] == sb[y]).mean(axis=1) >= need
-                    x, y = a[x[near]], b[y[near]]
-                    yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-    return pairs
+            for i in range(batch.num_rows):
+
+                def column(name: str, i: int = i, batch: pa.RecordBatch = batch) -> np.ndarray:
+                    return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
+
+                nodes, others = column("nodes"), column("other_nodes")
+                outside = column("other_outside").astype(bool)
+                sizes, other_sizes = column("sizes"), column("other_sizes")
+                found = [], []
+                shared = shared_counts(
+                    column("sets"), sizes, column("other_sets"), other_sizes
+                )
+                for node, size, n in zip(nodes.tolist(), sizes.tolist(), shared):
+                    near = 100 * n >= similarity_pct * (size + other_sizes - n)
+                    # Two outside nodes meet twice: once is enough.
+                    near &= (others != node) & ~(outside & (others < node))
+                    ends = others[near]
+                    found[0].extend(np.minimum(ends, node).tolist())
+                    found[1].extend(np.maximum(ends, node).tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(f, pa.int64()) for f in found], ["a", "b"]
+                )
+
+    return links
+
+
+def _links_outside(clusters: DataFrame, sets: DataFrame, similarity_pct: int) -> DataFrame:
+    """Links of each cluster's outside nodes with all of its nodes.
+
+    `clusters` has (cluster, node, outside). Blocks of outside nodes meet blocks of all nodes; the
+    blocks hold about BLOCK shingles each, however large the cluster is.
+    """
+    rows = clusters.join(sets, "node").withColumn("size", F.size("shingles"))
+    own = F.when(F.col("outside"), F.col("size")).otherwise(0)
+    totals = rows.groupBy("cluster").agg(
+        F.greatest(F.lit(1), F.ceil(F.sum(own) / BLOCK)).cast("int").alias("lefts"),
+        F.greatest(F.lit(1), F.ceil(F.sum("size") / BLOCK)).cast("int").alias("rights"),
+    )
+    rows = rows.join(totals, "cluster")
+
+    def blocks(side: DataFrame, count: str, prefix: str) -> DataFrame:
+        return (
+            side.withColumn("block", F.expr(f"cast(pmod(xxhash64(node), {count}) AS int)"))
+            .groupBy("cluster", "lefts", "rights", "block")
+            .agg(
+                F.collect_list("node").alias(f"{prefix}nodes"),
+                F.collect_list("size").alias(f"{prefix}sizes"),
+                F.collect_list(F.col("outside").cast("int")).alias(f"{prefix}outside"),
+                F.flatten(F.collect_list("shingles")).alias(f"{prefix}sets"),
+            )
+        )
+
+    left = blocks(rows.filter("outside"), "lefts", "").drop("outside")
+    right = blocks(rows, "rights", "other_")
+    left = left.withColumnRenamed("block", "l").withColumn(
+        "r", F.explode(F.expr("sequence(0, rights - 1)"))
+    )
+    right = right.withColumnRenamed("block", "r").withColumn(
+        "l", F.explode(F.expr("sequence(0, lefts - 1)"))
+    )
+    met = left.drop("lefts", "rights").join(right.drop("lefts", "rights"), ["cluster", "l", "r"])
+    return (
+        met.drop("cluster", "l", "r")
+        .mapInArrow(_block_links(similarity_pct), "a long, b long")
+        .distinct()
+    )
 
 
 def near_duplicates(
@@ -274,81 +331,65 @@ def near_duplicates(
     members = as_table(
         firsts.select("node", "n", F.explode("bands").alias("band")), "members"
     )
-    buckets = as_table(
-        members.groupBy("band")
-        .agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("size"))
-        .filter("size > 1"),
-        "buckets",
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    held = as_table(members.join(sizes, "band"), "held")
+    degrees = held.groupBy("node").agg(F.sum("size").alias("degree"))
+    hubs = as_table(
+        held.join(degrees, "node")
+        .groupBy("band", "size")
+        .agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"), "n")).alias("hub"))
+        .select("band", "size", (-F.col("hub.minus")).alias("hub"), F.col("hub.n").alias("m")),
+        "hubs",
     )
     pairs = (
-        members.select("band", F.col("node").alias("b"), F.col("n").alias("m"))
-        .join(buckets.select("band", F.col("hub.node").alias("a"), F.col("hub.n").alias("n")), "band")
-        .filter(F.col("a") != F.col("b"))
+        held.select("band", "node", "n")
+        .join(hubs.select("band", "hub", "m"), "band")
+        .filter(F.col("node") != F.col("hub"))
         .filter(_alike(similarity_pct))
-        .select("a", "b")
+        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         .distinct()
     )
     pairs = as_table(pairs, "pairs")
     make_set = shingle_sets(shingle_words)
 
-    def confirm(candidates: DataFrame) -> DataFrame:
-        wanted = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
-        sets = as_table(
-            source.join(wanted, "node", "left_semi").select("node", make_set("t").alias("shingles")),
-            "sets",
-        )
-        return as_table(_confirmed(candidates, sets, similarity_pct).distinct(), "links")
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        wanted = source.join(nodes, "node", "left_semi")
+        return as_table(wanted.select("node", make_set("t").alias("shingles")), "sets")
 
-    links = confirm(pairs)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    links = as_table(_confirmed(pairs, sets_of(ends), similarity_pct).distinct(), "links")
     linked = components(links)
 
-    # Buckets of three or more nodes that still hold several components.
-    open_buckets = buckets.filter("size > 2").select("band", "size")
-    held = (
-        members.join(open_buckets, "band")
-        .join(linked, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    held = as_table(held, "held")
-    mixed_buckets = (
-        held.groupBy("band")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .filter("least <> most")
-        .select("band")
-    )
-    sketches = whole.select("node", "sketch").dropDuplicates(["node"])
-    blocks = as_table(
-        held.join(mixed_buckets, "band")
-        .join(sketches, "node")
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        .withColumn("block", F.expr("pmod(xxhash64(node), blocks)").cast("int"))
-        .groupBy("band", "blocks", "block")
-        .agg(
-            F.collect_list("node").alias("nodes"),
-            F.collect_list("n").alias("sizes"),
-            F.collect_list("component").alias("components"),
-            F.collect_list("sketch").alias("sketches"),
-        ),
-        "blocks",
-    )
-    other = blocks.select(
-        "band",
-        F.col("block").alias("other"),
-        *[F.col(c).alias(f"other_{c}") for c in ("nodes", "sizes", "components", "sketches")],
-    )
-    residual = (
-        blocks.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
-        .join(other, ["band", "other"])
-        .withColumn("same", F.col("block") == F.col("other"))
-        .drop("band", "blocks", "block", "other")
-        .mapInPandas(_cross_pairs(2 * permutations, similarity_pct), "a long, b long")
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+    # Nodes outside the component of their bucket's hub, in buckets of three or more.
+    def component_of(rows: DataFrame, node: str, name: str) -> DataFrame:
+        known = linked.select(F.col("node").alias(node), F.col("component").alias("known_"))
+        return rows.join(known, node, "left").withColumn(name, F.coalesce("known_", node)).drop("known_")
+
+    clusters = component_of(hubs.filter("size > 2").select("band", "hub"), "hub", "cluster")
+    outside = as_table(
+        component_of(held.join(clusters.select("band", "cluster"), "band"), "node", "component")
+        .filter("component <> cluster")
+        .select("cluster", "node")
+        .distinct(),
+        "outside",
     )
-    residual = as_table(residual, "residual")
-    if residual.limit(1).count():
-        links = as_table(links.union(confirm(residual)), "links")
-        linked = components(links)
+    if outside.limit(1).count():
+        chosen = outside.select("cluster").distinct()
+        inside = linked.select(F.col("component").alias("cluster"), "node").union(
+            chosen.select("cluster", F.col("cluster").alias("node"))
+        )
+        inside = inside.distinct().join(chosen, "cluster", "left_semi")
+        every = as_table(
+            inside.withColumn("outside", F.lit(False)).unionByName(
+                outside.withColumn("outside", F.lit(True))
+            ),
+            "clusters",
+        )
+        sets = sets_of(every.select("node").distinct())
+        found = as_table(_links_outside(every, sets, similarity_pct), "links")
+        if found.limit(1).count():
+            links = links.union(found)
+            linked = components(links)
 
     moved = groups.join(linked, "node", "left").select(
         "low", "high", "n", F.coalesce("component", "node").alias("component"), "node", "last"
