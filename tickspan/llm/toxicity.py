@@ -174,14 +174,23 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 def telling_terms(
-    counters: list[Counter], toxic: np.ndarray, share: np.ndarray
+    texts: list[bytes], toxic: np.ndarray, share: np.ndarray
 ) -> list[tuple[bytes, float]]:
-    """Words of the largest chi-squared against the label, with their weighted text shares."""
+    """Terms of the largest chi-squared against the label, with their weighted text shares."""
     total = [share[toxic == 0].sum(), share[toxic == 1].sum()]
     n = [int((toxic == 0).sum()), int((toxic == 1).sum())]
+    # A term in m texts reaches 2 * m * (larger / smaller label) at most. Texts are counted by
+    # hashes first, so that only terms in enough texts are held.
+    least = TELLING * max(1, min(n)) / (2 * max(1, *n))
+    buckets = np.zeros(1 << 20, np.int32)
+    for text in texts:
+        own = {hash(t) & (len(buckets) - 1) for t in term_counts(words_of(text))}
+        buckets[list(own)] += 1
+    often = (buckets >= least).tolist()
     df = [Counter(), Counter()]
-    for counter, label in zip(counters, toxic.tolist()):
-        df[label].update(counter.keys())
+    for text, label in zip(texts, toxic.tolist()):
+        terms = term_counts(words_of(text))
+        df[label].update(t for t in terms if often[hash(t) & (len(often) - 1)])
     found = []
     for word in df[0].keys() | df[1].keys():
         a, b = df[1][word], df[0][word]
@@ -198,8 +207,8 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
     """The index of examples, calibrated; `share` says how many labelled rows each stands for."""
     order = np.argsort(ids, kind="stable")
     ids, toxic, share = ids[order], toxic[order].astype(np.int64), share[order].astype(float)
-    words = [words_of(texts[i]) for i in order.tolist()]
-    terms = [*telling_terms([term_counts(w) for w in words], toxic, share), (REST_NAME, 1.0)]
+    texts = [texts[i] for i in order.tolist()]
+    terms = [*telling_terms(texts, toxic, share), (REST_NAME, 1.0)]
     idf = np.array([np.log(1 + 1 / max(rate, 1e-9)) for _, rate in terms])
     blocks = -(-len(ids) // BLOCK)
     index = Index(
@@ -207,7 +216,7 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
         np.zeros(0, np.int64), np.zeros(0), np.zeros((len(terms), blocks + 1), np.int64),
         np.zeros((len(terms), blocks)),
     )
-    vectors = [index.vector(w) for w in words]
+    vectors = [index.vector(words_of(t)) for t in texts]
     rows = np.repeat(np.arange(len(ids)), [len(at) for at, _ in vectors])
     term = np.concatenate([np.zeros(0, np.int64), *[at for at, _ in vectors]])
     weight = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
