@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import as_table
+from .bloom import bloom_words, may_be_in
 from .frames import flat, lists, steps
 from .words import NOT_BLANK, mixed, run_hash, shingle_hashes, spans, word_hashes
 
@@ -353,7 +354,11 @@ def near_duplicates(
     make_set = shingle_sets(shingle_words)
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        wanted = source.join(nodes, "node", "left_semi")
+        # The filter keeps most texts out of the shuffle, the join is exact.
+        nodes = as_table(nodes, "nodes")
+        key = F.xxhash64("node")
+        known = bloom_words(nodes.select(key.alias("key")), "key")
+        wanted = source.filter(may_be_in(key, known)).join(nodes, "node", "left_semi")
         return as_table(wanted.select("node", make_set("t").alias("shingles")), "sets")
 
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()

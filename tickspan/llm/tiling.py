@@ -24,14 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import as_table
+from .bloom import Bloom, bloom_words
 from .frames import flat, lists, steps
 from .words import ALNUM, SHINGLE_BASE, lower_latin, mixed, powers, shingle_hashes, spans, word_hashes
 
 MIN_TILE = 4
 COVERAGE = 0.6
-#: Bits of the Bloom filter (2 MB), and bits set for each seed.
-FILTER_BITS = 1 << 24
-FILTER_HASHES = 3
 
 
 def hashed_words(data, bounds) -> tuple[np.ndarray, np.ndarray]:
@@ -44,14 +42,6 @@ def hashed_words(data, bounds) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, starts, ends), first
 
 
-def filter_bits(seeds: np.ndarray) -> list[np.ndarray]:
-    """The Bloom filter's bits of each seed: three pieces of 24 bits of its hash."""
-    return [
-        ((seeds >> np.uint64(20 * k)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-        for k in range(FILTER_HASHES)
-    ]
-
-
 def item_words():
     """Column function: text to its word hashes."""
 
@@ -80,28 +70,6 @@ def item_seeds(min_tile: int):
     return seeds
 
 
-def marked_filter(seeds: DataFrame) -> np.ndarray:
-    """The Bloom filter of a column of seeds, as bytes; 2**18 words of 64 bits at most are read."""
-    piece = F.shiftrightunsigned
-    bit = F.explode(
-        F.array(
-            *[
-                piece("seed", 20 * k).bitwiseAND(F.lit(FILTER_BITS - 1))
-                for k in range(FILTER_HASHES)
-            ]
-        )
-    )
-    found = (
-        seeds.select(bit.alias("bit"))
-        .groupBy(piece("bit", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("bits"))
-        .toPandas()
-    )
-    words = np.zeros(FILTER_BITS // 64, np.uint64)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return words
-
-
 def seeds_of_documents(words: np.ndarray, min_tile: int, least: int):
     """Column function: text to its word hashes and its distinct seeds that pass the filter.
 
@@ -110,7 +78,7 @@ def seeds_of_documents(words: np.ndarray, min_tile: int, least: int):
 
     @F.arrow_udf("struct<words:array<long>, seeds:array<long>>")
     def candidates(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        flags = np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
+        known = Bloom(words)
         kind = pa.list_(pa.int64())
         for batch in batches:
             data, bounds = flat(batch)
@@ -119,10 +87,7 @@ def seeds_of_documents(words: np.ndarray, min_tile: int, least: int):
                 part = bounds[a : b + 1] - bounds[a]
                 hashes, first = hashed_words(data[bounds[a] : bounds[b]], part)
                 seeds = shingle_hashes(hashes, min_tile)
-                passed = np.ones(len(seeds), bool)
-                for bits in filter_bits(seeds):
-                    passed &= flags[bits]
-                at = np.flatnonzero(passed)
+                at = np.flatnonzero(known.may_hold(seeds))
                 low = np.searchsorted(at, first[:-1]).tolist()
                 high = np.searchsorted(at, first[1:] - min_tile + 1).tolist()
                 for x, y, i in zip(low, high, range(b - a)):
@@ -246,7 +211,7 @@ def contamination(
     repeated = F.size("seeds") - F.size(F.array_distinct("seeds"))
     needed = F.ceil(coverage * F.col("length") / min_tile) - repeated
     least = max(1, seeded.agg(F.min(needed)).first()[0] or 1)
-    find = seeds_of_documents(marked_filter(seeds), min_tile, least)
+    find = seeds_of_documents(bloom_words(seeds, "seed"), min_tile, least)
     hits = as_table(
         docs.filter(F.col(id_column).isNotNull())
         .select(F.col(id_column).cast("long").alias("doc"), find(F.col(text_column)).alias("h"))
