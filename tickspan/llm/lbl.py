@@ -37,6 +37,7 @@ from .frames import texts_of
 #: Tokens whose counts every task holds, and the longest such token in bytes: 3 MB at most.
 HEAD_TOKENS = 65_536
 HEAD_BYTES = 48
+STEPS_PER_DOUBLING = 64
 #: Outputs of single tokens, and classes of all other tokens.
 SINGLE_TOKENS = 192
 CLASSES = 64
@@ -249,12 +250,18 @@ def train(
     )
     total = counts.agg(F.sum("n"), F.count("n")).first()
     tokens, distinct = int(total[0] or 0), int(total[1])
-    head_rows = (
-        counts.filter(F.octet_length("token") <= HEAD_BYTES)
-        .orderBy(F.desc("n"), "token")
-        .limit(HEAD_TOKENS)
-        .toPandas()
-    )
+    # The head: all tokens from a count on, the smallest that leaves HEAD_TOKENS at most. Counts
+    # are looked at in steps of about 1 percent, so a few thousand rows say where to cut.
+    step = F.floor(F.log2("n") * STEPS_PER_DOUBLING)
+    short = counts.filter(F.octet_length("token") <= HEAD_BYTES).withColumn("step", step)
+    cut, room = 0, HEAD_TOKENS
+    for row in sorted(short.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        room -= row["count"]
+        if room < 0:
+            cut = row["step"] + 1
+            break
+    head_rows = short.filter(F.col("step") >= cut).toPandas()
+    head_rows = head_rows.sort_values(["n", "token"], ascending=[False, True])
     head = {bytes(t): int(n) for t, n in zip(head_rows["token"], head_rows["n"])}
     single = {t: i for i, t in enumerate(list(head)[:SINGLE_TOKENS])}
     own = F.crc32(F.expr("substring(token, -2)")) % CLASSES
