@@ -193,7 +193,7 @@ def test_bars_later_than_the_kept_ones_find_their_predecessor(spark, store):
     assert prev("C", 1440 * 39) == 11.0 and prev("C", 1440 * 39 + 1) == 1.5
 
 
-def test_a_batch_reads_a_constant_number_of_files(spark, store, monkeypatch):
+def test_a_batch_reads_a_constant_number_of_files(spark, store, monkeypatch, request):
     """Steady batches, a new code among them, never open the bars of other batches."""
     set_thresholds(spark, store, {"A": 0.0})
     opened, versions = [], KeyedTable.versions
@@ -204,10 +204,12 @@ def test_a_batch_reads_a_constant_number_of_files(spark, store, monkeypatch):
             opened.append(table.path)
         return versions(table, *args, **kw)
 
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # twenty small batches
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.shuffle.partitions", "8"))
     put(spark, store, 0, [bar("A", 0, 1.0)])
     monkeypatch.setattr(KeyedTable, "versions", watched)
     files = set()
-    for batch in range(1, 51):
+    for batch in range(1, 21):
         new = [bar(f"new{batch}", batch, 1.0)] if batch % 10 == 0 else []
         put(spark, store, batch, [bar("A", batch - 1, 1.5 * batch), bar("A", batch, 2.0 * batch), *new])
         if batch % 10 == 0:
@@ -217,8 +219,8 @@ def test_a_batch_reads_a_constant_number_of_files(spark, store, monkeypatch):
     assert opened == [] and len(files) == 1
     monkeypatch.undo()
     log = store.anomaly_log.current(spark).collect()
-    assert len(log) == 50 and all(r.code == "A" for r in log)
-    assert {r.window_start: r.prev_close for r in log}[at(3000)] == 1.5 * 50
+    assert len(log) == 20 and all(r.code == "A" for r in log)
+    assert {r.window_start: r.prev_close for r in log}[at(1200)] == 1.5 * 20
 
 
 def test_an_updated_older_close_is_the_one_found(spark, store):
