@@ -90,3 +90,20 @@ def test_awkward_rows(spark):
     left = toxicity.tolerable(docs, none)
     assert left.columns == docs.columns and left.count() == 12
     assert toxicity.tolerable(docs.limit(0), index).count() == 0
+
+
+def test_copies_of_examples_find_them(spark):
+    texts, toxic = made()
+    # A toxic example whose words are in no other example and tell nothing by themselves.
+    texts, toxic = [*texts, b"quite unlike anything elsewhere"], np.append(toxic, 1)
+    index = toxicity.build(np.arange(301), texts, toxic, np.ones(301))
+    docs = awkward.documents(spark, [(1, "Quite unlike, anything elsewhere!", "en")])
+    found = docs.select(toxicity.score(F.col("text"), index).alias("t")).select("t.*").collect()[0]
+    assert found["neighbours"][0]["id"] == 300 and found["neighbours"][0]["toxic"] == 1
+    assert abs(found["neighbours"][0]["cosine"] - 1) < 1e-9
+
+
+def test_all_words_are_terms():
+    texts = [f"word{i} other{i}".encode() for i in range(400)]
+    index = toxicity.build(np.arange(400), texts, np.arange(400) % 2, np.ones(400))
+    assert {w for t in texts for w in t.split()} <= set(index.terms)

@@ -1,16 +1,15 @@
 """Toxicity by the nearest labelled examples, under exact TF-IDF cosine.
 
-Terms are the words, and the beginnings of longer words, that tell the labels apart (chi-squared
-over the labelled examples, most telling first). Examples and texts are unit vectors of log term frequency times inverse document
-frequency over these terms, and one more dimension of a fixed weight for the rest of the text. The examples lie in an inverted index: postings in the order of the
-examples' numbers, cut into blocks at the same numbers for all terms, with the largest weight of
-each term in each block. A query's weights times these maxima bound the cosine of all examples of
-a block, so blocks are visited from the highest bound down until the bound is below the k-th best
-cosine so far: the k nearest examples are exact, ties going to the smaller example id.
+Terms are all words of the examples, and the beginnings of longer words that tell the labels apart
+(chi-squared over the examples). Examples and texts are vectors of log term frequency times inverse
+document frequency, times an emphasis that grows with what a term tells. Words that no example
+holds count in a text's length. The examples lie in an inverted index: terms of many examples as
+rows of a dense matrix, all others as postings. Every example is weighed against every text that
+shares a term with it, so the k nearest are exact, ties going to the smaller example id.
 
 The neighbours vote with their cosines as weights; the vote is calibrated by the examples' own
-leave-one-out votes (isotonic regression). Texts without any of the terms get the share of toxic
-ones among such examples.
+leave-one-out votes (isotonic regression). Texts that share no term with any example get the share
+of toxic ones among the examples without a word.
 
 The examples are a bounded sample of the labelled rows: EXAMPLES_PER_LABEL of each label, those
 with the smallest hashes of their ids. Labels weigh as often as they occur in all labelled rows.
@@ -30,20 +29,18 @@ from pyspark.sql import functions as F
 from .frames import texts_of
 
 EXAMPLES_PER_LABEL = 2000
-TERMS = 128
 #: Bytes of the beginnings of words that are terms as well; names of such terms end in a star.
 BEGINNINGS = (4, 5, 6, 7)
-#: Weight of the one dimension that stands for all else in a text, so that the angle between texts
-#: also tells how much of the terms they hold; its name is no word.
-REST = 6.0
-REST_NAME = b""
-#: Chi-squared, with one degree of freedom, below which a word tells nothing.
+#: Chi-squared, with one degree of freedom, from which a term tells the labels apart.
 TELLING = 15.0
+#: The emphasis of a telling term: its chi-squared over TELLING to this power.
+EMPHASIS = 0.5
 NEIGHBOURS = 15
-BLOCK = 64
+#: Terms in more than this share of the examples are rows of the dense matrix.
+COMMON = 1 / 16
 #: Weight of the overall share among the neighbours' votes.
 PRIOR_WEIGHT = 0.5
-#: Texts whose bounds are worked out at once.
+#: Texts that are compared at once.
 QUERIES = 256
 
 # Bytes that cut words: ASCII other than letters, digits; A-Z become a-z.
@@ -69,49 +66,62 @@ def term_counts(words: list[bytes]) -> Counter:
 
 @dataclass
 class Index:
-    """Block-max inverted index of the examples.
+    """Inverted index of the examples.
 
-    terms: places of the words; idf: their weights; doc, weight, start: the postings of all terms
-    in a row and where each term's begin; cuts: where each block's begin, terms x (blocks + 1);
-    most: the largest weight of each term in each block. ids and toxic describe the examples.
+    terms: places of the terms; idf: their weights, the emphasis included; unseen: the weight of
+    words that no example holds; telling: the terms that tell the labels apart. start, doc,
+    weight: where each term's postings begin, and the postings of all terms in a row; row, dense:
+    common terms' rows (-1: postings only) and weights by example. ids and toxic describe the
+    examples.
     """
 
     terms: dict[bytes, int]
     idf: np.ndarray
+    unseen: float
+    telling: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
     share: np.ndarray  # how many labelled rows each example stands for
+    start: np.ndarray
     doc: np.ndarray
     weight: np.ndarray
-    cuts: np.ndarray
-    most: np.ndarray
+    row: np.ndarray
+    dense: np.ndarray
     steps: tuple[np.ndarray, np.ndarray] | None = None  # calibration: votes and probabilities
     without: float = 0.0  # probability for texts without any term
     overall: float = 0.0
 
     def __post_init__(self) -> None:
-        self.whole = {t: i for t, i in self.terms.items() if t and not t.endswith(b"*")}
-        own = [
-            (size, {t[:-1]: i for t, i in self.terms.items() if t[size:] == b"*"})
+        own = [t for t in self.terms if t.endswith(b"*")]
+        self.beginnings = [
+            (size, {t[:-1]: self.terms[t] for t in own if len(t) == size + 1})
             for size in BEGINNINGS
         ]
-        self.beginnings = [(size, terms) for size, terms in own if terms]
 
     def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Places and weights of the terms in a text; a unit vector, or empty without any."""
-        own, found = Counter(words), Counter()
-        for word in self.whole.keys() & own.keys():
-            found[self.whole[word]] += own[word]
+        """Places and weights of the terms in a text; empty without any.
+
+        The weights are those of a unit vector that has the words no example holds as well.
+        """
+        own = Counter(words)
+        found, unseen = {}, []
+        for word, n in own.items():
+            if (t := self.terms.get(word)) is None:
+                unseen.append(n)
+            else:
+                found[t] = n
         for size, terms in self.beginnings:
-            for word, n in own.items():
-                if len(word) > size and (t := terms.get(word[:size])) is not None:
-                    found[t] += n
+            if terms:
+                for word, n in own.items():
+                    if len(word) > size and (t := terms.get(word[:size])) is not None:
+                        found[t] = found.get(t, 0) + n
         if not found:
             return np.zeros(0, np.int64), np.zeros(0)
-        at = np.array(sorted(found), np.int64)
-        weight = (1 + np.log([found[t] for t in at.tolist()])) * self.idf[at]
-        at, weight = np.append(at, self.terms[REST_NAME]), np.append(weight, REST)
-        return at, weight / np.sqrt((weight * weight).sum())
+        at = np.fromiter(found, np.int64, len(found))
+        weight = (1 + np.log(np.fromiter(found.values(), float, len(found)))) * self.idf[at]
+        other = (1 + np.log(np.array(unseen, float))) * self.unseen
+        order = np.argsort(at)
+        return at[order], weight[order] / np.sqrt((weight * weight).sum() + (other * other).sum())
 
     def nearest(
         self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None
@@ -120,34 +130,28 @@ class Index:
 
         Only examples with a cosine above 0 count; `but` leaves out one example per query.
         """
-        blocks = self.most.shape[1]
-        dense = np.zeros((len(queries), len(self.idf)))
-        for row, (at, weight) in zip(dense, queries):
-            row[at] = weight
-        bounds = dense @ self.most if blocks else np.zeros((len(queries), 0))
-        order = np.argsort(-bounds, axis=1, kind="stable")
-        out = []
+        common = np.zeros((len(queries), len(self.dense)))
+        for q, (at, weight) in zip(common, queries):
+            row = self.row[at]
+            q[row[row >= 0]] = weight[row >= 0]
+        cosines, out = common @ self.dense, []
         for q, (at, weight) in enumerate(queries):
-            best_docs, best = np.zeros(0, np.int64), np.zeros(0)
-            terms = list(zip(at.tolist(), weight.tolist()))
-            for b in order[q].tolist():
-                # Bounds and cosines are sums in different orders: allow for their rounding.
-                bound = bounds[q, b] + 1e-9
-                if bound <= 1e-9 or (len(best) == k and bound < best[-1]):
-                    break
-                cosine = np.zeros(BLOCK)
-                for t, w in terms:
-                    x, y = self.cuts[t, b], self.cuts[t, b + 1]
-                    cosine[self.doc[x:y] - b * BLOCK] += w * self.weight[x:y]
-                hit = np.flatnonzero(cosine > 0)
-                docs = np.concatenate([best_docs, hit + b * BLOCK])
-                values = np.concatenate([best, cosine[hit].round(12)])
-                if but is not None:
-                    keep = docs != but[q]
-                    docs, values = docs[keep], values[keep]
-                top = np.lexsort((docs, -values))[:k]
-                best_docs, best = docs[top], values[top]
-            out.append((best_docs, best))
+            rare = self.row[at] < 0
+            at, weight = at[rare], weight[rare]
+            counts = self.start[at + 1] - self.start[at]
+            ends = np.cumsum(counts)
+            place = np.arange(counts.sum()) + np.repeat(self.start[at] - ends + counts, counts)
+            own = np.repeat(weight, counts) * self.weight[place]
+            cosine = cosines[q] + np.bincount(self.doc[place], own, len(self.ids))
+            cosine = cosine.round(12)
+            if but is not None:
+                cosine[but[q]] = 0
+            docs = np.flatnonzero(cosine > 0)
+            if len(docs) > k:
+                least = np.partition(cosine, len(cosine) - k)[-k]
+                docs = np.flatnonzero(cosine >= least)
+            top = docs[np.argsort(-cosine[docs], kind="stable")][:k]
+            out.append((top, cosine[top]))
         return out
 
     def vote(self, docs: np.ndarray, cosines: np.ndarray) -> float:
@@ -173,14 +177,14 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return p[:, 2] / p[:, 0], p[:, 1] / p[:, 0]
 
 
-def telling_terms(
+def terms_of(
     texts: list[bytes], toxic: np.ndarray, share: np.ndarray
-) -> list[tuple[bytes, float]]:
-    """Terms of the largest chi-squared against the label, with their weighted text shares."""
+) -> list[tuple[bytes, float, float]]:
+    """All words and the telling beginnings: (term, weighted text share, chi-squared)."""
     total = [share[toxic == 0].sum(), share[toxic == 1].sum()]
     n = [int((toxic == 0).sum()), int((toxic == 1).sum())]
-    # A term in m texts reaches 2 * m * (larger / smaller label) at most. Texts are counted by
-    # hashes first, so that only terms in enough texts are held.
+    # A term in m texts reaches 2 * m * (larger / smaller label) at most. Beginnings are counted
+    # by hashes first, so that only those in enough texts are held.
     least = TELLING * max(1, min(n)) / (2 * max(1, *n))
     buckets = np.zeros(1 << 20, np.int32)
     for text in texts:
@@ -190,17 +194,19 @@ def telling_terms(
     df = [Counter(), Counter()]
     for text, label in zip(texts, toxic.tolist()):
         terms = term_counts(words_of(text))
-        df[label].update(t for t in terms if often[hash(t) & (len(often) - 1)])
+        df[label].update(
+            t for t in terms if t[-1:] != b"*" or often[hash(t) & (len(often) - 1)]
+        )
     found = []
-    for word in df[0].keys() | df[1].keys():
-        a, b = df[1][word], df[0][word]
+    for term in sorted(df[0].keys() | df[1].keys()):
+        a, b = df[1][term], df[0][term]
         c, d = n[1] - a, n[0] - b
         below = (a + b) * (c + d) * n[0] * n[1]
         chi = (a * d - b * c) ** 2 * (n[0] + n[1]) / below if below else 0.0
-        if chi >= TELLING:
+        if chi >= TELLING or term[-1:] != b"*":
             rate = (a / max(1, n[1]) * total[1] + b / max(1, n[0]) * total[0]) / sum(total)
-            found.append((-chi, word, rate))
-    return [(word, rate) for _, word, rate in sorted(found)[:TERMS]]
+            found.append((term, rate, chi))
+    return found
 
 
 def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndarray) -> Index:
@@ -208,24 +214,28 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
     order = np.argsort(ids, kind="stable")
     ids, toxic, share = ids[order], toxic[order].astype(np.int64), share[order].astype(float)
     texts = [texts[i] for i in order.tolist()]
-    terms = [*telling_terms(texts, toxic, share), (REST_NAME, 1.0)]
-    idf = np.array([np.log(1 + 1 / max(rate, 1e-9)) for _, rate in terms])
-    blocks = -(-len(ids) // BLOCK)
+    terms = terms_of(texts, toxic, share)
+    chi = np.array([c for _, _, c in terms])
+    idf = np.log(1 + 1 / np.maximum(np.array([rate for _, rate, _ in terms]), 1e-9))
+    idf *= np.maximum(1, chi / TELLING) ** EMPHASIS
     index = Index(
-        {word: i for i, (word, _) in enumerate(terms)}, idf, ids, toxic, share,
-        np.zeros(0, np.int64), np.zeros(0), np.zeros((len(terms), blocks + 1), np.int64),
-        np.zeros((len(terms), blocks)),
+        {term: i for i, (term, _, _) in enumerate(terms)}, idf, float(np.log(1 + len(ids))),
+        chi >= TELLING, ids, toxic, share, np.zeros(len(terms) + 1, np.int64),
+        np.zeros(0, np.int32), np.zeros(0), np.full(len(terms), -1), np.zeros((0, len(ids))),
     )
     vectors = [index.vector(words_of(t)) for t in texts]
-    rows = np.repeat(np.arange(len(ids)), [len(at) for at, _ in vectors])
+    rows = np.repeat(np.arange(len(ids), dtype=np.int32), [len(at) for at, _ in vectors])
     term = np.concatenate([np.zeros(0, np.int64), *[at for at, _ in vectors]])
     weight = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
     by_term = np.lexsort((rows, term))
     index.doc, index.weight = rows[by_term], weight[by_term]
-    key = term[by_term] * (blocks + 1) + index.doc // BLOCK
-    grid = np.arange(len(terms))[:, None] * (blocks + 1) + np.arange(blocks + 1)
-    index.cuts = np.searchsorted(key, grid)
-    np.maximum.at(index.most, (term, rows // BLOCK), weight)
+    counts = np.bincount(term, minlength=len(terms))
+    index.start[1:] = np.cumsum(counts)
+    common = np.flatnonzero(counts > COMMON * len(ids))
+    index.row[common] = np.arange(len(common))
+    index.dense = np.zeros((len(common), len(ids)))
+    of_common = index.row[term] >= 0
+    index.dense[index.row[term[of_common]], rows[of_common]] = weight[of_common]
     index.overall = float(share @ toxic / share.sum()) if len(ids) else 0.0
     full = np.array([len(at) > 0 for at, _ in vectors], bool)
     index.without = _rate(toxic[~full], share[~full], index.overall)
@@ -311,7 +321,8 @@ def score(text: Column, index: Index) -> Column:
     """struct<score, neighbours: array<struct<id, cosine, toxic>>, terms: array<string>>.
 
     score is the calibrated probability that the whole text is toxic; neighbours (nearest first)
-    and the terms found are the evidence. Null and empty texts are like others without any term.
+    and the terms found that tell the labels apart are the evidence. Null and empty texts are like
+    others without any term.
     """
 
     @F.arrow_udf(
@@ -319,7 +330,9 @@ def score(text: Column, index: Index) -> Column:
         "terms:array<string>>"
     )
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = [t.decode(errors="replace") for t in index.terms]
+        names = {
+            i: t.decode(errors="replace") for t, i in index.terms.items() if index.telling[i]
+        }
         kind = pa.list_(
             pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])
         )
@@ -341,7 +354,10 @@ def score(text: Column, index: Index) -> Column:
                 [
                     pa.array(scores),
                     pa.array(evidence, kind),
-                    pa.array([[names[t] for t in at[:-1].tolist()] for at, _ in vectors], pa.list_(pa.string())),
+                    pa.array(
+                        [[names[t] for t in at[index.telling[at]].tolist()] for at, _ in vectors],
+                        pa.list_(pa.string()),
+                    ),
                 ],
                 ["score", "neighbours", "terms"],
             )
