@@ -98,3 +98,13 @@ def test_awkward_rows(spark):
     assert {r["n_words"] for r in rows if r["doc_id"] in (2, 3, 4)} == {0}
     assert {r["n_words"] for r in rows if r["doc_id"] == 7} == {180_000}
     assert licenses.scanned(docs.limit(0)).count() == 0
+
+
+def test_every_notice_of_a_run_is_found():
+    exact, wrong = "released under the mit license", "releasd under teh mit license"
+    scanner = licenses.Scanner({}, {exact: "mit"}, licenses.CHARACTERS_PER_ERROR)
+    for lines in ([wrong, exact], [wrong] * 3 + [exact] + [wrong] * 2, [exact] * 4, [wrong] * 200):
+        line = licenses.normalised(" ".join(lines).encode())[0]
+        found = scanner.fuzzy(line)
+        assert [m.first_word for m in found] == [5 * i for i in range(len(lines))]
+        assert [m.errors == 0 for m in found] == [x == exact for x in lines]

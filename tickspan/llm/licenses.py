@@ -8,6 +8,7 @@ span. So the costly matching sees a few places only, and misses nothing that it
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -108,38 +109,70 @@ class Scanner:
         if not self.any:
             return []
         line = text.decode("latin-1")  # one character per byte
-        windows: dict[int, list[tuple[int, int]]] = {}
+        begins: dict[int, set[int]] = {}
         for end, (size, uses) in self.pieces.iter(line):
             for n, offset in uses:
-                notice, _, errors, _ = self.notices[n]
-                begin = end + 1 - size - offset
-                windows.setdefault(n, []).append((begin - errors, begin + len(notice) + errors))
+                begins.setdefault(n, set()).add(end + 1 - size - offset)
         out = []
-        for n, places in windows.items():
-            notice, label, _, pattern = self.notices[n]
-            for a, b in _joined(places):
-                at, stop = max(0, a), min(len(line), b)
-                while (m := pattern.search(line, at, stop)) is not None and m.end() > at:
-                    errors = sum(m.fuzzy_counts)
-                    first = line.count(" ", 0, m.start() + 1) - 1
-                    if line[m.start()] == " ":
-                        first = line.count(" ", 0, m.start())
-                    words = len(m.group().split())
-                    out.append(Match(label, max(0, first), words, errors, 1 - errors / len(notice)))
-                    at = m.end()
+        for n, places in begins.items():
+            notice, label, most, pattern = self.notices[n]
+            for start, end, errors in _spans(line, len(notice), most, pattern, sorted(places)):
+                first = line.count(" ", 0, start + 1) - 1
+                if line[start] == " ":
+                    first = line.count(" ", 0, start)
+                words = len(line[start:end].split())
+                similarity = 1 - errors / len(notice)
+                out.append(Match(label, max(0, first), words, errors, similarity))
         return sorted(out, key=lambda x: (x.first_word, x.label, x.errors))
 
 
-def _joined(places: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Overlapping windows as one."""
-    places.sort()
-    a, b = places[0]
-    for x, y in places[1:]:
-        if x > b:
-            yield a, b
-            a, b = x, y
-        b = max(b, y)
-    yield a, b
+def _spans(
+    line: str, length: int, most: int, pattern: regex.Pattern, begins: list[int]
+) -> list[tuple[int, int, int]]:
+    """(start, end, errors) of one notice's matches: fewest errors first, none that overlap.
+
+    Begins that lie close share a window, which is hardly longer than the notice. What the spans
+    leave free of the windows is searched again until it has no match.
+    """
+    windows: list[tuple[int, int]] = []
+    first = None
+    for begin in begins:
+        stop = min(len(line), begin + length + most + 1)
+        if first is not None and begin - first <= 2 * most:
+            windows[-1] = (windows[-1][0], stop)
+        else:
+            first = begin
+            windows.append((max(0, begin - most), stop))
+    spans: list[tuple[int, int, int]] = []  # by start
+    while windows:
+        found, left = [], []
+        for window in windows:
+            (a, b), hit = window, False
+            i = max(0, bisect_right(spans, (a, len(line), 0)) - 1)
+            for start, end, _ in [*_until(spans, i, b), (b, b, 0)]:
+                if start - a >= length - most:
+                    m = pattern.search(line, a, min(start, b))
+                    if m is not None and sum(m.fuzzy_counts) <= most and m.end() > m.start():
+                        found.append((sum(m.fuzzy_counts), m.start(), m.end()))
+                        hit = True
+                a = max(a, end)
+            if hit:
+                left.append(window)
+        new: list[tuple[int, int, int]] = []
+        for errors, start, end in sorted(set(found)):
+            i = bisect_right(new, (start, len(line), 0))
+            if (i == 0 or new[i - 1][1] <= start) and (i == len(new) or new[i][0] >= end):
+                new.insert(i, (start, end, errors))
+        spans = sorted(spans + new)
+        windows = left
+    return spans
+
+
+def _until(spans: list[tuple[int, int, int]], i: int, stop: int) -> Iterator[tuple[int, int, int]]:
+    """The spans from number i on that begin before `stop`."""
+    while i < len(spans) and spans[i][0] < stop:
+        yield spans[i]
+        i += 1
 
 
 @lru_cache(maxsize=4)
