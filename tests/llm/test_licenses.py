@@ -100,11 +100,30 @@ def test_awkward_rows(spark):
     assert licenses.scanned(docs.limit(0)).count() == 0
 
 
+def labels_of(text):
+    scanner = licenses.Scanner({}, licenses.NOTICES, licenses.CHARACTERS_PER_ERROR)
+    return [m.label for m in scanner.best(licenses.normalised(f"so {text} it is".encode())[0])]
+
+
+def test_fewest_errors_win_where_notices_overlap():
+    for notice, label in licenses.NOTICES.items():
+        assert labels_of(notice) == [label], notice
+    assert labels_of("licenced under the gnu general public license version 3") == ["gpl-3"]
+    assert labels_of("licenced under the gnu general public license version 2") == ["gpl-2"]
+    for version in ("4", "23", "33"):
+        assert labels_of(f"licensed under the gnu general public license version {version}") == []
+    assert labels_of("Licensed undr CC BY-NC 4.0") == ["cc-by-nc-4.0"]
+    assert labels_of("Licensed under CC BY-NC-SA 4.0") == []
+    assert labels_of("licensed under cc by 4.0, licensed under cc by sa 4.0") == [
+        "cc-by-4.0", "cc-by-sa-4.0"
+    ]
+
+
 def test_every_notice_of_a_run_is_found():
     exact, wrong = "released under the mit license", "releasd under teh mit license"
     scanner = licenses.Scanner({}, {exact: "mit"}, licenses.CHARACTERS_PER_ERROR)
     for lines in ([wrong, exact], [wrong] * 3 + [exact] + [wrong] * 2, [exact] * 4, [wrong] * 200):
         line = licenses.normalised(" ".join(lines).encode())[0]
-        found = scanner.fuzzy(line)
-        assert [m.first_word for m in found] == [5 * i for i in range(len(lines))]
-        assert [m.errors == 0 for m in found] == [x == exact for x in lines]
+        for found in (scanner.best(line), scanner.fuzzy(line)):
+            assert [m.first_word for m in found] == [5 * i for i in range(len(lines))]
+            assert [m.errors == 0 for m in found] == [x == exact for x in lines]

@@ -4,6 +4,8 @@ A notice that may have k errors is cut into k + 1 pieces: k errors leave one pie
 (pigeonhole). One automaton of all notices' pieces runs over the normalised text; around each hit
 the regex library's bounded-error matching verifies the notice, counts its errors and gives the
 span. So the costly matching sees a few places only, and misses nothing that it would find.
+Where notices overlap, those with the fewest errors count; numbers and the words that tell
+variants of a license apart match without error.
 """
 
 from __future__ import annotations
@@ -50,6 +52,9 @@ NOTICES = {
 #: One error for so many characters of a notice.
 CHARACTERS_PER_ERROR = 10
 
+#: Words of notices, besides numbers, that match without error.
+STRICT = {"nc", "sa", "nd"}
+
 # ASCII other than letters and digits cuts words; A-Z become a-z; all else stands in words.
 NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32
@@ -70,6 +75,8 @@ class Match:
     words: int
     errors: int
     similarity: float
+    start: int = 0  # in characters of the normalised text
+    end: int = 0
 
 
 class Scanner:
@@ -83,7 +90,7 @@ class Scanner:
             errors = len(notice) // per_error
             # The best match with the fewest errors; each error is one character.
             pattern = regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={errors}}}")
-            self.notices.append((notice, label, errors, pattern))
+            self.notices.append((notice, label, errors, pattern, _strict(notice, errors)))
             cuts = [len(notice) * i // (errors + 1) for i in range(errors + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 pieces.setdefault(notice[a:b], []).append((n, a))
@@ -105,7 +112,31 @@ class Scanner:
         return sorted(out)
 
     def fuzzy(self, text: bytes) -> list[Match]:
-        """The notices in normalised text, by their places; one match for each place."""
+        """Each notice by itself in normalised text, by their places; one match for each place."""
+        return self._found(text, 3)
+
+    def best(self, text: bytes) -> list[Match]:
+        """The notices with their strict words; of those that overlap, the ones of fewest errors."""
+        out: list[Match] = []
+        found = self._found(text, 4)
+        at = 0
+        while at < len(found):
+            # A run of matches that overlap, one with the next.
+            run, end = [], found[at].end
+            while at < len(found) and (not run or found[at].start < end):
+                run.append(found[at])
+                end = max(end, found[at].end)
+                at += 1
+            kept: list[Match] = []
+            for m in sorted(run, key=lambda x: (x.errors, x.start - x.end, x.start)):
+                same = [k for k in kept if _shared(k, m)]
+                if not any(k.errors < m.errors or k.label == m.label for k in same):
+                    kept.append(m)
+            out += kept
+        return sorted(out, key=lambda x: (x.first_word, x.label, x.errors))
+
+    def _found(self, text: bytes, kind: int) -> list[Match]:
+        """The matches of all notices by their start; kind: which pattern of a notice."""
         if not self.any:
             return []
         line = text.decode("latin-1")  # one character per byte
@@ -115,15 +146,37 @@ class Scanner:
                 begins.setdefault(n, set()).add(end + 1 - size - offset)
         out = []
         for n, places in begins.items():
-            notice, label, most, pattern = self.notices[n]
-            for start, end, errors in _spans(line, len(notice), most, pattern, sorted(places)):
+            notice, label, most, *_ = self.notices[n]
+            for start, end, errors in _spans(
+                line, len(notice), most, self.notices[n][kind], sorted(places)
+            ):
                 first = line.count(" ", 0, start + 1) - 1
                 if line[start] == " ":
                     first = line.count(" ", 0, start)
                 words = len(line[start:end].split())
                 similarity = 1 - errors / len(notice)
-                out.append(Match(label, max(0, first), words, errors, similarity))
-        return sorted(out, key=lambda x: (x.first_word, x.label, x.errors))
+                out.append(Match(label, max(0, first), words, errors, similarity, start, end))
+        return sorted(out, key=lambda x: (x.start, x.label, x.errors))
+
+
+def _strict(notice: str, errors: int) -> regex.Pattern:
+    """The notice with errors in all words but numbers and STRICT ones.
+
+    Every run of other words may have all errors; who searches checks their sum.
+    """
+    runs: list[tuple[bool, list[str]]] = []
+    for word in notice.split():
+        strict = word.isdigit() or word in STRICT
+        if not runs or runs[-1][0] != strict:
+            runs.append((strict, []))
+        runs[-1][1].append(word)
+    parts = [
+        f"(?<= ){regex.escape(' '.join(words))}(?= )"
+        if strict
+        else f"(?:{regex.escape(' '.join(words))}){{e<={errors}}}"
+        for strict, words in runs
+    ]
+    return regex.compile(f"(?b){regex.escape(' ').join(parts)}")
 
 
 def _spans(
@@ -175,6 +228,12 @@ def _until(spans: list[tuple[int, int, int]], i: int, stop: int) -> Iterator[tup
         i += 1
 
 
+def _shared(a: Match, b: Match) -> bool:
+    """Whether two matches are at one place: they share more than half of the shorter one."""
+    shared = min(a.end, b.end) - max(a.start, b.start)
+    return 2 * shared > min(a.end - a.start, b.end - b.start)
+
+
 @lru_cache(maxsize=4)
 def _scanner(phrases: tuple, notices: tuple, per_error: int) -> Scanner:
     return Scanner(dict(phrases), dict(notices), per_error)
@@ -226,7 +285,7 @@ def scan(
             columns: list[list] = [[] for _ in names]
             for text in texts_of(batch):
                 line, n = normalised(text)
-                base, found = scanner.exact(line), scanner.fuzzy(line)
+                base, found = scanner.exact(line), scanner.best(line)
                 own = {label for _, label in base}
                 best = max([0.0, *(m.similarity for m in found)])
                 row = (
