@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickspan.llm import bpe, bytecnn, minmax, tiling, toxicity
 from tickspan.llm.frames import fold, parquet, prepare
-from tickspan.llm.queries import FOLDS, HELD_OUT, VOCABULARY
+from tickspan.llm.queries import FOLDS, HELD_OUT, PREDICTED_FROM, VOCABULARY
 from tickspan.session import as_table
 
 
@@ -24,10 +24,10 @@ def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that are more likely not toxic."""
+    """Documents that op4_toxicity doesn't predict toxic."""
     labels = parquet(prepare(spark), folder, "labels")
     index = toxicity.train(docs, labels.filter(fold("doc_id", FOLDS) != HELD_OUT))
-    return toxicity.tolerable(docs, index)
+    return toxicity.tolerable(docs, index, most=PREDICTED_FROM)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import awkward
+import numpy as np
 import public_tokenizers
 import pytest
 from test_minmax import brute
@@ -89,3 +90,12 @@ def test_labels_of_the_held_out_are_not_learned(spark, data):
     index = toxicity.train(awkward.table(spark, data), labels)
     kept = {r["doc_id"] for r in labels.collect()}
     assert set(index.ids.tolist()) <= kept
+
+
+def test_toxicity_stage_drops_what_the_operator_predicts(spark, data, monkeypatch):
+    docs = awkward.table(spark, data).limit(20)
+    for score, kept in ((0.29, 20), (0.3, 0), (0.4, 0)):
+        index = toxicity.build(np.arange(0), [], np.arange(0), np.zeros(0))
+        index.without = score
+        monkeypatch.setattr(toxicity, "train", lambda *_, index=index: index)
+        assert corpus_pipeline.toxic(spark, docs, data).count() == kept
