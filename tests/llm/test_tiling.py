@@ -97,3 +97,38 @@ def test_awkward_rows(spark):
     assert set(rows(tiling.contamination(docs, items))) == {(7, 1)}
     assert tiling.contamination(docs.limit(0), items).count() == 0
     assert tiling.contamination(docs, items.limit(0)).count() == 0
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    chinese, japanese = "太阳系中体积最大的行星是哪一颗？", "富士山の高さはどれくらいですか。日本で一番高い山です。"
+    docs = awkward.documents(
+        spark,
+        [
+            (1, "asked: who Wrote Hamlet? nobody", "en"),
+            (2, "who has wrote of Hamlet", "en"),
+            (3, "Photosynthesis", "en"),
+            (4, f"前言{chinese}后记", "zh"),
+            (5, f"say {japanese}と言う", "ja"),
+            (6, "太阳能是一种清洁的能源", "zh"),
+            (7, ITEM, "en"),
+        ],
+    )
+    items = spark.createDataFrame(
+        [(1, "Who wrote Hamlet"), (2, "photosynthesis?"), (3, chinese), (4, japanese), (5, "東京"), (6, "!?")],
+        "item_id long, text string",
+    )
+    got = rows(tiling.contamination(docs, items))
+    assert set(got) == {(1, 1), (3, 2), (4, 3), (5, 4)}
+    assert all(r["coverage"] == 1.0 for r in got.values())
+    assert (got[1, 1]["item_words"], got[3, 2]["item_words"]) == (3, 1)
+    assert set(rows(tiling.contamination(docs, items.filter("item_id = 2")))) == {(3, 2)}
+
+
+def test_words_of_mixed_scripts():
+    texts = ["ab漢字cd", "é漢", "漢é", "𠀋x", "", "한국어 말", "ก"]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    starts, ends, first = tiling.word_spans(data, np.cumsum([0, *map(len, raw)]))
+    words = [data[a:b].tobytes().decode() for a, b in zip(starts, ends)]
+    assert words == ["ab", "漢", "字", "cd", "é", "漢", "漢", "é", "𠀋", "x", "한국어", "말", "ก"]
+    assert first.tolist() == [0, 4, 6, 8, 10, 10, 12, 13]

@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-1. Every run of `min_tile` words of a benchmark item is a seed. A Bloom filter of all seeds, of
+1. Every run of `min_tile` words of a benchmark item is a seed; a shorter item is one seed as a
+   whole. A Bloom filter of all seeds, of
    one fixed size whatever the benchmark's, goes to every task.
 2. One pass over the documents hashes their words (Karp-Rabin) and keeps the seeds that may be in
    the benchmark. Documents without one end here; of the others the word hashes are written.
@@ -32,13 +33,56 @@ MIN_TILE = 4
 COVERAGE = 0.6
 
 
+def _unspaced_blocks() -> np.ndarray:
+    """Whether the 64 characters from 64 * i on are of a script that sets no blanks."""
+    blocks = np.zeros(1024, bool)
+    for first, last in (
+        (0x0E00, 0x0FFF),  # Thai, Lao, Tibetan
+        (0x1000, 0x107F),  # Myanmar
+        (0x1780, 0x17FF),  # Khmer
+        (0x2E80, 0xA4CF),  # Han, Kana, Bopomofo, Yi and their punctuation
+        (0xF900, 0xFAFF),
+        (0xFF00, 0xFFEF),
+    ):
+        blocks[first >> 6 : (last >> 6) + 1] = True
+    return blocks
+
+
+UNSPACED = _unspaced_blocks()
+
+
+def word_spans(data, bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `spans` of ALNUM, but every character of an unspaced script is a word of its own."""
+    starts, ends, first = spans(data, bounds, ALNUM)
+    n = len(data)
+    lead = np.flatnonzero(data >= 0xE0)
+    lead = lead[lead < n - 2]
+    if not len(lead):
+        return starts, ends, first
+    a, b = data[lead].astype(np.int64), data[lead + 1].astype(np.int64)
+    three = (a < 0xF0) & UNSPACED[(a & 15) << 6 | b & 63]
+    four = (a == 0xF0) & (b >= 0xA0) & (lead < n - 3)  # the supplementary Han planes
+    own = lead[three | four]
+    if not len(own):
+        return starts, ends, first
+    after = own + np.where(data[own] >= 0xF0, 4, 3)
+    start, end = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    start[starts], end[ends] = True, True
+    # Where a word goes on after such a character another begins, and one ends before it.
+    new, last = after[~end[after]], own[~start[own]]
+    start[own], start[new], end[after], end[last] = True, True, True, True
+    starts = np.flatnonzero(start)
+    return starts, np.flatnonzero(end), np.searchsorted(starts, bounds)
+
+
 def hashed_words(data, bounds) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in lower case, and the n + 1 word numbers between the texts.
 
-    Words are runs of ASCII letters and digits and of all characters beyond ASCII.
+    Words are runs of ASCII letters and digits and of all characters beyond ASCII; in scripts that
+    set no blanks (Han, Kana, Thai and others) each character is one.
     """
     data = lower_latin(data)
-    starts, ends, first = spans(data, bounds, ALNUM)
+    starts, ends, first = word_spans(data, bounds)
     return word_hashes(data, starts, ends), first
 
 
@@ -55,13 +99,13 @@ def item_words():
 
 
 def item_seeds(min_tile: int):
-    """Column function: word hashes to the seeds at each word."""
+    """Column function: word hashes to the seeds at each word, or one of all words if few."""
 
     @F.arrow_udf("array<long>")
     def seeds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = [
-                shingle_hashes(np.array(w, np.int64).view(np.uint64), min_tile)
+                shingle_hashes(np.array(w, np.int64).view(np.uint64), min(min_tile, len(w)))
                 for w in batch.to_pylist()
             ]
             values = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
@@ -70,10 +114,11 @@ def item_seeds(min_tile: int):
     return seeds
 
 
-def seeds_of_documents(words: np.ndarray, min_tile: int, least: int):
+def seeds_of_documents(words: np.ndarray, sizes: dict[int, int]):
     """Column function: text to its word hashes and its distinct seeds that pass the filter.
 
-    Both are null if fewer than `least` distinct seeds pass.
+    `sizes` has the numbers of words of a seed, and how many distinct seeds of that size have to
+    pass at least. Both are null if no size has so many.
     """
 
     @F.arrow_udf("struct<words:array<long>, seeds:array<long>>")
@@ -86,16 +131,20 @@ def seeds_of_documents(words: np.ndarray, min_tile: int, least: int):
             for a, b in steps(bounds):
                 part = bounds[a : b + 1] - bounds[a]
                 hashes, first = hashed_words(data[bounds[a] : bounds[b]], part)
-                seeds = shingle_hashes(hashes, min_tile)
-                at = np.flatnonzero(known.may_hold(seeds))
-                low = np.searchsorted(at, first[:-1]).tolist()
-                high = np.searchsorted(at, first[1:] - min_tile + 1).tolist()
-                for x, y, i in zip(low, high, range(b - a)):
-                    found = np.unique(seeds[at[x:y]]) if y - x >= least else ()
-                    enough = len(found) >= least
-                    kept_seeds.append(found.view(np.int64) if enough else None)
+                passed: list[list] = [[] for _ in range(b - a)]
+                for size, least in sizes.items():
+                    seeds = shingle_hashes(hashes, size)
+                    at = np.flatnonzero(known.may_hold(seeds))
+                    low = np.searchsorted(at, first[:-1]).tolist()
+                    high = np.searchsorted(at, first[1:] - size + 1).tolist()
+                    for x, y, found in zip(low, high, passed):
+                        if y - x >= least and len(one := np.unique(seeds[at[x:y]])) >= least:
+                            found.append(one)
+                for i, found in enumerate(passed):
                     own = hashes[first[i] : first[i + 1]]
-                    kept_words.append(own.view(np.int64) if enough else None)
+                    together = np.unique(np.concatenate(found)) if found else None
+                    kept_seeds.append(None if together is None else together.view(np.int64))
+                    kept_words.append(None if together is None else own.view(np.int64))
             yield pa.StructArray.from_arrays(
                 [pa.array(kept_words, kind), pa.array(kept_seeds, kind)], ["words", "seeds"]
             )
@@ -162,7 +211,7 @@ def _tiled(min_tile: int, coverage: float):
             ):
                 words = np.asarray(words, np.int64).view(np.uint64)
                 own = np.asarray(own, np.int64).view(np.uint64)
-                found = tiles(own, words, min_tile)
+                found = tiles(own, words, min(min_tile, len(own)))
                 matched = sum(t[2] for t in found)
                 if matched >= coverage * len(own):
                     rows.append((doc, item, len(own), matched, matched / len(own), found))
@@ -186,8 +235,9 @@ def contamination(
     """One row per document and benchmark item whose tiles cover `coverage` of the item's words.
 
     Columns: id, item id (both 64 bits), item_words, matched, coverage and the tiles as an array
-    of (item_start, doc_start, words), counted in words. Null and empty texts, texts and items of
-    fewer than `min_tile` words, and rows with a null id take no part. Rows that repeat an id
+    of (item_start, doc_start, words), counted in words. An item of fewer than `min_tile` words
+    has to be in the text as a whole. Texts and items that are null or have no word, and rows with a
+    null id take no part. Rows that repeat an id
     yield one row per item, that of the best coverage. Other columns are not read; an empty table
     on either side gives no rows.
     """
@@ -195,7 +245,7 @@ def contamination(
         benchmark.select(
             F.col(item_column).cast("long").alias("item"),
             item_words()(F.col(item_text_column)).alias("item_words"),
-        ).filter(F.col("item").isNotNull() & (F.size("item_words") >= min_tile)),
+        ).filter(F.col("item").isNotNull() & (F.size("item_words") > 0)),
         "items",
     )
     seeded = items.select(
@@ -210,8 +260,12 @@ def contamination(
     # seed, so n seeds cover n * min_tile words at most; seeds that an item repeats count once.
     repeated = F.size("seeds") - F.size(F.array_distinct("seeds"))
     needed = F.ceil(coverage * F.col("length") / min_tile) - repeated
-    least = max(1, seeded.agg(F.min(needed)).first()[0] or 1)
-    find = seeds_of_documents(bloom_words(seeds, "seed"), min_tile, least)
+    size = F.least("length", F.lit(min_tile)).alias("size")
+    least = seeded.groupBy(size).agg(F.min(needed).alias("least")).collect()
+    sizes = {
+        row["size"]: max(1, row["least"]) if row["size"] == min_tile else 1 for row in least
+    }
+    find = seeds_of_documents(bloom_words(seeds, "seed"), sizes)
     hits = as_table(
         docs.filter(F.col(id_column).isNotNull())
         .select(F.col(id_column).cast("long").alias("doc"), find(F.col(text_column)).alias("h"))
@@ -224,7 +278,7 @@ def contamination(
         .join(seeds, "seed")
         .groupBy("doc", "item", "length")
         .agg(F.countDistinct("place").alias("places"))
-        .filter(F.col("places") * min_tile >= coverage * F.col("length"))
+        .filter(F.col("places") * F.least("length", F.lit(min_tile)) >= coverage * F.col("length"))
         .select("doc", "item")
     )
     schema = (
