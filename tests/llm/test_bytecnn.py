@@ -1,3 +1,5 @@
+from collections import Counter
+
 import zlib
 
 import awkward
@@ -102,3 +104,25 @@ def test_awkward_rows(spark):
     found = docs.select(bytecnn.predict(F.col("text"), none).alias("p")).select("p.*").distinct()
     assert [tuple(r) for r in found.collect()] == [("und", 0.0)]
     assert docs.limit(0).select(bytecnn.predict(F.col("text"), net)).count() == 0
+
+
+def test_all_languages_are_learned(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    # 80 languages of ten characters each, all in another part of Unicode.
+    rows = []
+    for lang in range(80):
+        letters = [chr(0x4E00 + 64 * lang + i) for i in range(10)] + [" "]
+        for k in range(8 if lang < 70 else 6):
+            rows.append((100 * lang + k, "".join(rng.choice(letters, 300)), f"l{lang:02}"))
+    docs = awkward.documents(spark, rows)
+    languages, texts, labels = bytecnn.sample(docs, "doc_id", "text", "lang")
+    assert languages == sorted({r[2] for r in rows}) == sorted(set(labels))
+    net = bytecnn.train(docs)
+    found = docs.select("lang", bytecnn.predict(F.col("text"), net)["lang_pred"].alias("p")).collect()
+    assert {r["p"] for r in found} >= {f"l{lang:02}" for lang in range(70, 80)}
+    assert sum(r["lang"] == r["p"] for r in found) > 0.9 * len(found)
+    monkeypatch.setattr(bytecnn, "TEXTS", 160)
+    monkeypatch.setattr(bytecnn, "WINDOWS_PER_TEXT", 1)
+    assert set(Counter(bytecnn.sample(docs, "doc_id", "text", "lang")[2]).values()) == {2}
+    monkeypatch.setattr(bytecnn, "TEXTS", 1)
+    assert set(Counter(bytecnn.sample(docs, "doc_id", "text", "lang")[2]).values()) == {1}

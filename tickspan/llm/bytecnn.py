@@ -28,10 +28,10 @@ STEP_WINDOWS = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 VECTOR = 8
-#: Bounds of the sample: texts and windows of a text for each language, and languages.
+#: Bounds of the sample: texts of a language and of all languages, windows of a text.
 TEXTS_PER_LANGUAGE = 1500
+TEXTS = 96_000
 WINDOWS_PER_TEXT = 3
-LANGUAGES = 64
 EPOCHS = 6
 MINI_BATCH = 64
 #: What a text gets that is null or has no letter.
@@ -263,19 +263,22 @@ def sample(
 ) -> tuple[list[str], list[bytes], list[str]]:
     """The languages, and windows with their languages, of a bounded sample of labelled texts.
 
-    The most frequent languages are learned; of each, the texts with the smallest hashes of
-    their keys, and of each text a few windows at places that its hash draws.
+    All languages are learned; of each, the texts with the smallest hashes of their keys, and of
+    each text a few windows at places that its hash draws. With many languages each has fewer
+    texts, one at least.
     """
     labelled = docs.select(
         F.col(key).alias("k"), F.col(text_column).alias("t"), F.col(label_column).alias("l")
     ).filter("l IS NOT NULL AND length(t) > 0")
-    counts = labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()
+    counts = labelled.groupBy("l").count().collect()
     total = {row["l"]: row["count"] for row in counts}
     if not total:
         return [], [], []
-    # About 1.5 times the texts wanted pass by their hash; the smallest hashes of them are taken.
+    most = max(1, min(TEXTS_PER_LANGUAGE, TEXTS // len(total)))
+    # More than 1.5 times the texts wanted pass by their hash; the smallest hashes of them are
+    # taken. A few more, so that no language is left without any.
     share = F.create_map(
-        *[F.lit(x) for lang, c in total.items() for x in (lang, 1.5 * TEXTS_PER_LANGUAGE / c)]
+        *[F.lit(x) for lang, c in total.items() for x in (lang, (1.5 * most + 30) / c)]
     )
     draw = F.pmod(F.xxhash64("k", "t"), F.lit(1 << 40)) / float(1 << 40)
     drawn = labelled.withColumn("draw", draw).filter(F.col("draw") < F.element_at(share, F.col("l")))
@@ -287,7 +290,7 @@ def sample(
     rows = (
         drawn.select("l", "draw", "k", cuts.alias("windows"))
         .groupBy("l")
-        .agg(F.slice(F.sort_array(F.collect_list(F.struct("draw", "k", "windows"))), 1, TEXTS_PER_LANGUAGE).alias("r"))
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("draw", "k", "windows"))), 1, most).alias("r"))
         .collect()
     )
     found = [(row["l"], w) for row in rows for text in row["r"] for w in dict.fromkeys(text["windows"])]
