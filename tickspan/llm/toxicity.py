@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import texts_of
+from .words import word_hashes
 
 EXAMPLES_PER_LABEL = 2000
 #: Bytes of the beginnings of words that are terms as well; names of such terms end in a star.
@@ -68,17 +69,19 @@ def term_counts(words: list[bytes]) -> Counter:
 class Index:
     """Inverted index of the examples.
 
-    terms: places of the terms; idf: their weights, the emphasis included; unseen: the weight of
-    words that no example holds; telling: the terms that tell the labels apart. start, doc,
+    lookups: by 0 for whole words and by sizes of beginnings, sorted 64-bit hashes and the places
+    of the terms, as a dict of all words would weigh on every task; terms: the names, by place, of
+    those that tell the labels apart. idf: the weights of the terms, the emphasis included; unseen:
+    the weight of words that no example holds. start, doc,
     weight: where each term's postings begin, and the postings of all terms in a row; row, dense:
     common terms' rows (-1: postings only) and weights by example. ids and toxic describe the
     examples.
     """
 
-    terms: dict[bytes, int]
+    lookups: dict[int, tuple[np.ndarray, np.ndarray]]
+    terms: dict[int, bytes]
     idf: np.ndarray
     unseen: float
-    telling: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
     share: np.ndarray  # how many labelled rows each example stands for
@@ -91,35 +94,32 @@ class Index:
     without: float = 0.0  # probability for texts without any term
     overall: float = 0.0
 
-    def __post_init__(self) -> None:
-        own = [t for t in self.terms if t.endswith(b"*")]
-        self.beginnings = [
-            (size, {t[:-1]: self.terms[t] for t in own if len(t) == size + 1})
-            for size in BEGINNINGS
-        ]
-
     def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Places and weights of the terms in a text; empty without any.
 
         The weights are those of a unit vector that has the words no example holds as well.
         """
-        own = Counter(words)
-        found, unseen = {}, []
-        for word, n in own.items():
-            if (t := self.terms.get(word)) is None:
-                unseen.append(n)
-            else:
-                found[t] = n
-        for size, terms in self.beginnings:
-            if terms:
-                for word, n in own.items():
-                    if len(word) > size and (t := terms.get(word[:size])) is not None:
-                        found[t] = found.get(t, 0) + n
-        if not found:
+        data = np.frombuffer(b"".join(words), np.uint8)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(lengths) - lengths
+        at, times, unseen = [], [], np.zeros(0)
+        for size, (keys, places) in self.lookups.items():
+            from_, to = starts, starts + lengths
+            if size:
+                from_ = starts[lengths > size]
+                to = from_ + size
+            own, n = np.unique(word_hashes(data, from_, to), return_counts=True)
+            place = np.searchsorted(keys, own)
+            known = np.append(keys, np.uint64(0))[place] == own  # no hash is 0
+            at.append(places[place[known]])
+            times.append(n[known])
+            if not size:
+                unseen = n[~known]
+        at, times = np.concatenate(at), np.concatenate(times)
+        if not len(at):
             return np.zeros(0, np.int64), np.zeros(0)
-        at = np.fromiter(found, np.int64, len(found))
-        weight = (1 + np.log(np.fromiter(found.values(), float, len(found)))) * self.idf[at]
-        other = (1 + np.log(np.array(unseen, float))) * self.unseen
+        weight = (1 + np.log(times)) * self.idf[at]
+        other = (1 + np.log(unseen)) * self.unseen
         order = np.argsort(at)
         return at[order], weight[order] / np.sqrt((weight * weight).sum() + (other * other).sum())
 
@@ -209,6 +209,21 @@ def terms_of(
     return found
 
 
+def lookups_of(terms: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By 0 for words and by sizes of beginnings: sorted hashes of the terms, and their places."""
+    out = {}
+    for size in (0, *BEGINNINGS):
+        own = [
+            i for i, t in enumerate(terms) if (len(t) - 1 if t.endswith(b"*") else 0) == size
+        ]
+        names = [terms[i].rstrip(b"*") for i in own]
+        ends = np.cumsum([0, *map(len, names)])
+        keys = word_hashes(np.frombuffer(b"".join(names), np.uint8), ends[:-1], ends[1:])
+        order = np.argsort(keys)
+        out[size] = keys[order], np.array(own, np.int64)[order]
+    return out
+
+
 def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndarray) -> Index:
     """The index of examples, calibrated; `share` says how many labelled rows each stands for."""
     order = np.argsort(ids, kind="stable")
@@ -219,8 +234,9 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
     idf = np.log(1 + 1 / np.maximum(np.array([rate for _, rate, _ in terms]), 1e-9))
     idf *= np.maximum(1, chi / TELLING) ** EMPHASIS
     index = Index(
-        {term: i for i, (term, _, _) in enumerate(terms)}, idf, float(np.log(1 + len(ids))),
-        chi >= TELLING, ids, toxic, share, np.zeros(len(terms) + 1, np.int64),
+        lookups_of([term for term, _, _ in terms]),
+        {i: term for i, (term, _, c) in enumerate(terms) if c >= TELLING},
+        idf, float(np.log(1 + len(ids))), ids, toxic, share, np.zeros(len(terms) + 1, np.int64),
         np.zeros(0, np.int32), np.zeros(0), np.full(len(terms), -1), np.zeros((0, len(ids))),
     )
     vectors = [index.vector(words_of(t)) for t in texts]
@@ -330,9 +346,7 @@ def score(text: Column, index: Index) -> Column:
         "terms:array<string>>"
     )
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = {
-            i: t.decode(errors="replace") for t, i in index.terms.items() if index.telling[i]
-        }
+        names = {i: t.decode(errors="replace") for i, t in index.terms.items()}
         kind = pa.list_(
             pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])
         )
@@ -355,7 +369,7 @@ def score(text: Column, index: Index) -> Column:
                     pa.array(scores),
                     pa.array(evidence, kind),
                     pa.array(
-                        [[names[t] for t in at[index.telling[at]].tolist()] for at, _ in vectors],
+                        [[names[t] for t in at.tolist() if t in names] for at, _ in vectors],
                         pa.list_(pa.string()),
                     ),
                 ],
