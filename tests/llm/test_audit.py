@@ -1,0 +1,133 @@
+import itertools
+import random
+import re
+
+import awkward
+import numpy as np
+import pytest
+from compare import connect, spark_rows, sql_rows
+from pyspark.sql import functions as F
+
+from tickspan.llm import audit
+from tickspan.llm.queries import SQL, op11_filter_audit
+
+def flags():
+    return {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+
+
+LABELS = "doc_id long, quality int, toxic int, mask string, spread string, key string"
+
+
+def fails(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    found = "A" if len(words) < 100 else ""
+    found += "B" if 100 * len(set(words)) < 80 * len(words) else ""
+    found += "C" if 100 * len(re.findall("[A-Z]", text)) > 10 * len(text) else ""
+    return found + ("D" if re.search(r"[#$%&*|]", text) else "")
+
+
+def brute(rows, labels):
+    """Apply the filters one after the other, in every order: {(part, order, step): counts}."""
+    flags = {}
+    for key, quality, toxic in labels:
+        if key is not None:
+            good, bad = flags.get(key, (False, False))
+            flags[key] = (good or quality == 1, bad or toxic == 1)
+    marks = []
+    for key, text, part in rows:
+        text = text or ""
+        failed = fails(text)
+        if any((t or "") == text and None not in (k, key) and k < key for k, t, _ in rows):
+            failed += "E"
+        marks.append((part or "", failed, *flags.get(key, (False, False))))
+    out = {}
+    for part in {m[0] for m in marks}:
+        own = [m for m in marks if m[0] == part]
+        total = dict.fromkeys("ABCDE", 0)
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [m for m in left if f in m[1]]
+                left = [m for m in left if f not in m[1]]
+                total[f] += len(gone)
+                failing = sum(f in m[1] for m in own)
+                alone = sum(m[1] == f for m in own)
+                lost = sum(m[2] for m in gone), sum(m[3] for m in gone)
+                out[part, order, step] = [len(left), len(gone), failing - len(gone), alone, *lost]
+        for key, counts in out.items():
+            if key[0] == part:
+                counts.append(total[key[1][key[2] - 1]])
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def as_dict(found):
+    rows = found.collect()
+    out = {(r["part"], r["filter_order"], r["step"]): tuple(r)[3:] for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def test_query_equals_sql(spark, data):
+    found = spark_rows(op11_filter_audit(spark, data))
+    assert found == sql_rows(connect(data), SQL["op11_filter_audit"])
+    assert len(found[1]) == 600 * awkward.table(spark, data).select("lang").distinct().count()
+
+
+def test_against_filters_in_turn(spark):
+    rng = random.Random(5)
+    texts = [
+        *(" ".join(f"w{rng.randrange(40 + 400 * (i % 2))}" for _ in range(120)) for i in range(6)),
+        "SHORT", "short", "short #", "", None, "ABC " * 130, "abc$ " * 130, " \t\x0b ", "é😀 " * 30,
+    ]
+    rows = [(rng.choice([*range(60), None]), rng.choice(texts), rng.choice(["a", "b", None, ""])) for _ in range(150)]
+    labels = [(rng.choice([*range(80), None]), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    marks = spark.createDataFrame([(*r, "x", "y", "z") for r in labels], LABELS)
+    assert as_dict(audit.audit(docs, marks, flags())) == brute(rows, labels)
+
+
+def test_awkward_rows(spark):
+    docs = awkward.documents(spark)
+    labels = [(6, 1, 0), (6, 0, 1), (None, 1, 1), (99, 1, 1)]
+    marks = spark.createDataFrame([(*r, "x", "y", "z") for r in labels], LABELS)
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
+    assert as_dict(audit.audit(docs, marks, flags())) == brute(rows, labels)
+    assert as_dict(audit.audit(docs, marks.limit(0), flags())) == brute(rows, [])
+    assert audit.audit(docs.limit(0), marks, flags()).count() == 0
+
+
+def test_intervals_cover_every_order_once():
+    for k in (1, 2, 3, 5):
+        orders = list(itertools.permutations(range(k)))
+        assert [audit.rank(o) for o in orders] == list(range(len(orders)))
+        for mask in range(1 << k):
+            removed_at = np.full(len(orders), -1)
+            for step, start, end in audit.intervals(mask, k):
+                assert (removed_at[start:end] == -1).all()
+                removed_at[start:end] = step
+            for order, step in zip(orders, removed_at):
+                inside = [i for i, f in enumerate(order) if mask >> f & 1]
+                assert step == (inside[0] if inside else -1)
+
+
+def test_other_filters(spark):
+    counts = spark.createDataFrame([("p", 1, 10), ("p", 3, 5), ("p", 0, 2)], "part string, mask int, rows long")
+    found = {(r["filter_order"], r["step"]): r for r in audit.interactions(counts, ["x", "y"], []).collect()}
+    assert found["xy", 1]["removed"] == 15 and found["xy", 2]["removed"] == 0
+    assert found["yx", 1]["removed"] == 5 and found["yx", 2]["removed"] == 10
+    assert found["yx", 2]["redundant"] == 5 and found["yx", 2]["kept"] == 2
+    assert found["xy", 1]["shapley"] == 25 and found["xy", 2]["shapley"] == 5
+    with pytest.raises(ValueError):
+        audit.interactions(counts, list("abcdefgh"), [])
+    with pytest.raises(ValueError):
+        audit.interactions(counts, ["x", "x"], [])
+
+
+def test_hot_text_and_hot_key_are_counted_before_the_shuffle(spark):
+    rows = [(i % 3, "same text", "en") for i in range(3000)] + [(None, f"t{i}", "en") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(0, 1, 1, "", "", "")], LABELS)
+    found = as_dict(audit.audit(docs, labels, flags()))
+    # 1,000 rows of the smallest id are no copies; all are short
+    assert found["en", "EABCD", 1][:6] == (1900, 2000, 0, 0, 0, 0)
+    assert found["en", "AEBCD", 1][:6] == (0, 3900, 0, 1900, 1000, 1000)

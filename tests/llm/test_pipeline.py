@@ -17,7 +17,7 @@ def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
     assert set(SQL) <= set(entry_points.oracle_sql())
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")

@@ -1,0 +1,177 @@
+import random
+import unicodedata
+import zlib
+
+import awkward
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tickspan.llm import ans, tokenfiles
+from tickspan.llm.queries import TOKENIZER, op12_token_files
+from tickspan.session import new_folder
+
+PATH = public_tokenizers.path(TOKENIZER)
+
+
+@pytest.fixture(scope="module")
+def library():
+    found = Tokenizer.from_file(PATH)
+    found.encode_special_tokens = True
+    return lambda text: found.encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def wanted(rows, library, end=0):
+    """(key, start, n, crc32) of rows in order."""
+    out, start = [], 0
+    for key, ids in sorted(
+        ((k, [*library(t), end]) for k, t in rows),
+        key=lambda r: (r[0] is not None, r[0] or 0, crc(r[1])),
+    ):
+        out.append((key, start, len(ids), crc(ids)))
+        start += len(ids)
+    return out
+
+
+def in_order(found):
+    return sorted((tuple(r) for r in found.collect()), key=lambda r: r[1])
+
+
+def test_query_against_the_library(spark, data, library):
+    rows = [tuple(r) for r in awkward.table(spark, data).select("doc_id", "text").collect()]
+    assert in_order(op12_token_files(spark, data)) == wanted(rows, library)
+
+
+def test_pieces_against_whole_texts(library):
+    rng = random.Random(1)
+    white = [chr(c) for c in range(0x3100) if unicodedata.category(chr(c)) in ("Zs", "Zl", "Zp", "Cc")]
+    parts = [*white, " ", " ", "\n", "  ", "a", "word", "'s", "don't", "42", "é", "漢字", "😀", "<|endoftext|>",
+             "...", "​", "᠎", "﻿", "́", "x" * 100]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 25))) for _ in range(4000)]
+    texts += [c1 + c2 + "a" + c1 + " b" + c2 for c1 in white for c2 in ("", " ", "\n")]
+    pieces = tokenfiles.Pieces(PATH, "<u2")
+    for group in tokenfiles._grouped(texts):
+        for text, ids in zip(group, pieces.of(group)):
+            assert np.frombuffer(ids, "<u2").tolist() == library(text), repr(text)
+
+
+def test_long_texts_are_cut_in_steps(library, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "CUT_CHARS", 50)
+    monkeypatch.setattr(tokenfiles, "CUT_PIECES", 3)
+    monkeypatch.setattr(tokenfiles, "PIECES", 10)
+    texts = ["one two  three\n\nfour " * 20, "", "five six", "x" * 500, "a b c " * 5]
+    pieces = tokenfiles.Pieces(PATH, "<u4")
+    found = [ids for group in tokenfiles._grouped(texts) for ids in pieces.of(group)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in found] == [library(t) for t in texts]
+
+
+def test_blocks_round_trip():
+    rng = np.random.default_rng(4)
+    p = 1 / np.arange(1, 3001) ** 1.1
+    for n in (0, 1, 63, 64, 127, 128, 129, 5000, 70_001):
+        ids = rng.choice(3000, n, p=p / p.sum())
+        table = ans.table_of(ans.scaled(np.bincount(ids, minlength=3000)))
+        for lanes, interval in ((1024, 256), (16, 5), (1, 64)):
+            if n > 5000 and lanes == 1:
+                continue
+            block = ans.packed(ids, table, lanes, interval)
+            assert ans.size_of(block) == n
+            assert (ans.unpacked(block, table) == ids).all()
+            for _ in range(8):
+                a, b = sorted(rng.integers(0, n + 1, 2).tolist())
+                assert (ans.unpacked(block, table, a, b) == ids[a:b]).all()
+
+
+def test_block_is_near_the_entropy():
+    rng = np.random.default_rng(5)
+    p = 1 / np.arange(1, 50_001) ** 1.05
+    ids = rng.choice(50_000, 300_000, p=p / p.sum())
+    counts = np.bincount(ids, minlength=50_000)
+    q = counts[counts > 0] / len(ids)
+    entropy = -(q * np.log2(q)).sum() * len(ids) / 8
+    assert len(ans.packed(ids, ans.table_of(ans.scaled(counts)))) < 1.05 * entropy
+
+
+def test_one_symbol_and_extreme_counts():
+    for counts in ([0, 7, 0], [1, 10**12, 1, 0], [1] * 4096, [0] * 5):
+        found = ans.scaled(np.array(counts))
+        assert int(found.sum()) in (0, 1 << 12, 1 << 16)
+        assert ((found > 0) == (np.array(counts) > 0)).all()
+        ids = np.flatnonzero(counts).repeat(3)
+        if len(ids):
+            table = ans.table_of(found)
+            assert (ans.unpacked(ans.packed(ids, table), table) == ids).all()
+    with pytest.raises(ValueError):
+        ans.scaled(np.ones(100), bits=5)
+    with pytest.raises(ValueError):
+        ans.packed(np.array([0]), ans.table_of(ans.scaled(np.array([0, 1]))))
+
+
+def test_damaged_blocks_are_noticed():
+    ids = np.arange(1000) % 50
+    table = ans.table_of(ans.scaled(np.bincount(ids)))
+    block = ans.packed(ids, table)
+    rng = random.Random(2)
+    for at in [0, 9, 30, 36, *(rng.randrange(ans.HEADER.size, len(block)) for _ in range(20))]:
+        broken = bytearray(block)
+        broken[at] ^= 1 << rng.randrange(8)
+        with pytest.raises(ans.Corrupt):
+            ans.unpacked(bytes(broken), table)
+    for short in (b"", block[:20], block[:-4]):
+        with pytest.raises(ans.Corrupt):
+            ans.unpacked(short, table)
+
+
+def test_ties_nulls_and_repeated_rows(spark, library):
+    docs = awkward.documents(spark)
+    path = new_folder(spark, "test-tokens")
+    tokenfiles.write(docs, path, PATH)
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    assert in_order(tokenfiles.digests(spark, path)) == wanted(rows, library)
+
+
+def test_many_blocks_shards_and_stretches(spark, data, library, monkeypatch):
+    """Small blocks, and one key that a third of the rows share."""
+    docs = awkward.table(spark, data).select(
+        F.when(F.col("doc_id") % 3 == 0, 5).otherwise(F.col("doc_id")).alias("doc_id"), "text"
+    ).filter("length(text) < 2000")
+    monkeypatch.setattr(tokenfiles, "BLOCK", 3000)
+    path = new_folder(spark, "test-tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tokenfiles.write(docs, path, PATH, end=7)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = [tuple(r) for r in docs.collect()]
+    expected = wanted(rows, library, end=7)
+    assert in_order(tokenfiles.digests(spark, path)) == expected
+    blocks = spark.read.parquet(f"{path}/blocks")
+    by_shard = [r["n"] for r in blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).collect()]
+    assert len(by_shard) == 8 and max(by_shard) < 3 * sum(by_shard) / 8
+    found = tokenfiles.read(spark, path).orderBy("start").collect()
+    whole = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in found])
+    assert crc(whole) == crc([i for k, t in _sorted(rows, library) for i in t])
+    total = len(whole)
+    for first, end in ((0, 1), (2999, 9000), (total - 5, total + 9), (0, total), (50, 50), (total, total + 1)):
+        parts = tokenfiles.stretch(spark, path, first, end).orderBy("at").collect()
+        got = np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(r["ids"], "<u4") for r in parts)])
+        assert (got == whole[first:end]).all()
+    plan = tokenfiles.stretch(spark, path, 0, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "doc_ids" not in plan
+
+
+def _sorted(rows, library, end=7):
+    found = [(k, [*library(t), end]) for k, t in rows]
+    return sorted(found, key=lambda r: (r[0] is not None, r[0] or 0, crc(r[1])))
+
+
+def test_empty_table(spark):
+    path = new_folder(spark, "test-tokens")
+    tokenfiles.write(awkward.documents(spark).limit(0), path, PATH)
+    assert tokenfiles.digests(spark, path).count() == 0
+    assert tokenfiles.stretch(spark, path, 0, 10).count() == 0
+

@@ -6,10 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, bytecnn, chat, lbl, licenses, maxscore, minmax, tiling, toxicity, urls
+from . import (
+    audit,
+    bpe,
+    bytecnn,
+    chat,
+    infill,
+    lbl,
+    licenses,
+    maxscore,
+    minmax,
+    tiling,
+    tokenfiles,
+    toxicity,
+    urls,
+)
+from ..session import new_folder
 from .frames import fold, parquet, prepare
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 #: What the language and toxicity models learn from and what is held out; likewise for the LM.
 FOLDS, HELD_OUT = 4, 2
 LM_FOLDS, LM_HELD_OUT = 5, 1
@@ -106,6 +122,21 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.examples(turns.select(extra.columns).union(extra)))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    flags = {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    return audit.audit(documents(spark, folder), parquet(spark, folder, "labels"), flags)
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    tokenfiles.write(documents(spark, folder), path, public_tokenizers.path(TOKENIZER))
+    return tokenfiles.digests(spark, path)
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(infill.transformed(documents(spark, folder)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -119,6 +150,9 @@ QUERIES = {
         op8_url_filter,
         op9_near_duplicates,
         op10_chat_format,
+        op11_filter_audit,
+        op12_token_files,
+        op13_fill_in_middle,
     )
 }
 
@@ -173,4 +207,93 @@ SQL = {
             ELSE 'allow' END AS verdict
         FROM r
     """,
+    "op11_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+        ), w AS (
+            SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+                   min(doc_id) OVER (PARTITION BY t) AS first
+            FROM d
+        ), l AS (
+            SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good,
+                   max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic
+            FROM labels GROUP BY doc_id
+        ), f AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   (CASE WHEN len(words) < 100 THEN 'A' ELSE '' END)
+                || (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END)
+                || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t)
+                    THEN 'C' ELSE '' END)
+                || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+                || (CASE WHEN w.doc_id > first THEN 'E' ELSE '' END) AS fails
+            FROM w LEFT JOIN l ON w.doc_id = l.doc_id
+        ), g AS (
+            SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+            FROM f GROUP BY part, fails
+        ), x AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+        ), orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM x a, x b, x c, x d, x e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), steps AS (
+            SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS filter,
+                   filter_order[1:step - 1] AS earlier
+            FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+        ), s AS (
+            SELECT part, filter_order, step, any_value(filter) AS filter,
+                   sum(n) AS total,
+                   coalesce(sum(n) FILTER (is_failing AND NOT is_gone), 0) AS removed,
+                   coalesce(sum(n) FILTER (is_failing AND is_gone), 0) AS redundant,
+                   coalesce(sum(n) FILTER (fails = filter), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (is_failing AND NOT is_gone), 0) AS good_lost,
+                   coalesce(sum(toxic) FILTER (is_failing AND NOT is_gone), 0) AS toxic_lost
+            FROM (
+                SELECT *, contains(fails, filter) AS is_failing,
+                       fails <> '' AND translate(earlier, fails, '') <> earlier AS is_gone
+                FROM g, steps
+            )
+            GROUP BY part, filter_order, step
+        )
+        SELECT part, filter_order, step,
+               CAST(total - sum(removed) OVER (
+                   PARTITION BY part, filter_order ORDER BY step) AS BIGINT) AS kept,
+               CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+        FROM s
+    """,
+    "op13_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+                   sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), c AS (
+            SELECT doc_id, t, lines, len(lines) AS n,
+                   CAST('0x' || h[1:8] AS UBIGINT) % (len(lines) + 1) AS x,
+                   CAST('0x' || h[9:16] AS UBIGINT) % (len(lines) + 1) AS y,
+                   CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>')
+                             OR CAST('0x' || h[17:24] AS UBIGINT) % 100 >= 100 THEN 'plain'
+                        WHEN CAST('0x' || h[25:32] AS UBIGINT) % 100 < 50 THEN 'spm'
+                        ELSE 'psm' END AS form
+            FROM d
+        ), p AS (
+            SELECT doc_id, n, form, t,
+                   array_to_string(lines[1:least(x, y)], '') AS prefix,
+                   array_to_string(lines[least(x, y) + 1:greatest(x, y)], '') AS middle,
+                   array_to_string(lines[greatest(x, y) + 1:], '') AS suffix
+            FROM c
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                   WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN t ELSE prefix || middle || suffix END)
+                   AS restored_sha256
+        FROM p
+    """,
 }
