@@ -52,13 +52,13 @@ def test_pieces_against_whole_texts(library):
     rng = random.Random(1)
     white = [chr(c) for c in range(0x3100) if unicodedata.category(chr(c)) in ("Zs", "Zl", "Zp", "Cc")]
     parts = [*white, " ", " ", "\n", "  ", "a", "word", "'s", "don't", "42", "é", "漢字", "😀", "<|endoftext|>",
-             "...", "​", "᠎", "﻿", "́", "x" * 100]
+             "...", "'", "'ll", "''s", "$'t", "“", "a7b", "À×", "ɐ", "٣", ",9", "​", "᠎", "﻿", "́", "x" * 100]
     texts = ["".join(rng.choices(parts, k=rng.randrange(1, 25))) for _ in range(4000)]
     texts += [c1 + c2 + "a" + c1 + " b" + c2 for c1 in white for c2 in ("", " ", "\n")]
     pieces = tokenfiles.Pieces(PATH, "<u2")
-    for group in tokenfiles._grouped(texts):
-        for text, ids in zip(group, pieces.of(group)):
-            assert np.frombuffer(ids, "<u2").tolist() == library(text), repr(text)
+    for text in texts:
+        assert np.frombuffer(pieces.of(text), "<u2").tolist() == library(text), repr(text)
+    assert len(pieces) > 1000
 
 
 def test_long_texts_are_cut_in_steps(library, monkeypatch):
@@ -67,10 +67,21 @@ def test_long_texts_are_cut_in_steps(library, monkeypatch):
     monkeypatch.setattr(tokenfiles, "PIECES", 10)
     texts = ["one two  three\n\nfour " * 20, "", "five six", "x" * 500, "a b c " * 5]
     pieces = tokenfiles.Pieces(PATH, "<u4")
-    found = [ids for group in tokenfiles._grouped(texts) for ids in pieces.of(group)]
+    found = [pieces.of(text) for group in tokenfiles._grouped(texts) for text in group]
     assert [np.frombuffer(b, "<u4").tolist() for b in found] == [library(t) for t in texts]
 
 
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    pieces = tokenfiles.Pieces(path, "<u2")
+    for text in ("Two  Words, don't", "", "x"):
+        found = np.frombuffer(pieces.of(text), "<u2").tolist()
+        assert found == whole.encode(text, add_special_tokens=False).ids
+    assert not pieces
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(4)
     p = 1 / np.arange(1, 3001) ** 1.1

@@ -8,41 +8,59 @@ Below a folder lie Parquet tables:
   the ids before it in its shard;
 - `shards` (shard, start): start counts the ids of all shards before.
 
-Texts are cut where a match of the tokenizer's own pattern must end (before blanks), and a task
-gives each different piece to the tokenizer once. Ids go to a scratch table where the texts are
+Texts are cut where a match of the tokenizer's own pattern must end, and a task asks the library for
+each different piece once: for a piece that is one match its model, for others the whole of it. (A
+tokenizer that isn't byte-level gets whole texts.) Ids go to a scratch table where the texts are
 read, so only ids are shuffled. Ranges of (key, checksum, row) become shards: the row splits even a
 key that many rows share. Starts are sums over shards, never over documents.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from ..session import as_table
+from ..session import new_folder
 from . import ans
 
 #: Ids at which a block is closed; a document is never split.
 BLOCK = 1 << 20
-#: Characters of texts that are cut into pieces at once, and pieces of a longer text.
+#: Characters of texts that are handed on at once, and pieces of a longer text.
 CUT_CHARS, CUT_PIECES = 1 << 19, 1 << 16
 #: Pieces whose ids a task keeps, and the characters of the longest that is kept.
-PIECES, PIECE_CHARS = 1 << 17, 64
+PIECES, PIECE_CHARS = 1 << 18, 64
 #: Bytes of a file's row group: what a reader of blocks holds at once.
 GROUP_BYTES = 1 << 25
 
-# Fixed value: the characters that the tokenizer's pattern takes for white space.
+# Fixed values of the tokenizer's byte-level pattern: what it takes for white space, and characters
+# that are surely letters, digits or marks to it.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECE = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+DIGITS = "0-9"
+MARKS = r"!-/:-@\[-`{-~"
+#: Every piece ends where a match of that pattern ends: runs of one kind, up to another kind; else
+#: all up to white space; else white space, of which a last blank goes with what follows.
+PIECE = re.compile(
+    f" ?[{LETTERS}]++(?=[{WHITE}{DIGITS}{MARKS}]|\\Z)"
+    f"| ?[{DIGITS}]++(?=[{WHITE}{LETTERS}{MARKS}]|\\Z)"
+    f"|(?!')\\x20?[{MARKS}]++(?=[{WHITE}{LETTERS}{DIGITS}]|\\Z)"
+    f"| ?[^{WHITE}]+"
+    f"|[{WHITE}]+(?![^{WHITE}])"
+    f"|[{WHITE}]"
+)
+#: Pieces that are one match.
+SINGLE = re.compile(f" ?[{LETTERS}]+| ?[{DIGITS}]+|(?!')\\x20?[{MARKS}]+|[{WHITE}]+")
 
 TOKENS = "key long, row long, crc32 long, n_tokens long, ids binary"
 BLOCKS = (
@@ -53,20 +71,40 @@ DOCUMENTS = "key long, start long, n_tokens long, ids binary"
 STRETCHES = "at long, ids binary"
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+class Library(NamedTuple):
+    tokenizer: Tokenizer
+    byte_level: bool  # whether texts may be cut into pieces
+
 
+@lru_cache(maxsize=1)
+def _library(path: str) -> Library:
     found = Tokenizer.from_file(path)
     found.encode_special_tokens = True  # their strings in a text are ordinary text
     found.no_padding()
     found.no_truncation()
-    return found
+    made_of = json.loads(found.to_str())
+    splits = made_of["pre_tokenizer"] or {}
+    byte_level = made_of["normalizer"] is None and (
+        splits.get("type") == "ByteLevel"
+        and splits.get("use_regex", True)
+        and not splits.get("add_prefix_space", True)
+    )
+    return Library(found, byte_level)
+
+
+@lru_cache(maxsize=1)
+def _alphabet() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable characters of Latin-1 stand for themselves, the other bytes are numbered from 256.
+    """
+    own = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
 def vocabulary_size(path: str) -> int:
-    return _tokenizer(path).get_vocab_size(with_added_tokens=True)
+    return _library(path).tokenizer.get_vocab_size(with_added_tokens=True)
 
 
 def width_of(vocabulary: int) -> str:
@@ -75,41 +113,39 @@ def width_of(vocabulary: int) -> str:
 
 
 class Pieces(dict):
-    """The ids of pieces as bytes, learned from the tokenizer; long pieces aren't kept."""
+    """The ids of pieces as bytes, asked of the tokenizer once; long pieces aren't kept."""
 
     def __init__(self, path: str, kind: str):
         super().__init__()
-        self.path, self.kind = path, kind
-
-    def learn(self, pieces: Iterable[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self and len(p) <= PIECE_CHARS]
-        if len(self) + len(new) > PIECES:
-            self.clear()
-            new = [p for p in dict.fromkeys(pieces) if len(p) <= PIECE_CHARS]
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            self.update(zip(some, self._encoded(some)))
-
-    def _encoded(self, pieces: list[str]) -> Iterator[bytes]:
-        for found in _tokenizer(self.path).encode_batch(pieces, add_special_tokens=False):
-            yield np.array(found.ids, self.kind).tobytes()
+        self.kind = kind
+        self.tokenizer, self.byte_level = _library(path)
+        self.model = self.tokenizer.model
+        self.alphabet = dict(enumerate(_alphabet()))
 
     def __missing__(self, piece: str) -> bytes:
-        return next(self._encoded([piece]))
-
-    def of(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, as the tokenizer gives them for the whole of it."""
-        if len(texts) == 1 and len(texts[0]) > CUT_CHARS:
-            found, cut = [], (m.group() for m in PIECE.finditer(texts[0]))
-            while pieces := list(islice(cut, CUT_PIECES)):
-                self.learn(pieces)
-                found.append(b"".join(map(self.__getitem__, pieces)))
-            yield b"".join(found)
-            return
-        cut = [PIECE.findall(t) for t in texts]
-        self.learn([p for pieces in cut for p in pieces])
-        for pieces in cut:
-            yield b"".join(map(self.__getitem__, pieces))
+        if SINGLE.fullmatch(piece):
+            spelt = piece.encode().decode("latin-1").translate(self.alphabet)
+            ids = [t.id for t in self.model.tokenize(spelt)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        found = np.array(ids, self.kind).tobytes()
+        if len(piece) <= PIECE_CHARS:
+            if len(self) >= PIECES:
+                self.clear()
+            self[piece] = found
+        return found
+
+    def of(self, text: str) -> bytes:
+        """The ids of a text, as the tokenizer gives them for the whole of it."""
+        if not self.byte_level:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, self.kind).tobytes()
+        if len(text) <= CUT_CHARS:
+            return b"".join(map(self.__getitem__, PIECE.findall(text)))
+        found, cut = [], (m.group() for m in PIECE.finditer(text))
+        while some := b"".join(map(self.__getitem__, islice(cut, CUT_PIECES))):
+            found.append(some)
+        return b"".join(found)
 
 
 def _grouped(texts: list[str | None]) -> Iterator[list[str]]:
@@ -152,7 +188,7 @@ def tokens(
         for batch in batches:
             at = 0
             for group in _grouped(batch.column(2).to_pylist()):
-                blobs = [ids + last for ids in pieces.of(group)]
+                blobs = [pieces.of(text) + last for text in group]
                 arrays = [np.frombuffer(b, kind) for b in blobs]
                 part = batch.slice(at, len(group))
                 at += len(group)
@@ -251,14 +287,16 @@ def write(
     not read. An empty table gives empty files.
     """
     spark = docs.sparkSession
-    found = as_table(tokens(docs, tokenizer, key, text, end), "tokens")
+    scratch = new_folder(spark, "tokens")
+    tokens(docs, tokenizer, key, text, end).write.option("compression", "zstd").parquet(scratch)
+    found = spark.read.schema(TOKENS).parquet(scratch)
     frequency = frequencies(found, vocabulary_size(tokenizer))
     table = pa.table({"id": np.arange(len(frequency), dtype=np.int32), "frequency": frequency})
     spark.createDataFrame(table).coalesce(1).write.parquet(f"{folder}/vocabulary")
     order = ("key", "crc32", "row")
     ordered = found.repartitionByRange(*order).sortWithinPartitions(*order)
     coded = _blocks(ordered, frequency).write.option("parquet.block.size", GROUP_BYTES)
-    coded.parquet(f"{folder}/blocks")
+    coded.option("compression", "none").parquet(f"{folder}/blocks")  # nothing is left to save
     sizes = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").groupBy("shard")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     sizes.agg(F.sum("n_ids").alias("n")).select(
