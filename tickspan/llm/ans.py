@@ -24,7 +24,7 @@ MAGIC = b"rans"
 FIELDS = struct.Struct("<4sHHIQQI")
 HEADER = struct.Struct("<4sHHIQQII")
 #: The scale of the table leaves room for this many times the ids of the vocabulary.
-ROOM = 16
+ROOM = 4
 LANES = 1024
 #: Rows between checkpoints.
 INTERVAL = 256
@@ -130,7 +130,7 @@ def _decoded(
     stretches, lanes = states.shape
     scale, mask = np.uint64(table.bits), np.uint64((1 << table.bits) - 1)
     found = np.empty((stretches, rows, lanes), np.uint32)
-    read = read.astype(np.int64)[:, None].copy()
+    read = read.astype(np.int64)
     for row in range(rows):
         width = lanes if row < rows - 1 else last
         state = states[:, :width]
@@ -139,10 +139,12 @@ def _decoded(
         found[:, row, :width] = ids
         state = table.frequency[ids] * (state >> scale) + slot - table.start[ids]
         low = state < LOW
-        order = low.cumsum(axis=1)
-        taken = words[(order + (read - 1))[low]].astype(np.uint64)
-        state[low] = (state[low] << WORD) | taken
-        read += order[:, -1:]
+        counts = low.sum(axis=1)
+        ends = counts.cumsum()
+        # each stretch reads its next words, and they lie in the order of its lanes
+        at = np.arange(ends[-1]) + (read - ends + counts).repeat(counts)
+        state[low] = (state[low] << WORD) | words[at]
+        read += counts
         states[:, :width] = state
     return found.reshape(stretches, rows * lanes)[:, : (rows - 1) * lanes + last]
 

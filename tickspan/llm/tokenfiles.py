@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+import struct
+import zlib
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
 from typing import NamedTuple
@@ -33,13 +35,14 @@ from tokenizers import Tokenizer
 
 from ..session import new_folder
 from . import ans
+from .frames import flat
 
 #: Ids at which a block is closed; a document is never split.
 BLOCK = 1 << 20
 #: Characters of texts that are handed on at once, and pieces of a longer text.
 CUT_CHARS, CUT_PIECES = 1 << 19, 1 << 16
-#: Pieces whose ids a task keeps, and the characters of the longest that is kept.
-PIECES, PIECE_CHARS = 1 << 18, 64
+#: Pieces in use, and as many before them, whose ids are kept; characters of the longest kept.
+PIECES, PIECE_CHARS = 1 << 19, 64
 #: Bytes of a file's row group: what a reader of blocks holds at once.
 GROUP_BYTES = 1 << 25
 
@@ -67,6 +70,7 @@ BLOCKS = (
     "shard int, block int, first long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
     "payload binary"
 )
+STORED = ("start", "doc_ids", "doc_sizes", "payload")
 DOCUMENTS = "key long, start long, n_tokens long, ids binary"
 STRETCHES = "at long, ids binary"
 
@@ -113,7 +117,11 @@ def width_of(vocabulary: int) -> str:
 
 
 class Pieces(dict):
-    """The ids of pieces as bytes, asked of the tokenizer once; long pieces aren't kept."""
+    """The ids of pieces as bytes, asked of the tokenizer once; long pieces aren't kept.
+
+    Beside the pieces in use the last PIECES are kept that were in use before; a piece that was
+    among neither is forgotten.
+    """
 
     def __init__(self, path: str, kind: str):
         super().__init__()
@@ -121,20 +129,30 @@ class Pieces(dict):
         self.tokenizer, self.byte_level = _library(path)
         self.model = self.tokenizer.model
         self.alphabet = dict(enumerate(_alphabet()))
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if SINGLE.fullmatch(piece):
-            spelt = piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.model.tokenize(spelt)]
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        found = np.array(ids, self.kind).tobytes()
+        found = self.before.get(piece)
+        if found is None:
+            found = self._asked(piece)
         if len(piece) <= PIECE_CHARS:
             if len(self) >= PIECES:
+                self.before = dict(self)
                 self.clear()
             self[piece] = found
         return found
 
+    def _asked(self, piece: str) -> bytes:
+        if SINGLE.fullmatch(piece):
+            if piece.isascii() and piece.isprintable():
+                spelt = piece.replace(" ", self.alphabet[32])
+            else:
+                spelt = piece.encode().decode("latin-1").translate(self.alphabet)
+            ids = [t.id for t in self.model.tokenize(spelt)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+
     def of(self, text: str) -> bytes:
         """The ids of a text, as the tokenizer gives them for the whole of it."""
         if not self.byte_level:
@@ -148,6 +166,12 @@ class Pieces(dict):
         return b"".join(found)
 
 
+@lru_cache(maxsize=1)
+def _pieces(path: str, kind: str) -> Pieces:
+    """What this process knows of a tokenizer, for all its tasks: 2 * PIECES short pieces at most."""
+    return Pieces(path, kind)
+
+
 def _grouped(texts: list[str | None]) -> Iterator[list[str]]:
     """Lists of texts with CUT_CHARS characters at most, or one longer text; null is empty."""
     group: list[str] = []
@@ -184,7 +208,7 @@ def tokens(
     )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, last = Pieces(path, kind), np.array([end], kind).tobytes()
+        pieces, last = _pieces(path, kind), np.array([end], kind).tobytes()
         for batch in batches:
             at = 0
             for group in _grouped(batch.column(2).to_pylist()):
@@ -216,9 +240,7 @@ def frequencies(found: DataFrame, vocabulary: int) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                ids = np.frombuffer(blob.as_buffer(), kind)
-                counts += np.bincount(ids, minlength=vocabulary)
+            counts += np.bincount(flat(batch.column(0))[0].view(kind), minlength=vocabulary)
         ids = np.flatnonzero(counts)
         arrays = [pa.array(ids, pa.int32()), pa.array(counts[ids], pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, schema=schema)
@@ -316,6 +338,25 @@ def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, np.ndarray]:
     return blocks.withColumn("start", F.col("start") + F.col("first")), frequency
 
 
+def _documents(frequency: np.ndarray) -> Callable:
+    """Decoder of rows (start, doc_ids, doc_sizes, payload): keys, starts, sizes and ids of each."""
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        table = ans.table_of(frequency)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                start, keys, sizes, payload = (batch.column(i)[at] for i in range(4))
+                sizes = np.array(sizes.as_py(), np.int64)
+                ids = ans.unpacked(payload.as_py(), table).astype("<u4")
+                if len(ids) != sizes.sum():
+                    raise ans.Corrupt("sizes of the documents don't add up to the block's")
+                starts = np.cumsum(sizes) - sizes
+                parts = [ids[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist())]
+                yield keys.values, starts + start.as_py(), sizes, parts
+
+    return decoded
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """(key, start, n_tokens, ids) of every document, decoded from the files.
 
@@ -323,27 +364,14 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     all documents before. A block that doesn't fit its checksums fails the query.
     """
     blocks, frequency = _stored(spark, folder)
-    schema = pa.schema(
-        [("key", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]
-    )
+    names = ["key", "start", "n_tokens", "ids"]
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ans.table_of(frequency)
-        for batch in batches:
-            for at in range(batch.num_rows):
-                start, keys, sizes, payload = (batch.column(i)[at] for i in range(4))
-                sizes = np.array(sizes.as_py(), np.int64)
-                ids = ans.unpacked(payload.as_buffer().to_pybytes(), table).astype("<u4")
-                bounds = np.concatenate(([0], np.cumsum(sizes)))
-                arrays = [
-                    keys.values,
-                    pa.array(start.as_py() + bounds[:-1]),
-                    pa.array(sizes),
-                    pa.array([ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, starts, sizes, parts in _documents(frequency)(batches):
+            ids = pa.array([p.tobytes() for p in parts], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(starts), pa.array(sizes), ids], names)
 
-    return blocks.select("start", "doc_ids", "doc_sizes", "payload").mapInArrow(decoded, DOCUMENTS)
+    return blocks.select(*STORED).mapInArrow(found, DOCUMENTS)
 
 
 def stretch(spark: SparkSession, folder: str, first: int, end: int) -> DataFrame:
@@ -369,7 +397,14 @@ def stretch(spark: SparkSession, folder: str, first: int, end: int) -> DataFrame
 
 
 def digests(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
-    """(key, start, n_tokens, ids_crc32) of every document, read from the files."""
-    return read(spark, folder).select(
-        F.col("key").alias(key), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
-    )
+    """(key, start, n_tokens, ids_crc32) of every document, as `read` finds them in the files."""
+    blocks, frequency = _stored(spark, folder)
+    names = [key, "start", "n_tokens", "ids_crc32"]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, starts, sizes, parts in _documents(frequency)(batches):
+            sums = pa.array([zlib.crc32(p) for p in parts], pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(starts), pa.array(sizes), sums], names)
+
+    types = f"`{key}` long, start long, n_tokens long, ids_crc32 long"
+    return blocks.select(*STORED).mapInArrow(found, types)
