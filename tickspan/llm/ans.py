@@ -25,9 +25,9 @@ FIELDS = struct.Struct("<4sHHIQQI")
 HEADER = struct.Struct("<4sHHIQQII")
 #: The scale of the table leaves room for this many times the ids of the vocabulary.
 ROOM = 4
-LANES = 1024
+LANES = 4096
 #: Rows between checkpoints.
-INTERVAL = 256
+INTERVAL = 128
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 
@@ -90,7 +90,7 @@ def checksum(ids: np.ndarray) -> int:
 def packed(ids: np.ndarray, table: Table, lanes: int = LANES, interval: int = INTERVAL) -> bytes:
     """One block. Every id must have a frequency. A short block has fewer lanes, an empty one none."""
     count = len(ids)
-    lanes = min(lanes, count >> 6 or 1)
+    lanes = min(lanes, count >> 8 or 1)
     rows = -(-count // lanes)
     frequency, start = table.frequency[ids], table.start[ids]
     if count and not frequency.all():

@@ -55,9 +55,9 @@ MARKS = r"!-/:-@\[-`{-~"
 #: Every piece ends where a match of that pattern ends: runs of one kind, up to another kind; else
 #: all up to white space; else white space, of which a last blank goes with what follows.
 PIECE = re.compile(
-    f" ?[{LETTERS}]++(?=[{WHITE}{DIGITS}{MARKS}]|\\Z)"
-    f"| ?[{DIGITS}]++(?=[{WHITE}{LETTERS}{MARKS}]|\\Z)"
-    f"|(?!')\\x20?[{MARKS}]++(?=[{WHITE}{LETTERS}{DIGITS}]|\\Z)"
+    f" ?[{LETTERS}]++(?![^{WHITE}{DIGITS}{MARKS}])"
+    f"| ?[{DIGITS}]++(?![^{WHITE}{LETTERS}{MARKS}])"
+    f"|(?!')\\x20?[{MARKS}]++(?![^{WHITE}{LETTERS}{DIGITS}])"
     f"| ?[^{WHITE}]+"
     f"|[{WHITE}]+(?![^{WHITE}])"
     f"|[{WHITE}]"
