@@ -26,8 +26,8 @@ HEADER = struct.Struct("<4sHHIQQII")
 #: The scale of the table leaves room for this many times the ids of the vocabulary.
 ROOM = 4
 LANES = 4096
-#: Rows between checkpoints.
-INTERVAL = 128
+#: Ids between checkpoints.
+STRETCH = 1 << 19
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 
@@ -87,10 +87,14 @@ def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4"))
 
 
-def packed(ids: np.ndarray, table: Table, lanes: int = LANES, interval: int = INTERVAL) -> bytes:
-    """One block. Every id must have a frequency. A short block has fewer lanes, an empty one none."""
+def packed(ids: np.ndarray, table: Table, lanes: int = LANES, interval: int | None = None) -> bytes:
+    """One block. Every id must have a frequency. A short block has fewer lanes.
+
+    `interval` is the number of rows between checkpoints, by default as many as hold STRETCH ids.
+    """
     count = len(ids)
     lanes = min(lanes, count >> 8 or 1)
+    interval = interval or -(-STRETCH // lanes)
     rows = -(-count // lanes)
     frequency, start = table.frequency[ids], table.start[ids]
     if count and not frequency.all():

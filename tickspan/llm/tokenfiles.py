@@ -65,7 +65,7 @@ PIECE = re.compile(
 #: Pieces that are one match.
 SINGLE = re.compile(f" ?[{LETTERS}]+| ?[{DIGITS}]+|(?!')\\x20?[{MARKS}]+|[{WHITE}]+")
 
-TOKENS = "key long, row long, crc32 long, n_tokens long, ids binary"
+TOKENS = "key long, row long, crc32 long, n_tokens long, ids binary, counts binary"
 BLOCKS = (
     "shard int, block int, first long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
     "payload binary"
@@ -194,9 +194,11 @@ def tokens(
 
     ids are little-endian, as wide as `width_of` says; crc32 is over them as unsigned 32-bit
     integers. row numbers the rows of this very read of `docs`. Null texts are empty and give the
-    end id alone; texts are read whole, whatever their length; all rows stay.
+    end id alone; texts are read whole, whatever their length; all rows stay. Beside these rows,
+    each task gives one with null ids, whose counts are those of all its ids, as 64-bit integers.
     """
-    kind = width_of(vocabulary_size(path))
+    size = vocabulary_size(path)
+    kind = width_of(size)
     schema = pa.schema(
         [
             ("key", pa.int64()),
@@ -204,26 +206,36 @@ def tokens(
             ("crc32", pa.int64()),
             ("n_tokens", pa.int64()),
             ("ids", pa.binary()),
+            ("counts", pa.binary()),
         ]
     )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, last = _pieces(path, kind), np.array([end], kind).tobytes()
+        counts = np.zeros(size, "<i8")
         for batch in batches:
             at = 0
             for group in _grouped(batch.column(2).to_pylist()):
-                blobs = [pieces.of(text) + last for text in group]
-                arrays = [np.frombuffer(b, kind) for b in blobs]
+                blobs = pa.array([pieces.of(text) + last for text in group], pa.binary())
+                data, bounds = flat(blobs)
+                ids = data.view(kind)
+                counts += np.bincount(ids, minlength=size)
+                cuts = (bounds // ids.itemsize).tolist()
+                sums = [ans.checksum(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
                 part = batch.slice(at, len(group))
                 at += len(group)
                 columns = [
                     part.column(0),
                     part.column(1),
-                    pa.array([ans.checksum(a) for a in arrays], pa.int64()),
-                    pa.array([len(a) for a in arrays], pa.int64()),
-                    pa.array(blobs, pa.binary()),
+                    pa.array(sums, pa.int64()),
+                    pa.array(np.diff(cuts), pa.int64()),
+                    blobs,
+                    pa.nulls(len(group), pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        row = (None, None, None, None, None, counts.tobytes())
+        arrays = [pa.array([v], f.type) for v, f in zip(row, schema)]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return docs.select(
         F.col(key).cast("long").alias("key"),
@@ -234,20 +246,19 @@ def tokens(
 
 def frequencies(found: DataFrame, vocabulary: int) -> np.ndarray:
     """Scaled frequencies of all ids of `tokens`; as many numbers as the vocabulary has ids."""
-    kind = width_of(vocabulary)
-    schema = pa.schema([("id", pa.int32()), ("n", pa.int64())])
+    names = ["id", "n"]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(vocabulary, np.int64)
+        counts = np.zeros(vocabulary, "<i8")
         for batch in batches:
-            counts += np.bincount(flat(batch.column(0))[0].view(kind), minlength=vocabulary)
+            for blob in batch.column(0):
+                counts += np.frombuffer(blob.as_buffer(), "<i8")
         ids = np.flatnonzero(counts)
-        arrays = [pa.array(ids, pa.int32()), pa.array(counts[ids], pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], names)
 
     counts = np.zeros(vocabulary, np.int64)
-    rows = found.select("ids").mapInArrow(counted, "id int, n long")
-    for r in rows.groupBy("id").agg(F.sum("n").alias("n")).collect():
+    rows = found.filter("counts IS NOT NULL").select("counts").mapInArrow(counted, "id long, n long")
+    for r in rows.groupBy("id").agg(F.sum("n").alias("n")).collect():  # ids of the vocabulary
         counts[r["id"]] = r["n"]
     return ans.scaled(counts)
 
@@ -316,7 +327,8 @@ def write(
     table = pa.table({"id": np.arange(len(frequency), dtype=np.int32), "frequency": frequency})
     spark.createDataFrame(table).coalesce(1).write.parquet(f"{folder}/vocabulary")
     order = ("key", "crc32", "row")
-    ordered = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    texts = found.filter("ids IS NOT NULL").select(*order, "ids")
+    ordered = texts.repartitionByRange(*order).sortWithinPartitions(*order)
     coded = _blocks(ordered, frequency).write.option("parquet.block.size", GROUP_BYTES)
     coded.option("compression", "none").parquet(f"{folder}/blocks")  # nothing is left to save
     sizes = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").groupBy("shard")
