@@ -18,6 +18,7 @@ from ..operators import (
     recompute_thresholds,
     tick_defect,
     valid_ticks,
+    wider_bars,
     with_threshold,
 )
 from ..operators.anomaly import judge
@@ -36,7 +37,7 @@ from ..plans.reports import (
     with_severity,
 )
 from ..plans.store import Store
-from ..plans.thresholds import HORIZON_DAYS, update_thresholds
+from ..plans.thresholds import HORIZON_DAYS, update_thresholds, update_thresholds_from_days
 from ..schemas import TICK
 from ..session import as_table, configure, new_folder
 from ..sources import (
@@ -51,6 +52,7 @@ from ..sources import (
 
 AS_OF = "2024-01-31 00:00:00"
 EARLIER = "2024-01-15 00:00:00"
+MIDDAY = "2024-01-22 13:30:00"
 RANGE = ("2024-01-10 06:00:00", "2024-01-20 18:00:00")
 NOW = datetime(2024, 1, 20, 12, 0)
 WATCHED = ("click", "purchase", "view")
@@ -199,6 +201,13 @@ def latest_bar_per_code(spark, folder):
     return rounded(latest_bars(hourly(spark, folder)), "volume")
 
 
+def ohlcv_1d_from_1m(spark, folder):
+    """Daily bars out of stored minute bars; no tick is read for them."""
+    store = Store(new_folder(spark, "store"))
+    store_bars(store, bars_of(ticks(spark, folder)), 1, 0, remember=False)
+    return rounded(wider_bars(store.ohlcv.current(spark), "1 day"), "volume")
+
+
 def unique_key_check(spark, folder):
     return duplicate_keys(ticks(spark, folder, precision="second"), ["code", "event_time"])
 
@@ -292,6 +301,26 @@ def threshold_empty_noop(spark, folder):
     return threshold_store(spark, folder, AS_OF, "2025-06-01 00:00:00")
 
 
+def threshold_from_days(spark, folder):
+    """The daily job over stored bars on two days in a row; the second reads the new day alone."""
+    store = Store(new_folder(spark, "store"))
+    store_bars(store, hourly(spark, folder), 1, 0, remember=False)
+    last = datetime.fromisoformat(AS_OF)
+    for moment in (last - timedelta(days=1), last):
+        update_thresholds_from_days(spark, store, moment)
+    found = store.anomaly_threshold.current(spark)
+    return rounded(found, "threshold", "avg_change", "std_change")
+
+
+def threshold_from_cut_days(spark, folder):
+    """The same at midday: two days of the horizon are cut, six come from their parts."""
+    store = Store(new_folder(spark, "store"))
+    store_bars(store, hourly(spark, folder), 1, 0, remember=False)
+    update_thresholds_from_days(spark, store, datetime.fromisoformat(MIDDAY))
+    found = store.anomaly_threshold.current(spark)
+    return rounded(found, "threshold", "avg_change", "std_change")
+
+
 # ---- detection -------------------------------------------------------------------------------
 
 
@@ -459,6 +488,7 @@ BATCH = {
     "ohlcv_1d": ohlcv("1 day"),
     "ohlcv_second_ties": ohlcv_second_ties,
     "ohlcv_orders_1d": ohlcv_orders_1d,
+    "ohlcv_1d_from_1m": ohlcv_1d_from_1m,
     "latest_bar_per_code": latest_bar_per_code,
     "unique_key_check": unique_key_check,
     "prev_close_asof": prev_close_asof,
@@ -472,6 +502,8 @@ BATCH = {
     "threshold_lookup_default": threshold_lookup_default,
     "threshold_upsert": threshold_upsert,
     "threshold_empty_noop": threshold_empty_noop,
+    "threshold_from_days": threshold_from_days,
+    "threshold_from_cut_days": threshold_from_cut_days,
     "anomaly_detect": anomaly_detect,
     "judged_bars": judged_bars,
     "ohlcv_upsert_latest": ohlcv_upsert_latest,

@@ -205,6 +205,8 @@ FROM trades t ASOF LEFT JOIN bars b ON t.code = b.code AND t.event_time >= b.win
     "bar_change_rate_1m": with_(TRADES, bars("minute"), priced())
     + "SELECT code, window_start, close, prev_close, round(pct, 6) AS change_rate FROM priced",
     "anomaly_threshold_7d": with_(*HOURLY, thresholds()) + f"SELECT {THRESHOLD_COLUMNS} FROM thr",
+    "threshold_from_cut_days": with_(*HOURLY, thresholds("2024-01-22 13:30:00"))
+    + f"SELECT {THRESHOLD_COLUMNS} FROM thr",
     "threshold_lookup_default": with_(*HOURLY, thresholds())
     + """SELECT b.code, b.window_start, b.close, round(COALESCE(t.threshold, 3.0), 6) AS threshold
 FROM bars b LEFT JOIN thr t ON b.code = t.code AND t.code IN ('click', 'purchase', 'view')""",
@@ -285,6 +287,9 @@ FROM priced WHERE prev_close IS NOT NULL""",
     "stream_prev_close_state": with_(*HOURLY, priced())
     + """SELECT code, window_start, close, prev_close, round(rate, 6) AS change_rate
 FROM priced WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 SECOND FROM trades)""",
+    "stream_open_bars": with_(*HOURLY)
+    + f"""SELECT {BAR_COLUMNS} FROM bars
+WHERE window_end > (SELECT max(event_time) - INTERVAL 10 SECOND FROM trades)""",
     "stream_json_bars": with_(TRADES, bars("minute")) + f"SELECT {BAR_COLUMNS} FROM bars",
     "stream_quarantine": with_(TRADES, FAULTY)
     + "SELECT event_id, code, outcome AS defect FROM faulty WHERE outcome <> 'ok'",
@@ -311,4 +316,9 @@ ORDER BY 1 DESC, 3 DESC, 2 LIMIT 50""",
     + f"SELECT {ANOMALY_COLUMNS}, 1::BIGINT AS alerts FROM flagged",
     "console_sink": with_(TRADES) + "SELECT count(*) AS n_messages FROM trades",
 }
+# The same results by other ways.
 SQL["ohlcv_after_compaction"] = SQL["ohlcv_upsert_latest"]
+SQL["ohlcv_1d_from_1m"] = SQL["ohlcv_1d"]
+SQL["threshold_from_days"] = SQL["anomaly_threshold_7d"]
+SQL["stream_prev_close_carried"] = SQL["stream_prev_close_state"]
+SQL["stream_1h_from_1m"] = SQL["stream_ohlcv_append"]

@@ -22,13 +22,16 @@ from ..sources import parse_ticks, ticks_from_events, to_messages
 from ..streaming import (
     drain,
     final_bars,
+    final_wider_bars,
     flush_tick,
+    open_bars,
     priced_bars,
     print_messages,
     start_bars,
     start_final_bars,
     start_priced_bars,
     start_quarantine,
+    with_previous_close,
 )
 from .batch import AS_OF, faulty_messages, hourly, load, rounded, ticks
 
@@ -178,7 +181,27 @@ def stream_prev_close(spark, folder):
     )
 
 
+def with_rate(priced: DataFrame) -> DataFrame:
+    rate = change_rate(F.col("close"), F.col("prev_close"))
+    return rounded(
+        priced.select("code", "window_start", "close", "prev_close", rate.alias("change_rate")),
+        "change_rate",
+    )
+
+
 def stream_prev_close_state(spark, folder):
+    """Final bars with their previous close out of the state store; three runs on one checkpoint."""
+    out, checkpoint = new_store(spark)
+
+    def start(feed):
+        bars = with_previous_close(final_bars(feed, WIDTH))
+        return run_final_bars(bars, out.root, checkpoint)
+
+    in_slices(spark, cut(spark, folder, MID_BAR), start)
+    return with_rate(spark.read.parquet(out.root))
+
+
+def stream_prev_close_carried(spark, folder):
     """Final bars with their previous close, one close per code carried between batches."""
     out, checkpoint = new_store(spark)
 
@@ -189,12 +212,26 @@ def stream_prev_close_state(spark, folder):
         return start_priced_bars(bars, out.root, checkpoint, once=True, state_partitions=cores)
 
     in_slices(spark, cut(spark, folder, MID_BAR), start)
-    found = priced_bars(spark, out.root)
-    rate = change_rate(F.col("close"), F.col("prev_close"))
-    return rounded(
-        found.select("code", "window_start", "close", "prev_close", rate.alias("change_rate")),
-        "change_rate",
-    )
+    return with_rate(priced_bars(spark, out.root))
+
+
+def stream_open_bars(spark, folder):
+    """The bars that append mode has not emitted, read from the state of the query."""
+    out, checkpoint = new_store(spark)
+    feed = ticks_from_events(stream_events(spark, folder))
+    drain(run_final_bars(final_bars(feed, WIDTH), out.root, checkpoint))
+    return rounded(open_bars(spark, checkpoint), "volume")
+
+
+def stream_1h_from_1m(spark, folder):
+    """Hourly final bars made of the minute bars of the same query."""
+    out, checkpoint = new_store(spark)
+
+    def start(feed):
+        return run_final_bars(final_wider_bars(feed, WIDTH), out.root, checkpoint)
+
+    in_slices(spark, cut(spark, folder, MID_BAR), start)
+    return rounded(spark.read.parquet(out.root), "volume")
 
 
 def stream_json_bars(spark, folder):
@@ -304,6 +341,9 @@ STREAMS = {
     "stream_alerts": stream_alerts,
     "stream_prev_close": stream_prev_close,
     "stream_prev_close_state": stream_prev_close_state,
+    "stream_prev_close_carried": stream_prev_close_carried,
+    "stream_open_bars": stream_open_bars,
+    "stream_1h_from_1m": stream_1h_from_1m,
     "stream_json_bars": stream_json_bars,
     "stream_quarantine": stream_quarantine,
     "stream_null_fields": stream_null_fields,

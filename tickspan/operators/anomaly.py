@@ -49,7 +49,12 @@ def recompute_thresholds(
     bars: DataFrame, as_of: str | Column | None = None, horizon: str = HORIZON
 ) -> DataFrame:
     """Threshold per code = mean + 3 deviations of the changes over the horizon before as_of."""
-    return change_statistics(recent(bars, as_of, horizon)).select(
+    return thresholds_of(change_statistics(recent(bars, as_of, horizon)), as_of)
+
+
+def thresholds_of(statistics: DataFrame, as_of: str | Column | None = None) -> DataFrame:
+    """Rows of the threshold table from (code, avg_change, std_change)."""
+    return statistics.select(
         "code",
         threshold_of(F.col("avg_change"), F.col("std_change")).alias("threshold"),
         "avg_change",

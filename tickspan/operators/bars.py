@@ -64,6 +64,36 @@ def flatten_bars(bars: DataFrame) -> DataFrame:
     )
 
 
+def wider_ohlcv(bars: DataFrame, width: str) -> DataFrame:
+    """Bars of a finer width to bars with a nested `window`; a fine bar lies in one wide one.
+
+    `bars` are those of `aggregate_ohlcv` (with their nested window: on a stream this is a second
+    stateful aggregation, and append mode emits a wide bar once the watermark has passed its end)
+    or flat ones. No tick is looked at: the earliest open, the latest close, the highest and the
+    lowest price, the sums of volumes and counts are what the ticks would give, ties aside, since
+    no two fine bars share a tick. Bars without a price add their volume only.
+    """
+    if "window" in bars.columns:
+        timed = bars.withColumn("_time", F.window_time("window"))
+    else:
+        timed = bars.withColumn("_time", F.col("window_start"))
+    opened = F.when(F.col("open").isNotNull(), F.col("_time"))
+    closed = F.when(F.col("close").isNotNull(), F.col("_time"))
+    return timed.groupBy(F.window("_time", width), "code").agg(
+        F.min_by("open", opened).alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", closed).alias("close"),
+        F.sum("volume").alias("volume"),
+        F.sum("trade_count").alias("trade_count"),
+    )
+
+
+def wider_bars(bars: DataFrame, width: str) -> DataFrame:
+    """Flat bars to flat bars of a wider width."""
+    return flatten_bars(wider_ohlcv(bars, width))
+
+
 def bars_of(ticks: DataFrame, width: str = WIDTH, tie_break: str | None = None) -> DataFrame:
     return flatten_bars(aggregate_ohlcv(ticks, width, tie_break=tie_break))
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import types as T
+
 from ..operators import KeyedTable, Slots
+from ..operators.moments import DAY_PART
 from ..schemas import ALERT, ANOMALY, RECENT, STORED_BAR, THRESHOLD
 
 BAR_KEY = ("code", "window_start")
@@ -42,6 +45,15 @@ class Store:
             ("threshold", "avg_change", "std_change", "calculated_at"),
         )
 
+    @property
+    def day_parts(self) -> KeyedTable:
+        """Change statistics per code and day, and the newest version of its bars they hold."""
+        schema = T.StructType([*DAY_PART.fields, T.StructField("covers", T.LongType())])
+        values = [n for n in schema.fieldNames() if n not in ("code", "day_start")]
+        return KeyedTable(
+            f"{self.root}/day_parts", schema, ("code", "day_start"), values, (), "day_start"
+        )
+
     @property
     def alerts(self) -> KeyedTable:
         """The outbox: one row per bar, from its first detection."""

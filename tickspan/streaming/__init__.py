@@ -3,6 +3,7 @@ from .jobs import (
     drain,
     dropped_late,
     final_bars,
+    final_wider_bars,
     flush_tick,
     print_messages,
     start_bars,
@@ -10,17 +11,22 @@ from .jobs import (
     start_quarantine,
 )
 from .previous import priced_bars, start_priced_bars
+from .stateful import with_previous_close
+from .unfinished import open_bars
 
 __all__ = [
     "claim_epoch",
     "drain",
     "dropped_late",
     "final_bars",
+    "final_wider_bars",
     "flush_tick",
+    "open_bars",
     "priced_bars",
     "print_messages",
     "start_bars",
     "start_final_bars",
     "start_priced_bars",
     "start_quarantine",
+    "with_previous_close",
 ]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators import aggregate_ohlcv, barless_ticks, flatten_bars
+from ..operators import aggregate_ohlcv, barless_ticks, flatten_bars, wider_ohlcv
 from ..operators.bars import LATENESS, WIDTH
 from ..operators.quality import quarantined_ticks
 from ..plans.detection import apply_bars
@@ -95,6 +95,21 @@ def final_bars(
     return flatten_bars(aggregate_ohlcv(ticks, width, lateness, tie_break))
 
 
+def final_wider_bars(
+    ticks: DataFrame,
+    width: str,
+    fine: str = WIDTH,
+    lateness: str = LATENESS,
+    tie_break: str | None = None,
+) -> DataFrame:
+    """`final_bars` of a wide width, made of final bars of a finer one in one query.
+
+    The second aggregation holds one row per code and wide bar and takes a row per fine bar, however
+    many ticks there are; its watermark is the first one's.
+    """
+    return flatten_bars(wider_ohlcv(aggregate_ohlcv(ticks, fine, lateness, tie_break), width))
+
+
 def flush_tick(spark: SparkSession, schema: T.StructType, moment: datetime) -> DataFrame:
     """One tick of the code FLUSH, so late that the watermark closes all bars before `moment`.
 
