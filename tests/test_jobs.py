@@ -49,3 +49,13 @@ def test_raw_feed_to_thresholds(spark, tmp_path):
     found = store.anomaly_threshold.current(spark).collect()
     assert sorted(r.code for r in found) == ["A", "B"]
     assert {r.calculated_at for r in found} == {as_of}
+
+    main(["thresholds", "--store", f"{tmp_path}/store", "--as-of", str(as_of), "--from-days"])
+    again = store.anomaly_threshold.current(spark).collect()
+    assert sorted(r.code for r in again) == ["A", "B"]
+    main(["alerts", "--store", f"{tmp_path}/store", "--to", f"{tmp_path}/alerts", "--once"]
+         + ["--checkpoint", f"{tmp_path}/cp4"])
+    assert spark.read.parquet(f"{tmp_path}/alerts").count() == 10
+    main(["open-bars", "--checkpoint", f"{tmp_path}/cp2", "--to", f"{tmp_path}/open"])
+    assert spark.read.parquet(f"{tmp_path}/open").count() >= 2
+    main(["panel", "--store", f"{tmp_path}/store", "anomalies"])

@@ -11,9 +11,9 @@ from tickspan.plans.store import Store
 from tickspan.schemas import THRESHOLD
 from tickspan.sources import parse_ticks, read_messages, stream_messages, write_messages
 from tickspan.streaming import (
+    Tally,
     claim_epoch,
     drain,
-    dropped_late,
     final_bars,
     flush_tick,
     priced_bars,
@@ -152,13 +152,17 @@ def test_late_rows_null_codes_and_null_times(spark, place):
             [tick("A", 103.0, 140), tick("A", 8.0, 25)],
         ],
     )
+    tally = Tally()
+    spark.streams.addListener(tally)
     query = run(spark, place)
+    tally.wait(query)
+    spark.streams.removeListener(tally)
     current = place.store.ohlcv.current(spark).orderBy("window_start").collect()
     assert [(r.code, r.open, r.close, r.low, r.trade_count) for r in current] == [
         ("A", 100.0, 7.0, 7.0, 2),
         ("A", 101.0, 103.0, 101.0, 3),
     ]
-    assert dropped_late(query) == 1
+    assert tally.totals(query)["dropped"] == 1
 
 
 def test_quarantine_keeps_what_bars_cannot_take(spark, place):

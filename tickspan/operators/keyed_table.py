@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from .slots import Slots
 
 BATCH_BITS = 40
+#: Bytes of a row group of a merged day: the least that a reader of a part of the day opens.
+GROUP_BYTES = 1 << 23
 
 
 def version_of(epoch: int, batch: int) -> int:
@@ -105,6 +107,21 @@ class KeyedTable:
         day = [T.StructField("dt", T.DateType())] if self.day_of is not None else []
         return T.StructType([*self.schema.fields, *day, *(T.StructField(n, T.LongType()) for n in names)])
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """The columns of the files as a plain reader of the folder finds them."""
+        return self._fields("epoch", "batch")
+
+    def exists(self, spark: SparkSession) -> bool:
+        """Whether anything was ever written."""
+        try:
+            spark.read.schema(self.stored_schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+
     def _days(self, since: date | None, until: date | None) -> str:
         """The folders of the days asked for, as a pattern."""
         if self.day_of is None:
@@ -178,6 +195,9 @@ class KeyedTable:
         newest, which may still be under way or be repeated, are merged, and later ones are read
         besides until the next call merges them. Days without a version since the last call are
         not read again. Old files stay for readers that have listed them.
+
+        A merged day is written in the order of time, in row groups of GROUP_BYTES, so a reader of
+        an hour skips the groups of the others by their statistics.
         """
         newest = self._open(spark, None, None).agg(F.max("version")).first()[0]
         if newest is None:
@@ -202,7 +222,9 @@ class KeyedTable:
         )
         (
             view.hint("rebalance", F.col("dt"))
+            .sortWithinPartitions("dt", self.day_of, *self.keys)
             .write.mode("overwrite")
+            .option("parquet.block.size", GROUP_BYTES)
             .partitionBy("dt")
             .parquet(f"{self.path}-merged/cut={number}")
         )

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import alert_message, direction
 from ..operators import previous_close
 from ..operators.anomaly import judge
-from ..operators.keyed_table import read_parquet, version_of
-from ..schemas import BAR_COLUMNS, RECENT, TRY
+from ..operators.keyed_table import KeyedTable, read_parquet, version_of
+from ..schemas import BAR_COLUMNS, NEWEST, RECENT, TRY
 from .store import BAR_KEY, Store
 
+#: Newest detections that are kept at hand; whoever asks for more reads the log.
+KEPT_DETECTIONS = 200
+
 #: Bars of a code that are kept at hand. A stream touches only the bars inside its lateness, so
 #: with these it never looks into the stored bars.
 KEPT = 8
@@ -250,6 +253,35 @@ def record_anomalies(
     out = flagged.select(*BAR_COLUMNS, "prev_close", rate, stamp.alias("detected_at"))
     store.anomaly_log.append(out, epoch, batch)
     store.alerts.append(alerts, epoch, batch)
+    keep_detections(spark, store, fresh.select(*BAR_KEY, stamp.alias("detected_at")))
+
+
+def newest_first(detections: DataFrame, n: int) -> DataFrame:
+    """The n newest of (code, window_start, detected_at), in a definite order."""
+    return detections.orderBy(F.desc("detected_at"), F.desc("window_start"), "code").limit(n)
+
+
+def first_detections(log: KeyedTable, versions: DataFrame) -> DataFrame:
+    """(code, window_start, detected_at) of all logged bars; the first detection's time stays."""
+    return log.merge(versions, ["detected_at"]).select(*NEWEST.fieldNames())
+
+
+def keep_detections(spark: SparkSession, store: Store, fresh: DataFrame) -> None:
+    """Put a batch's first detections among the newest ones that are kept at hand.
+
+    The newest of all detections are the newest of those kept and the fresh ones, in whatever order
+    batches come, and a repeated batch adds the same rows; so the list is exact. A store that has
+    none yet makes it from its log.
+    """
+    version, kept = store.newest.newest(spark)
+    if version is None:
+        log = store.anomaly_log
+        rows, version = first_detections(log, log.versions(spark)), -1
+    else:
+        rows = kept.unionByName(fresh).groupBy(*BAR_KEY).agg(
+            F.min("detected_at").alias("detected_at")
+        )
+    store.newest.write(spark, newest_first(rows, KEPT_DETECTIONS), version + 1)
 
 
 def first_try(

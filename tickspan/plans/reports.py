@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import round2, severity
+from .detection import KEPT_DETECTIONS, first_detections, newest_first
 from .store import BAR_KEY, Store
 
 TOP_ANOMALIES = 50
@@ -59,13 +60,20 @@ def stored_series(
 def stored_anomalies(spark: SparkSession, store: Store, n: int = TOP_ANOMALIES) -> DataFrame:
     """The n anomalies detected last, out of the stored log.
 
-    A logged bar keeps the time of its first detection, so the n newest first detections name the
-    bars; only their rows are merged.
+    A logged bar keeps the time of its first detection, so the newest first detections, which are
+    kept at hand, name the bars. Only the days of these bars are opened in the log, however long
+    it is. For more than KEPT_DETECTIONS the first detections come from the log itself.
     """
     table = store.anomaly_log
-    rows = table.versions(spark)
-    first = rows.groupBy(*BAR_KEY).agg(F.min_by("detected_at", "version").alias("detected_at"))
-    wanted = first.orderBy(F.desc("detected_at"), F.desc("window_start"), "code").limit(n)
+    version, kept = store.newest.newest(spark) if 0 < n <= KEPT_DETECTIONS else (None, None)
+    if version is None:
+        rows = table.versions(spark)
+        wanted = newest_first(first_detections(table, rows), n)
+    else:
+        wanted = newest_first(kept, n)
+        day = F.date_from_unix_date(F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
+        days = [r["day"] for r in wanted.select(day.alias("day")).distinct().collect()]
+        rows = table.versions(spark, min(days), max(days)).filter(F.col("dt").isin(days))
     chosen = rows.join(wanted.select(*BAR_KEY), list(BAR_KEY), "left_semi")
     return newest_anomalies(table.merge(chosen), n)
 
@@ -104,3 +112,69 @@ def threshold_list(thresholds: DataFrame) -> DataFrame:
 
 def preview(bars: DataFrame, n: int = 10) -> DataFrame:
     return bars.orderBy("code", "window_start").limit(n)
+
+
+# ---- SQL over the stored tables ----------------------------------------------------------------
+
+#: The dashboard's panels and the previews as SQL over the views of `create_views`.
+PANELS = {
+    "close": """
+        SELECT window_start AS time, close AS value, code AS metric FROM ohlcv
+        WHERE window_start BETWEEN CAST(:since AS TIMESTAMP) AND CAST(:until AS TIMESTAMP)
+        ORDER BY time, metric""",
+    "volume": """
+        SELECT window_start AS time, volume AS value, code AS metric FROM ohlcv
+        WHERE window_start BETWEEN CAST(:since AS TIMESTAMP) AND CAST(:until AS TIMESTAMP)
+        ORDER BY time, metric""",
+    "anomalies": """
+        SELECT detected_at, code, window_start, close, prev_close,
+               round(CAST(change_rate AS DECIMAL(38, 10)), 2) AS change_rate
+        FROM newest_anomalies ORDER BY detected_at DESC, window_start DESC, code LIMIT 50""",
+    "thresholds": """
+        SELECT code, round(CAST(threshold AS DECIMAL(38, 10)), 2) AS threshold,
+               round(CAST(avg_change AS DECIMAL(38, 10)), 2) AS avg_change,
+               round(CAST(std_change AS DECIMAL(38, 10)), 2) AS std_change, calculated_at
+        FROM anomaly_threshold ORDER BY code""",
+    "bars": "SELECT * FROM ohlcv ORDER BY code, window_start LIMIT 10",
+    "log": "SELECT * FROM anomaly_log ORDER BY code, window_start LIMIT 10",
+}
+
+
+def create_views(
+    spark: SparkSession, store: Store, since: datetime | None = None, until: datetime | None = None
+) -> list[str]:
+    """The stored tables as temporary views for SQL; the names of the views.
+
+    ohlcv, anomaly_log, alerts and anomaly_threshold are the tables as they stand when a query over
+    the view is planned: files written later need the views made anew. With since and until (UTC
+    unless zoned) the first three hold the bars that start between them, and only their days are
+    listed and opened; a condition on window_start inside the query reaches the scan as well.
+    newest_anomalies holds the newest detections that are kept at hand, whatever their days.
+    """
+    days = [None if t is None else utc(t).date() for t in (since, until)]
+    views = {name: getattr(store, name) for name in ("ohlcv", "anomaly_log", "alerts")}
+    for name, table in views.items():
+        rows = table.versions(spark, *days)
+        if since is not None:
+            rows = rows.filter(F.col("window_start") >= F.lit(str(utc(since))).cast("timestamp"))
+        if until is not None:
+            rows = rows.filter(F.col("window_start") <= F.lit(str(utc(until))).cast("timestamp"))
+        table.merge(rows).select(*table.schema.fieldNames()).createOrReplaceTempView(name)
+    store.anomaly_threshold.current(spark).createOrReplaceTempView("anomaly_threshold")
+    newest = stored_anomalies(spark, store, KEPT_DETECTIONS)
+    newest.createOrReplaceTempView("newest_anomalies")
+    return [*views, "anomaly_threshold", "newest_anomalies"]
+
+
+def panel(
+    spark: SparkSession,
+    store: Store,
+    name: str,
+    since: datetime | None = None,
+    until: datetime | None = None,
+) -> DataFrame:
+    """One of PANELS over the store as it is now; the first two need a range."""
+    create_views(spark, store, since, until)
+    given = {"since": since, "until": until}
+    arguments = {k: str(utc(t)) for k, t in given.items() if f":{k}" in PANELS[name]}
+    return spark.sql(PANELS[name], args=arguments)

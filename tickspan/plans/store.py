@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators import KeyedTable, Slots
 from ..operators.moments import DAY_PART
-from ..schemas import ALERT, ANOMALY, RECENT, STORED_BAR, THRESHOLD
+from ..schemas import ALERT, ANOMALY, NEWEST, RECENT, STORED_BAR, THRESHOLD
 
 BAR_KEY = ("code", "window_start")
 
@@ -71,6 +71,11 @@ class Store:
         """The newest bars of every code: all that a steady stream needs to judge the next ones."""
         return Slots(f"{self.root}/recent", RECENT)
 
+    @property
+    def newest(self) -> Slots:
+        """The bars detected last: where a reader of the newest anomalies begins."""
+        return Slots(f"{self.root}/newest", NEWEST)
+
     def tries(self, epoch: int, batch: int) -> str:
         """Where a batch notes what its first try was judged with."""
         return f"{self.root}/tries/epoch={epoch}/batch={batch}"

@@ -66,6 +66,14 @@ RECENT = T.StructType(
         T.StructField("first_start", T.TimestampType()),
     ]
 )
+# The bars whose first detection is newest.
+NEWEST = T.StructType(
+    [
+        T.StructField("code", T.StringType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("detected_at", T.TimestampType()),
+    ]
+)
 # What the first try of a batch was judged with.
 TRY = T.StructType(
     [

@@ -1,4 +1,5 @@
 from .connectors import (
+    file_source_options,
     jdbc_options,
     kafka_sink_options,
     kafka_source_options,
@@ -12,6 +13,7 @@ from .tables import load, ticks_from_events, ticks_from_orders
 
 __all__ = [
     "DEFAULT_SYMBOLS",
+    "file_source_options",
     "jdbc_options",
     "kafka_sink_options",
     "kafka_source_options",

@@ -14,9 +14,15 @@ MESSAGE = "key binary, value binary"
 
 
 def kafka_source_options(
-    servers: str, topic: str, starting: str = "latest", fail_on_data_loss: bool = False
+    servers: str,
+    topic: str,
+    starting: str = "latest",
+    fail_on_data_loss: bool = False,
+    per_trigger: int | None = None,
 ) -> dict[str, str]:
-    return {
+    """Options of a Kafka stream; `per_trigger` bounds the messages of one micro-batch."""
+    paced = {} if per_trigger is None else {"maxOffsetsPerTrigger": str(per_trigger)}
+    return paced | {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
@@ -24,6 +30,11 @@ def kafka_source_options(
     }
 
 
+def file_source_options(per_trigger: int | None = None) -> dict[str, str]:
+    """Options of a stream of files; `per_trigger` bounds the files of one micro-batch."""
+    return {} if per_trigger is None else {"maxFilesPerTrigger": str(per_trigger)}
+
+
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 

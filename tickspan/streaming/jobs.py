@@ -154,9 +154,3 @@ def print_messages(messages: DataFrame, checkpoint: str, once: bool = False) ->
     writer = text.writeStream.format("console").option("truncate", "false")
     return start_query(messages.sparkSession, writer, checkpoint, once)
 
-
-def dropped_late(query: StreamingQuery) -> int:
-    """How many rows (partial bars) came too late in the recent micro-batches of a query."""
-    return sum(
-        op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
-    )
