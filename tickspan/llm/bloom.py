@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import lean
+
 #: Bits of the filter, and bits set for each key: pieces of 24 bits of its 64-bit hash.
 BITS = 1 << 24
 PIECES = 3
@@ -51,6 +53,7 @@ def may_be_in(hashes: Column, words: np.ndarray) -> Column:
     """Whether the filter may hold a column of 64-bit hashes (not null)."""
 
     @F.arrow_udf("boolean")
+    @lean()
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Bloom(words)
         for batch in batches:

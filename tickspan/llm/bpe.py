@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import flat, steps
+from .frames import flat, lean, steps
 from .words import EXACT_VALUES, HashTable, word_hashes
 
 #: Pieces that a worker keeps merged.
@@ -415,6 +415,7 @@ def encode(text: Column, path: str) -> Column:
     file = _read(path)
 
     @F.arrow_udf("struct<ids:array<int>, offsets:array<long>>")
+    @lean(vocabulary)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary(file)
         for batch in batches:
@@ -436,6 +437,7 @@ def decode(ids: Column, path: str) -> Column:
     file = _read(path)
 
     @F.arrow_udf("binary")
+    @lean(vocabulary)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary(file)
         for batch in batches:
@@ -458,6 +460,7 @@ def round_trip(text: Column, path: str) -> Column:
     file = _read(path)
 
     @F.arrow_udf("struct<n_tokens:long, ids_sha256:string, decoded_sha256:string>")
+    @lean(vocabulary)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary(file)
         for batch in batches:

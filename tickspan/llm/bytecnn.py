@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import flat
+from .frames import flat, lean
 
 #: Bytes of a window, and windows that are worked on at once.
 WINDOW = 256
@@ -219,6 +219,7 @@ def predict(text: Column, net: Network) -> Column:
     """
 
     @F.arrow_udf("struct<lang_pred:string, score:double>")
+    @lean()
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = Tables(net)
         for batch in batches:

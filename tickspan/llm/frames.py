@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
+from . import words
 
 #: Bytes of text that one vectorised step takes at once (a longer text is a step of its own).
 STEP_BYTES = 1 << 19
@@ -70,3 +74,30 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListA
     bounds = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=bounds[1:])
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, kind))
+
+
+def lean(*caches: Callable) -> Callable:
+    """Decorator of a function of batches: its process keeps nothing of it when a task ends.
+
+    Python processes outlive their tasks and stages. Whatever a stage left in each of them would
+    add up over a job of many stages, so the `caches` (and the powers of word hashes) are emptied,
+    and memory that is free is given back to the system rather than kept for later.
+    """
+
+    def decorator(run: Callable) -> Callable:
+        @wraps(run)
+        def task(batches: Iterator) -> Iterator:
+            try:
+                yield from run(batches)
+            finally:
+                for cache in (words.kept_powers, *caches):
+                    cache.cache_clear()
+                gc.collect()
+                pa.default_memory_pool().release_unused()
+                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+                if trim is not None:
+                    trim(0)
+
+        return task
+
+    return decorator

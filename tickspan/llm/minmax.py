@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import as_table
 from .bloom import bloom_words, may_be_in
-from .frames import flat, lists, steps
+from .frames import flat, lean, lists, steps
 from .words import NOT_BLANK, mixed, run_hash, shingle_hashes, spans, word_hashes
 
 PERMUTATIONS = 40
@@ -91,6 +91,7 @@ def signatures(size: int, permutations: int = PERMUTATIONS, rows: int = BAND_ROW
     """Column function: text to its set's size, fingerprint and band keys."""
 
     @F.arrow_udf(SIGNATURE)
+    @lean()
     def signature(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             data, bounds = flat(batch)
@@ -132,6 +133,7 @@ def shingle_sets(size: int):
     """Column function: text to its sorted distinct shingle hashes."""
 
     @F.arrow_udf("array<long>")
+    @lean()
     def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             data, bounds = flat(batch)
@@ -226,6 +228,7 @@ def shared_counts(
 def _block_links(similarity_pct: int):
     """Map function: pairs of blocks of nodes to the links between them."""
 
+    @lean()
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import as_table
 from .bloom import Bloom, bloom_words
-from .frames import flat, lists, steps
+from .frames import flat, lean, lists, steps
 from .words import ALNUM, SHINGLE_BASE, lower_latin, mixed, powers, shingle_hashes, spans, word_hashes
 
 MIN_TILE = 4
@@ -90,6 +90,7 @@ def item_words():
     """Column function: text to its word hashes."""
 
     @F.arrow_udf("array<long>")
+    @lean()
     def words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             hashes, first = hashed_words(*flat(batch))
@@ -102,6 +103,7 @@ def item_seeds(min_tile: int):
     """Column function: word hashes to the seeds at each word, or one of all words if few."""
 
     @F.arrow_udf("array<long>")
+    @lean()
     def seeds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = [
@@ -122,6 +124,7 @@ def seeds_of_documents(words: np.ndarray, sizes: dict[int, int]):
     """
 
     @F.arrow_udf("struct<words:array<long>, seeds:array<long>>")
+    @lean()
     def candidates(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Bloom(words)
         kind = pa.list_(pa.int64())
@@ -203,6 +206,7 @@ def tiles(item: np.ndarray, text: np.ndarray, min_tile: int) -> list[tuple[int,
 
 
 def _tiled(min_tile: int, coverage: float):
+    @lean()
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []

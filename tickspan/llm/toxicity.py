@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import texts_of
+from .frames import lean, texts_of
 from .words import word_hashes
 
 EXAMPLES_PER_LABEL = 2000
@@ -326,6 +326,7 @@ def _condensed(text: str) -> Column:
     """The words of a text column, joined by blanks."""
 
     @F.arrow_udf("binary")
+    @lean()
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([b" ".join(words_of(t)) for t in texts_of(batch)], pa.binary())
@@ -345,6 +346,7 @@ def score(text: Column, index: Index) -> Column:
         "struct<score:double, neighbours:array<struct<id:long, cosine:double, toxic:int>>, "
         "terms:array<string>>"
     )
+    @lean()
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = {i: t.decode(errors="replace") for i, t in index.terms.items()}
         kind = pa.list_(

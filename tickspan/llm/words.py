@@ -17,7 +17,7 @@ MASK = (1 << 64) - 1
 
 
 @lru_cache(maxsize=8)
-def _powers(base: int, length: int) -> np.ndarray:
+def kept_powers(base: int, length: int) -> np.ndarray:
     out = np.full(length, base, np.uint64)
     out[0] = 1
     np.multiply.accumulate(out, out=out)
@@ -27,7 +27,7 @@ def _powers(base: int, length: int) -> np.ndarray:
 
 def powers(base: int, length: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64; kept in sizes of powers of two."""
-    return _powers(base & MASK, 1 << max(10, (length - 1).bit_length()))[:length]
+    return kept_powers(base & MASK, 1 << max(10, (length - 1).bit_length()))[:length]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
