@@ -251,9 +251,12 @@ def record_anomalies(
         alert_message(F.col("code"), F.col("close"), rate).alias("message"),
     )
     out = flagged.select(*BAR_COLUMNS, "prev_close", rate, stamp.alias("detected_at"))
+    held = store.newest.held(spark)
+    unlisted = not held and store.anomaly_log.exists(spark)
     store.anomaly_log.append(out, epoch, batch)
     store.alerts.append(alerts, epoch, batch)
-    keep_detections(spark, store, fresh.select(*BAR_KEY, stamp.alias("detected_at")))
+    detections = fresh.select(*BAR_KEY, stamp.alias("detected_at"))
+    keep_detections(spark, store, detections, held, unlisted)
 
 
 def newest_first(detections: DataFrame, n: int) -> DataFrame:
@@ -266,22 +269,25 @@ def first_detections(log: KeyedTable, versions: DataFrame) -> DataFrame:
     return log.merge(versions, ["detected_at"]).select(*NEWEST.fieldNames())
 
 
-def keep_detections(spark: SparkSession, store: Store, fresh: DataFrame) -> None:
+def keep_detections(
+    spark: SparkSession, store: Store, fresh: DataFrame, held: dict[int, int], unlisted: bool
+) -> None:
     """Put a batch's first detections among the newest ones that are kept at hand.
 
     The newest of all detections are the newest of those kept and the fresh ones, in whatever order
-    batches come, and a repeated batch adds the same rows; so the list is exact. A store that has
-    none yet makes it from its log.
+    batches come, and a repeated batch adds the same rows; so the list is exact. `held` are the
+    versions of the list; with `unlisted` there is none yet beside a log, and it is made from that.
     """
-    version, kept = store.newest.newest(spark)
-    if version is None:
-        log = store.anomaly_log
-        rows, version = first_detections(log, log.versions(spark)), -1
+    version, kept = store.newest.newest(spark, held=held)
+    if unlisted:
+        rows = first_detections(store.anomaly_log, store.anomaly_log.versions(spark))
+    elif kept is None:
+        rows = fresh
     else:
-        rows = kept.unionByName(fresh).groupBy(*BAR_KEY).agg(
-            F.min("detected_at").alias("detected_at")
-        )
-    store.newest.write(spark, newest_first(rows, KEPT_DETECTIONS), version + 1)
+        both = kept.unionByName(fresh).groupBy(*BAR_KEY)
+        rows = both.agg(F.min("detected_at").alias("detected_at"))
+    number = 0 if version is None else version + 1
+    store.newest.write(spark, newest_first(rows, KEPT_DETECTIONS), number, held)
 
 
 def first_try(
