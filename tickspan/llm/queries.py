@@ -62,8 +62,10 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold("doc_id", LM_FOLDS) == LM_HELD_OUT
     docs = documents(spark, folder).select("doc_id", "text", held_out.alias("held_out"))
-    model, counts, _ = lbl.train(docs.filter(~F.col("held_out")))
-    return lbl.score(docs, model, counts, carried=("held_out",))
+    model, counts, shares = lbl.counted(docs.filter(~F.col("held_out")))
+    found = lbl.numbered(docs, model, carried=("held_out",))
+    model = lbl.fit(model, shares, found.filter(~F.col("held_out")))
+    return lbl.scored(found, model, counts, carried=("held_out",))
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,8 +86,8 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         docs.select(
             "doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), index).alias("t")
         )
-        .select("doc_id", "held_out", "t.score", "t.neighbours", "t.terms")
-        .withColumn("predicted", (F.col("score") >= PREDICTED_FROM).cast("int"))
+        .withColumn("predicted", (F.col("t.score") >= PREDICTED_FROM).cast("int"))
+        .select("doc_id", "held_out", "t.score", "predicted", "t.neighbours", "t.terms")
     )
 
 
