@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -78,3 +79,16 @@ def test_awkward_rows(spark):
         3: wanted([("user", "\x00 \u2028 😀")]),
     }
     assert chat.digests(chat.examples(frame.limit(0))).count() == 0
+
+
+def test_conversations_without_replies_are_handed_on_in_parts():
+    size = chat.HANDED // 8 + 1
+    batches = (
+        pa.RecordBatch.from_arrays(
+            [pa.array([i]), pa.array(["user"]), pa.array(["x" * size])], ["conv_id", "role", "text"]
+        )
+        for i in range(40)
+    )
+    found = list(chat._expanded(batches))
+    assert sum(b.num_rows for b in found) == 40
+    assert max(b.num_rows for b in found) <= 9

@@ -127,3 +127,11 @@ def test_every_notice_of_a_run_is_found():
         for found in (scanner.best(line), scanner.fuzzy(line)):
             assert [m.first_word for m in found] == [5 * i for i in range(len(lines))]
             assert [m.errors == 0 for m in found] == [x == exact for x in lines]
+
+
+def test_places_are_counted_over_a_long_text():
+    text = ("a mit license under cc by b " * 3000).encode()
+    line, n = licenses.normalised(text)
+    scanner = licenses.Scanner(licenses.PHRASES, {}, 10)
+    words, base = plain(text.decode())
+    assert (n, scanner.exact(line)) == (len(words), base)

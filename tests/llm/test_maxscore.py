@@ -15,7 +15,7 @@ def test_query_equals_sql(spark, data):
     assert found[1]
 
 
-@pytest.mark.parametrize("spread", [3, 200])
+@pytest.mark.parametrize("spread", [3, 200, 1 << 28])  # the last one beyond exact doubles
 def test_shard_against_all_products(spread):
     rng = np.random.default_rng(spread)
     vectors = rng.integers(-spread, spread, (3000, 10))

@@ -57,3 +57,16 @@ def test_awkward_rows(spark):
     assert by_id[12][2:] == ("com/de/", "block")
     assert by_id[13] == ("b.com", "", None, "allow")
     assert urls.judged(pages.limit(0), RULES).count() == 0
+
+
+def test_wildcards_in_domain_rules_stand_for_themselves():
+    rules = [
+        urls.domain_rule("block", rule).pattern
+        for rule in ("example.org/~joe/", "example.org/a?b", "example.org/x*", "example.org/c\\d")
+    ]
+    texts = [".example.org/billy-joe/", ".a.example.org/~joe/x", ".example.org/a?bc", ".example.org/axb"]
+    texts += [".example.org/x*y", ".example.org/xy", ".example.org/c\\d", ".example.org/cd"]
+    raw = [t.encode() for t in texts]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
+    found = urls.Automaton(rules).run(np.frombuffer(b"".join(raw), np.uint8), bounds)
+    assert [np.flatnonzero(row).tolist() for row in found] == [[], [0], [1], [], [2], [], [3], []]

@@ -82,7 +82,7 @@ def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def ended() -> None:
         """The rest of the conversation."""
-        nonlocal waiting
+        nonlocal waiting, size
         if waiting is not None and waiting[5] == turns:
             rows.append((*waiting, True))
         else:
@@ -90,6 +90,7 @@ def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((*waiting, False))
             if turns:
                 rows.append((current, number, "".join(parts), None, None, turns, True))
+                size += len(rows[-1][2])
         waiting = None
 
     for batch in batches:

@@ -105,9 +105,11 @@ class Scanner:
         """(first word, label) of each place of a phrase in normalised text, in order."""
         out = []
         for phrase, label in self.phrases:
-            at = text.find(phrase)
+            at, blanks, counted = text.find(phrase), 0, 0
             while at >= 0:
-                out.append((text.count(b" ", 0, at), label))
+                blanks += text.count(b" ", counted, at)
+                counted = at
+                out.append((blanks, label))
                 at = text.find(phrase, at + 1)
         return sorted(out)
 
@@ -147,12 +149,13 @@ class Scanner:
         out = []
         for n, places in begins.items():
             notice, label, most, *_ = self.notices[n]
+            blanks = counted = 0
             for start, end, errors in _spans(
                 line, len(notice), most, self.notices[n][kind], sorted(places)
             ):
-                first = line.count(" ", 0, start + 1) - 1
-                if line[start] == " ":
-                    first = line.count(" ", 0, start)
+                blanks += line.count(" ", counted, start)
+                counted = start
+                first = blanks if line[start] == " " else blanks - 1
                 words = len(line[start:end].split())
                 similarity = 1 - errors / len(notice)
                 out.append(Match(label, max(0, first), words, errors, similarity, start, end))

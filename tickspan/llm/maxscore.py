@@ -32,6 +32,8 @@ from ..session import as_table
 SHARD = 8192
 BLOCK = 1024
 QUERIES = 512
+#: Tasks that the query blocks of a shard are dealt to, each with a copy of the shard.
+COPIES = 4
 #: Terms that are traversed or probed at once.
 PROBES = 8
 
@@ -49,7 +51,7 @@ def _gain(
     """What the terms add to each vector's score, given the vectors' impacts."""
     # size * impact where q > 0 and size * (spread - impact) elsewhere.
     down = terms[q[terms] <= 0]
-    return q[terms] @ impacts[terms] + int((size[down] * spread[down]).sum())
+    return q[terms] @ impacts[terms] + (size[down] * spread[down]).sum()
 
 
 def top_of_shard(
@@ -62,7 +64,12 @@ def top_of_shard(
     low, high = vectors.min(axis=0), vectors.max(axis=0)
     # Impacts by term: a row per dimension, upwards from the smallest and down from the largest.
     impacts = np.ascontiguousarray((vectors - low).T)
-    spread = (high - low).astype(np.int64)
+    spread = high - low
+    # Doubles are exact up to 2 ** 53, and their products much faster than those of integers.
+    largest = 2 * max(map(_largest, (low, high))) * _largest(queries) * vectors.shape[1]
+    if largest < 1 << 53:
+        impacts, spread = impacts.astype(np.float64), spread.astype(np.float64)
+        queries = queries.astype(np.float64)
     out = []
     for own, q in zip(query_ids.tolist(), queries):
         size = np.abs(q)
@@ -73,7 +80,7 @@ def top_of_shard(
         left = np.append(np.cumsum(bounds[order][::-1])[::-1], 0)  # bounds from a term on
         best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for a in range(0, len(ids), BLOCK):
-            need = int(best[-1]) - base if len(best) == k else None
+            need = int(best[-1] - base) if len(best) == k else None
             # Essential terms: the first ones, as many as it takes until the rest can't suffice.
             essential = len(order) if need is None else int(np.searchsorted(-left, -need, "right"))
             essential = min(max(essential, 1), len(order))
@@ -90,13 +97,17 @@ def top_of_shard(
                     competitive = partial + left[done] >= need
                     at, partial = at[competitive], partial[competitive]
             found_ids = np.concatenate([best_ids, ids[at]])
-            found = np.concatenate([best, partial + base])
+            found = np.concatenate([best, partial.astype(np.int64) + base])
             top = np.lexsort((found_ids, -found))[:k]
             best_ids, best = found_ids[top], found[top]
         out.append((best_ids, best))
     return out
 
 
+def _largest(values: np.ndarray) -> int:
+    return max((abs(int(v)) for v in (values.min(initial=0), values.max(initial=0))))
+
+
 def _packed(df: DataFrame, group: Column, width: int) -> DataFrame:
     """Groups of (id, vector) rows as two blobs each: (g, ids, vectors)."""
 
@@ -180,14 +191,22 @@ def top_k(
     dealt = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shards))
     candidates = as_table(_packed(rows.select("id", "v"), dealt, width), "shards")
     questions = rows.filter("q").groupBy("id").agg(F.min("v").alias("v"))
-    questions = _packed(
-        questions, F.pmod(F.xxhash64("id"), F.lit(blocks)), width
-    ).select(F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
-    met = questions.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
-        "g", F.col("g").cast("long")
+    copies = min(COPIES, blocks)
+    questions = _packed(questions, F.pmod(F.xxhash64("id"), F.lit(blocks)), width).select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+        (F.col("g") % copies).cast("int").alias("copy"),
+        F.col("ids").alias("query_ids"),
+        F.col("vectors").alias("queries"),
     )
-    found = candidates.join(met, "g").drop("g").mapInArrow(
-        _searched(k, width), "query_id long, vec_id long, score long"
+    questions = questions.withColumnRenamed("shard", "g")
+    # Shards and query blocks meet in one partition for each copy of a shard; a number that is
+    # asked for is not merged again at run time.
+    copied = candidates.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    found = (
+        copied.repartition(shards * copies, "g", "copy")
+        .join(questions.repartition(shards * copies, "g", "copy"), ["g", "copy"])
+        .drop("g", "copy")
+        .mapInArrow(_searched(k, width), "query_id long, vec_id long, score long")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

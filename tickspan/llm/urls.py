@@ -6,7 +6,8 @@ rule must match. One step per character of the URL advances all rules at once:
     states = ((states << 1 | first bits) & matches[character]) | (states & loops[character])
 
 where `loops` keeps the states that a wildcard follows. Wildcards: `*` is any run of characters,
-`~` any run without a slash, `?` one character. The steps run over batches of URLs in numpy.
+`~` any run without a slash, `?` one character; after a backslash each of them stands for itself.
+The steps run over batches of URLs in numpy.
 
 A rule is matched against the canonical URL: a dot, the host in lower case, and the path. The dot
 lets `~.example.org/` mean the host and all of its subdomains.
@@ -42,7 +43,12 @@ class Rule:
 def domain_rule(verdict: str, host_and_path: str) -> Rule:
     """A rule for a host with all subdomains, and all paths that begin with the path given."""
     host, _, path = host_and_path.partition("/")
-    return Rule(host_and_path, verdict, f"~.{host}/{path}*")
+    return Rule(host_and_path, verdict, f"~.{escaped(host)}/{escaped(path)}*")
+
+
+def escaped(text: str) -> str:
+    """The pattern that matches just this text."""
+    return "".join(f"\\{c}" if c in "\\*~?" else c for c in text)
 
 
 class Automaton:
@@ -58,8 +64,14 @@ class Automaton:
         for pattern in patterns:
             self.first.append(len(places))
             places.append(({BEGIN}, set()))
+            literal = False
             for c in pattern.encode():
-                if c in b"*~":
+                if literal:
+                    places.append(({c}, set()))
+                    literal = False
+                elif c == ord("\\"):
+                    literal = True
+                elif c in b"*~":
                     places[-1][1].update(every if c == ord("*") else host)
                 else:
                     places.append((every if c == ord("?") else {c}, set()))
