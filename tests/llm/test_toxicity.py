@@ -107,3 +107,51 @@ def test_all_words_are_terms():
     texts = [f"word{i} other{i}".encode() for i in range(400)]
     index = toxicity.build(np.arange(400), texts, np.arange(400) % 2, np.ones(400))
     assert all(len(index.vector([w])[0]) >= 1 for t in texts for w in t.split())
+
+
+def test_blocks_are_skipped(monkeypatch):
+    rng = np.random.default_rng(3)
+    # Four kinds of texts whose common words are their own.
+    texts = [
+        " ".join([*(f"k{i % 4}w{j}" for j in rng.integers(0, 30, 20)), f"rare{i % 50}"]).encode()
+        for i in range(1600)
+    ]
+    index = toxicity.build(np.arange(1600), texts, np.arange(1600) % 2, np.ones(1600))
+    assert sorted(index.number[index.number >= 0].tolist()) == list(range(1600))
+    assert (index.number[index.position] == np.arange(1600)).all()
+    visited = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, blocks):
+            visited.append(len(blocks))
+            return np.asarray(self)[blocks]
+
+    index.dense = index.dense.view(Counted)
+    queries = [index.vector(toxicity.words_of(t)) for t in texts[:40]]
+    found = index.nearest(queries, 15)
+    assert sum(visited) < 0.5 * len(queries) * len(index.block_max.T)
+    monkeypatch.setattr(toxicity, "VISITED", 10_000)  # all blocks at once
+    for (a, x), (b, y) in zip(found, index.nearest(queries, 15)):
+        assert a.tolist() == b.tolist() and np.array_equal(x, y)
+
+
+def test_query_against_dense_cosines(spark, data):
+    """Every text's neighbours, found by brute force over dense vectors of all terms."""
+    docs = awkward.table(spark, data)
+    training = awkward.table(spark, data, "labels").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    index = toxicity.train(docs, training)
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    dense = np.zeros((len(index.ids), len(index.idf)))
+    for row, i in zip(dense, index.ids.tolist()):
+        at, weight = index.vector(toxicity.words_of(texts[i]))
+        row[at] = weight
+    for r in op4_toxicity(spark, data).collect():
+        at, weight = index.vector(toxicity.words_of(texts[r["doc_id"]]))
+        cosine = (dense[:, at] @ weight).round(12)
+        order = np.lexsort((np.arange(len(cosine)), -cosine))
+        order = order[cosine[order] > 0][: toxicity.NEIGHBOURS]
+        got = r["neighbours"]
+        assert np.allclose([n["cosine"] for n in got], cosine[order], atol=1e-11)
+        assert {n["id"] for n in got if n["cosine"] > cosine[order].min(initial=2) + 1e-9} == {
+            int(index.ids[o]) for o in order if cosine[o] > cosine[order].min() + 1e-9
+        }

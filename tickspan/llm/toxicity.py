@@ -3,9 +3,13 @@
 Terms are all words of the examples, and the beginnings of longer words that tell the labels apart
 (chi-squared over the examples). Examples and texts are vectors of log term frequency times inverse
 document frequency, times an emphasis that grows with what a term tells. Words that no example
-holds count in a text's length. The examples lie in an inverted index: terms of many examples as
-rows of a dense matrix, all others as postings. Every example is weighed against every text that
-shares a term with it, so the k nearest are exact, ties going to the smaller example id.
+holds count in a text's length.
+
+The examples lie in a block-max inverted index: like ones lie together in blocks of BLOCK, and each
+block has the largest weight of every common term. Lists of rare terms are short and are added up
+first; what the common terms may add is bounded by block. Blocks are visited from the highest bound
+down, with exact cosines, until no bound left reaches the k-th best, so the k nearest are exact,
+ties going to the smaller example id.
 
 The neighbours vote with their cosines as weights; the vote is calibrated by the examples' own
 leave-one-out votes (isotonic regression). Texts that share no term with any example get the share
@@ -39,6 +43,13 @@ EMPHASIS = 0.5
 NEIGHBOURS = 15
 #: Terms in more than this share of the examples are rows of the dense matrix.
 COMMON = 1 / 16
+#: Examples of a block, and blocks that are visited at first; then twice as many each time.
+BLOCK = 32
+VISITED = 4
+#: How far sums in another order may be apart, and more.
+SLACK = 1e-9
+#: Directions of most variance along which examples are dealt to blocks.
+DIRECTIONS = 8
 #: Weight of the overall share among the neighbours' votes.
 PRIOR_WEIGHT = 0.5
 #: Texts that are compared at once.
@@ -73,9 +84,10 @@ class Index:
     of the terms, as a dict of all words would weigh on every task; terms: the names, by place, of
     those that tell the labels apart. idf: the weights of the terms, the emphasis included; unseen:
     the weight of words that no example holds. start, doc,
-    weight: where each term's postings begin, and the postings of all terms in a row; row, dense:
-    common terms' rows (-1: postings only) and weights by example. ids and toxic describe the
-    examples.
+    weight: where each term's postings begin, and the postings of all terms in a row, by position;
+    row: the numbers of common terms (-1: others), dense: their weights by block, example and
+    number, block_max: the largest by number and block. ids and toxic describe the examples by
+    number; position and number lead from one to the other (-1: a position of no example).
     """
 
     lookups: dict[int, tuple[np.ndarray, np.ndarray]]
@@ -90,6 +102,9 @@ class Index:
     weight: np.ndarray
     row: np.ndarray
     dense: np.ndarray
+    block_max: np.ndarray
+    position: np.ndarray
+    number: np.ndarray
     steps: tuple[np.ndarray, np.ndarray] | None = None  # calibration: votes and probabilities
     without: float = 0.0  # probability for texts without any term
     overall: float = 0.0
@@ -130,11 +145,12 @@ class Index:
 
         Only examples with a cosine above 0 count; `but` leaves out one example per query.
         """
-        common = np.zeros((len(queries), len(self.dense)))
+        common = np.zeros((len(queries), len(self.block_max)))
         for q, (at, weight) in zip(common, queries):
             row = self.row[at]
             q[row[row >= 0]] = weight[row >= 0]
-        cosines, out = common @ self.dense, []
+        # What the common terms may add in each block, at most.
+        limits, out = common @ self.block_max, []
         for q, (at, weight) in enumerate(queries):
             rare = self.row[at] < 0
             at, weight = at[rare], weight[rare]
@@ -142,18 +158,42 @@ class Index:
             ends = np.cumsum(counts)
             place = np.arange(counts.sum()) + np.repeat(self.start[at] - ends + counts, counts)
             own = np.repeat(weight, counts) * self.weight[place]
-            cosine = cosines[q] + np.bincount(self.doc[place], own, len(self.ids))
-            cosine = cosine.round(12)
-            if but is not None:
-                cosine[but[q]] = 0
-            docs = np.flatnonzero(cosine > 0)
-            if len(docs) > k:
-                least = np.partition(cosine, len(cosine) - k)[-k]
-                docs = np.flatnonzero(cosine >= least)
-            top = docs[np.argsort(-cosine[docs], kind="stable")][:k]
-            out.append((top, cosine[top]))
+            partial = np.bincount(self.doc[place], own, len(self.number)).reshape(-1, BLOCK)
+            left_out = -1 if but is None else self.position[but[q]]
+            top, cosines = self._best(common[q], partial, limits[q], k, left_out)
+            order = np.lexsort((self.number[top], -cosines))[:k]
+            out.append((self.number[top[order]], cosines[order]))
         return out
 
+    def _best(
+        self, q: np.ndarray, partial: np.ndarray, limits: np.ndarray, k: int, left_out: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, cosines) that hold the k nearest, ties with the last one included.
+
+        `partial` has the exact sums of the rare terms by block and example. Blocks are visited
+        from the highest bound down, ever more at once, until the bounds left are below the k-th
+        best cosine.
+        """
+        bounds = limits + partial.max(axis=1, initial=0)
+        order = np.argsort(-bounds, kind="stable")
+        ranked = -bounds[order]
+        top, cosines = np.zeros(0, np.int64), np.zeros(0)
+        at, step, least = 0, VISITED, 0.0
+        while True:
+            end = int(np.searchsorted(ranked, -max(least - SLACK, SLACK), "right"))
+            if at >= end:
+                return top, cosines
+            blocks = order[at : min(end, at + step)]
+            at, step = at + step, 2 * step
+            found = (partial[blocks] + self.dense[blocks] @ q).ravel().round(12)
+            places = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            keep = (found > 0) & (found >= least) & (places != left_out)
+            top, cosines = np.append(top, places[keep]), np.append(cosines, found[keep])
+            if len(top) > k:
+                least = np.partition(cosines, len(cosines) - k)[-k]
+                keep = cosines >= least
+                top, cosines = top[keep], cosines[keep]
+
     def vote(self, docs: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic examples, weighed by cosine and by the rows an example stands for."""
         weight = cosines * self.share[docs]
@@ -237,21 +277,30 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
         lookups_of([term for term, _, _ in terms]),
         {i: term for i, (term, _, c) in enumerate(terms) if c >= TELLING},
         idf, float(np.log(1 + len(ids))), ids, toxic, share, np.zeros(len(terms) + 1, np.int64),
-        np.zeros(0, np.int32), np.zeros(0), np.full(len(terms), -1), np.zeros((0, len(ids))),
+        np.zeros(0, np.int32), np.zeros(0), np.full(len(terms), -1), np.zeros((0, BLOCK, 0)),
+        np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0, np.int64),
     )
     vectors = [index.vector(words_of(t)) for t in texts]
     rows = np.repeat(np.arange(len(ids), dtype=np.int32), [len(at) for at, _ in vectors])
     term = np.concatenate([np.zeros(0, np.int64), *[at for at, _ in vectors]])
     weight = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
-    by_term = np.lexsort((rows, term))
-    index.doc, index.weight = rows[by_term], weight[by_term]
     counts = np.bincount(term, minlength=len(terms))
     index.start[1:] = np.cumsum(counts)
     common = np.flatnonzero(counts > COMMON * len(ids))
     index.row[common] = np.arange(len(common))
-    index.dense = np.zeros((len(common), len(ids)))
+    dense = np.zeros((len(ids), len(common)))
     of_common = index.row[term] >= 0
-    index.dense[index.row[term[of_common]], rows[of_common]] = weight[of_common]
+    dense[rows[of_common], index.row[term[of_common]]] = weight[of_common]
+    blocks = -(-len(ids) // BLOCK)
+    index.number = np.full(blocks * BLOCK, -1)
+    index.number[: len(ids)] = alike_together(dense)
+    index.position = np.argsort(index.number, kind="stable")[blocks * BLOCK - len(ids) :]
+    by_term = np.lexsort((rows, term))
+    index.doc, index.weight = index.position[rows[by_term]], weight[by_term]
+    index.dense = np.zeros((blocks * BLOCK, len(common)))
+    index.dense[index.position] = dense
+    index.dense = index.dense.reshape(blocks, BLOCK, len(common))
+    index.block_max = index.dense.max(axis=1, initial=0).T.copy()
     index.overall = float(share @ toxic / share.sum()) if len(ids) else 0.0
     full = np.array([len(at) > 0 for at, _ in vectors], bool)
     index.without = _rate(toxic[~full], share[~full], index.overall)
@@ -272,6 +321,25 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
     return index
 
 
+def alike_together(rows: np.ndarray) -> np.ndarray:
+    """An order of the rows in which like ones are near: halves along the directions of variance."""
+    if not rows.size:
+        return np.arange(len(rows))
+    _, directions = np.linalg.eigh(np.cov(rows.T).reshape(rows.shape[1], -1))
+    points = rows @ directions[:, ::-1][:, :DIRECTIONS]
+    done, parts = [], [np.arange(len(rows))]
+    while parts:
+        part = parts.pop()
+        if len(part) <= BLOCK:
+            done.append(part)
+            continue
+        widest = points[part].var(axis=0).argmax()
+        part = part[np.argsort(points[part, widest], kind="stable")]
+        half = BLOCK * (-(-len(part) // BLOCK) // 2)  # whole blocks, but for the last one
+        parts += [part[half:], part[:half]]
+    return np.concatenate(done)
+
+
 def _rate(toxic: np.ndarray, share: np.ndarray, overall: float) -> float:
     """The weighted share of toxic ones, drawn a little to the overall share."""
     return float((share @ toxic + 2 * overall) / (share.sum() + 2))
