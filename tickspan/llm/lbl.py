@@ -44,23 +44,23 @@ HEAD_TOKENS = 65_536
 HEAD_BYTES = 48
 STEPS_PER_DOUBLING = 64
 #: Units of single tokens, and classes, each with a unit for the rest of its tokens.
-SINGLE_TOKENS = 4096
-CLASSES = 128
+SINGLE_TOKENS = 1024
+CLASSES = 96
 OUTPUTS = SINGLE_TOKENS + CLASSES
 #: Units that the first step predicts by themselves, before the classes.
-FIRST = 64
+FIRST = 32
 #: Words of context, numbers of a word's vector, tokens of a mini-batch; noise words of a
 #: mini-batch in the first step, and of a class in the second one.
-CONTEXT = 4
-WIDTH = 16
-MINI_BATCH = 1024
-NOISE = 32
+CONTEXT = 3
+WIDTH = 12
+MINI_BATCH = 2048
+NOISE = 16
 CLASS_NOISE = 32
 RATE = 0.1
 #: Where AdaGrad's sums of squares start in the second step, whose units are rarer.
 CLASS_SQUARE = 1e-4
 #: Tokens that are gathered, mixed, and given to the mini-batches; tokens of a shard, about.
-GATHERED = 1 << 15
+GATHERED = 1 << 16
 SHARD_TOKENS = 1 << 22
 #: Tasks of one training at most; a task of several shards trains one after the other.
 SHARD_TASKS = 100_000

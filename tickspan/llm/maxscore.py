@@ -28,9 +28,10 @@ from pyspark.sql.window import Window
 
 from ..session import as_table
 
-#: Vectors of a shard, of a block inside it, and queries of a block.
+#: Vectors of a shard, of the first block inside it (the next ones are twice as large each), and
+#: queries of a block.
 SHARD = 8192
-BLOCK = 1024
+BLOCK = 512
 QUERIES = 512
 #: Tasks that the query blocks of a shard are dealt to, each with a copy of the shard.
 COPIES = 4
@@ -70,7 +71,10 @@ def top_of_shard(
     if largest < 1 << 53:
         impacts, spread = impacts.astype(np.float64), spread.astype(np.float64)
         queries = queries.astype(np.float64)
-    out = []
+    out, blocks = [], []
+    while not blocks or blocks[-1][1] < len(ids):
+        a = blocks[-1][1] if blocks else 0
+        blocks.append((a, a + (BLOCK << len(blocks))))
     for own, q in zip(query_ids.tolist(), queries):
         size = np.abs(q)
         base = int((np.where(q > 0, low, high) * q).sum())
@@ -79,13 +83,13 @@ def top_of_shard(
         order = order[bounds[order] > 0]
         left = np.append(np.cumsum(bounds[order][::-1])[::-1], 0)  # bounds from a term on
         best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for a in range(0, len(ids), BLOCK):
+        for a, b in blocks:
             need = int(best[-1] - base) if len(best) == k else None
             # Essential terms: the first ones, as many as it takes until the rest can't suffice.
             essential = len(order) if need is None else int(np.searchsorted(-left, -need, "right"))
             essential = min(max(essential, 1), len(order))
-            partial = _gain(q, size, spread, order[:essential], impacts[:, a : a + BLOCK])
-            keep = ids[a : a + BLOCK] != own
+            partial = _gain(q, size, spread, order[:essential], impacts[:, a:b])
+            keep = ids[a:b] != own
             if need is not None:
                 keep &= partial + left[essential] >= need
             at, partial, done = np.flatnonzero(keep) + a, partial[keep], essential
