@@ -45,7 +45,7 @@ NEIGHBOURS = 15
 COMMON = 1 / 16
 #: Examples of a block, and blocks that are visited at first; then twice as many each time.
 BLOCK = 32
-VISITED = 4
+VISITED = 8
 #: How far sums in another order may be apart, and more.
 SLACK = 1e-9
 #: Directions of most variance along which examples are dealt to blocks.
@@ -85,8 +85,8 @@ class Index:
     those that tell the labels apart. idf: the weights of the terms, the emphasis included; unseen:
     the weight of words that no example holds. start, doc,
     weight: where each term's postings begin, and the postings of all terms in a row, by position;
-    row: the numbers of common terms (-1: others), dense: their weights by block, example and
-    number, block_max: the largest by number and block. ids and toxic describe the examples by
+    row: the numbers of common terms (-1: others), dense: their weights by number, block and
+    example, block_max: the largest by number and block. ids and toxic describe the examples by
     number; position and number lead from one to the other (-1: a position of no example).
     """
 
@@ -174,6 +174,8 @@ class Index:
         from the highest bound down, ever more at once, until the bounds left are below the k-th
         best cosine.
         """
+        terms = np.flatnonzero(q)
+        q, terms = q[terms], terms[:, None]
         bounds = limits + partial.max(axis=1, initial=0)
         order = np.argsort(-bounds, kind="stable")
         ranked = -bounds[order]
@@ -185,7 +187,8 @@ class Index:
                 return top, cosines
             blocks = order[at : min(end, at + step)]
             at, step = at + step, 2 * step
-            found = (partial[blocks] + self.dense[blocks] @ q).ravel().round(12)
+            weights = self.dense[terms, blocks].reshape(len(q), len(blocks) * BLOCK)
+            found = (partial[blocks].ravel() + q @ weights).round(12)
             places = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             keep = (found > 0) & (found >= least) & (places != left_out)
             top, cosines = np.append(top, places[keep]), np.append(cosines, found[keep])
@@ -277,7 +280,7 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
         lookups_of([term for term, _, _ in terms]),
         {i: term for i, (term, _, c) in enumerate(terms) if c >= TELLING},
         idf, float(np.log(1 + len(ids))), ids, toxic, share, np.zeros(len(terms) + 1, np.int64),
-        np.zeros(0, np.int32), np.zeros(0), np.full(len(terms), -1), np.zeros((0, BLOCK, 0)),
+        np.zeros(0, np.int32), np.zeros(0), np.full(len(terms), -1), np.zeros((0, 0, BLOCK)),
         np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0, np.int64),
     )
     vectors = [index.vector(words_of(t)) for t in texts]
@@ -297,10 +300,10 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
     index.position = np.argsort(index.number, kind="stable")[blocks * BLOCK - len(ids) :]
     by_term = np.lexsort((rows, term))
     index.doc, index.weight = index.position[rows[by_term]], weight[by_term]
-    index.dense = np.zeros((blocks * BLOCK, len(common)))
-    index.dense[index.position] = dense
-    index.dense = index.dense.reshape(blocks, BLOCK, len(common))
-    index.block_max = index.dense.max(axis=1, initial=0).T.copy()
+    index.dense = np.zeros((len(common), blocks * BLOCK))
+    index.dense[:, index.position] = dense.T
+    index.dense = index.dense.reshape(len(common), blocks, BLOCK)
+    index.block_max = index.dense.max(axis=2, initial=0)
     index.overall = float(share @ toxic / share.sum()) if len(ids) else 0.0
     full = np.array([len(at) > 0 for at, _ in vectors], bool)
     index.without = _rate(toxic[~full], share[~full], index.overall)
