@@ -86,3 +86,15 @@ def test_nothing_to_learn_from(spark):
     rows = lbl.score(docs, model, counts).collect()
     assert all(math.isclose(r["base_score"], 0, abs_tol=1e-9) for r in rows)
     assert all(np.isfinite(r["score"]) and r["n_known"] == 0 for r in rows)
+
+
+def test_scores_do_not_hang_on_partitions(spark, data, monkeypatch):
+    monkeypatch.setattr(lbl, "SHARD_TOKENS", 20_000)
+    docs = awkward.table(spark, data).limit(120)
+    found = []
+    for parts in (1, 7):
+        model, counts, _ = lbl.train(docs.repartition(parts))
+        rows = lbl.score(docs.repartition(parts), model, counts).collect()
+        found.append({r["doc_id"]: r["score"] for r in rows})
+    assert found[0].keys() == found[1].keys()
+    assert all(math.isclose(found[0][i], found[1][i], rel_tol=1e-5) for i in found[0])
