@@ -1,6 +1,9 @@
 """Streaming jobs over small files, one file per micro-batch."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from helpers import START, at, tick, write_files
@@ -255,6 +258,40 @@ def test_console_and_file_publishing(spark, place, tmp_path):
     assert spark.read.parquet(str(tmp_path / "copy")).count() == 1
 
 
+PRINTING = """
+import sys
+from pyspark.sql import functions as F
+from tickspan.session import local_session
+from tickspan.streaming import drain, print_messages
+
+place, spark = sys.argv[1], local_session(2, 2)
+for number in (60_000, 21, 20):
+    value = F.concat(F.lit("x" * 90), F.col("id").cast("string")).cast("binary")
+    rows = spark.range(0, number, 1, 3 if number > 21 else 1)
+    rows.select(F.lit(b"A").alias("key"), value.alias("value")).write.parquet(f"{place}/{number}")
+    raw = spark.readStream.schema("key binary, value binary").parquet(f"{place}/{number}")
+    query = drain(print_messages(raw, f"{place}/checkpoint-{number}", once=True))
+    print("taken", sum(p.numInputRows for p in query.recentProgress), flush=True)
+"""
+
+
+def test_the_console_takes_only_what_it_shows_to_the_driver(tmp_path):
+    """Some 6 MB of messages, of which the driver may be sent one: all read, the first 20 shown."""
+    env = os.environ | {
+        "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        "PYSPARK_SUBMIT_ARGS": "--conf spark.driver.maxResultSize=1m pyspark-shell",
+    }
+    command = [sys.executable, "-c", PRINTING, str(tmp_path)]
+    done = subprocess.run(command, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    large, larger_by_one, all_shown, rest = done.stdout.split("taken ")
+    assert (larger_by_one[:6], all_shown[:3], rest.strip()) == ("60000\n", "21\n", "20")
+    for shown in (large, larger_by_one, all_shown):
+        assert shown.count("Batch: 0") == 1
+        assert shown.count("|" + "x" * 90) == 20
+        assert ("only showing top 20 rows" in shown) == (shown is not all_shown)
+
+
 def test_bar_times_do_not_depend_on_the_batch_order(spark, place):
     """Ticks of one bar spread over batches in any order give the same open and close."""
     lines = [tick("A", float(s), s) for s in range(50)]

@@ -8,8 +8,10 @@ drains what is there and stops, and can be repeated on the same checkpoint.
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterable, Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,8 @@ from .epochs import claim_epoch
 _STARTING = threading.Lock()
 #: The code of the tick that closes all bars.
 FLUSH = ""
+#: Rows of a micro-batch that the console shows; as many as Spark shows by itself.
+SHOWN = 20
 
 
 def start_query(
@@ -148,9 +152,28 @@ def start_quarantine(
     return start_query(ticks.sparkSession, writer.option("path", path), checkpoint, once)
 
 
+def first_of_tasks(rows: DataFrame, number: int) -> DataFrame:
+    """The first rows of every task. The others are read as well, and counted in the progress."""
+
+    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = number
+        for batch in batches:
+            if left:
+                part = batch.slice(0, left)
+                left -= part.num_rows
+                yield part
+
+    return rows.mapInArrow(first, rows.schema)
+
+
 def print_messages(messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Show raw values on the console."""
+    """Show raw values on the console: the first SHOWN of every micro-batch.
+
+    The console sink takes all rows it is given to the driver before it shows the first ones, so a
+    task hands on only as many as can be shown, and one by which the sink knows that there are more.
+    """
     text = messages.select(F.col("value").cast("string").alias("value"))
-    writer = text.writeStream.format("console").option("truncate", "false")
+    writer = first_of_tasks(text, SHOWN + 1).writeStream.format("console")
+    writer = writer.option("numRows", SHOWN).option("truncate", "false")
     return start_query(messages.sparkSession, writer, checkpoint, once)
 
