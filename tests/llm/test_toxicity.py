@@ -2,6 +2,7 @@ import zlib
 
 import awkward
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tickspan.llm import toxicity
@@ -50,6 +51,16 @@ def test_nearest_are_exact():
             assert np.allclose(cosines, cosine[order])
 
 
+@pytest.mark.filterwarnings("error::RuntimeWarning")  # a covariance of one row, which may also fail
+@pytest.mark.parametrize("words", [1, 2, 5, 40])
+def test_one_example_is_enough(words):
+    text = b" ".join(b"vile%d" % i for i in range(words))
+    index = toxicity.build(np.array([7]), [text], np.array([1]), np.ones(1))
+    assert index.number[0] == 0 and index.overall == 1.0
+    ((near, _),) = index.nearest([index.vector([b"vile0"])], 5)
+    assert near.tolist() == [0]
+
+
 def test_isotonic_steps_rise():
     rng = np.random.default_rng(1)
     x = rng.random(200)

@@ -326,7 +326,7 @@ def build(ids: np.ndarray, texts: list[bytes], toxic: np.ndarray, share: np.ndar
 
 def alike_together(rows: np.ndarray) -> np.ndarray:
     """An order of the rows in which like ones are near: halves along the directions of variance."""
-    if not rows.size:
+    if len(rows) <= BLOCK or not rows.size:  # a single block, or nothing to tell rows by
         return np.arange(len(rows))
     _, directions = np.linalg.eigh(np.cov(rows.T).reshape(rows.shape[1], -1))
     points = rows @ directions[:, ::-1][:, :DIRECTIONS]
